@@ -460,7 +460,7 @@ def linear_score(spark, sf_dir):
 @query(
     "clipped_rating",
     """WITH l AS (SELECT l_orderkey, l_linenumber, nullif(l_quantity, 1) AS att, l_linenumber AS cmp,
-                         l_extendedprice / 1000 AS yds, l_discount * 10 AS td, l_tax * 10 AS ints FROM lineitem)
+                         l_extendedprice * 0.0009871234567 AS yds, l_discount * 10 AS td, l_tax * 10 AS ints FROM lineitem)
        SELECT l_orderkey, l_linenumber,
               round((least(greatest((cmp / att - 0.3) * 5, 0), 2.375)
                    + least(greatest((yds / att - 3) * 0.25, 0), 2.375)
@@ -475,7 +475,7 @@ def clipped_rating(spark, sf_dir):
         "l_linenumber",
         F.when(F.col("l_quantity") == 1, 0.0).otherwise(F.col("l_quantity")).alias("attempts"),
         F.col("l_linenumber").alias("completions"),
-        (F.col("l_extendedprice") / 1000).alias("passing_yards"),
+        (F.col("l_extendedprice") * 0.0009871234567).alias("passing_yards"),
         (F.col("l_discount") * 10).alias("passing_tds"),
         (F.col("l_tax") * 10).alias("interceptions"),
     )

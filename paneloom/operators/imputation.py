@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneloom.operators.moments import centred, grouped_gram
-from paneloom.operators.quantiles import best_quantile_bin
+from paneloom.operators.quantiles import best_bin_count, bin_by_edges
 from paneloom.operators.regression import solve_ridge
 from paneloom.runtime import checkpoint
 
@@ -331,5 +331,6 @@ def impute_by_bin(
         rows = rows.filter(F.col(period) >= first)
     if last is not None:
         rows = rows.filter(F.col(period) <= last)
-    binned = best_quantile_bin(rows, group, bin_column, "_bin", choices)
+    edges = checkpoint(best_bin_count(rows, group, bin_column, choices))
+    binned = bin_by_edges(rows, group, bin_column, edges, "_bin")
     return chained_impute(binned, [*group, "_bin"], targets, **options).drop("_bin")

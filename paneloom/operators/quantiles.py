@@ -24,51 +24,43 @@ def _with_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[st
     return (df, list(group)) if group else (df.withColumn("_all", F.lit(0)), ["_all"])
 
 
+def _place(share: Fraction, last: Column) -> tuple[Column, Column, Column]:
+    """Positions around the share of the row order, and the part between them."""
+    over, under = F.lit(share.numerator).cast("bigint"), F.lit(share.denominator).cast("bigint")
+    rest = last * over % under
+    low = F.call_function("div", last * over, under)
+    return low, low + F.when(rest > 0, 1).otherwise(0), rest / under
+
+
 def _edges(
     counted: DataFrame, group: Sequence[str], shares: Sequence[Fraction], hot_rows: int | None
 ) -> DataFrame:
     """Per group an array of the values at the given shares of the row order.
 
-    A value's rows before it and equal to it tell which shares it serves, so
-    only two values per share and group are shuffled onwards.
+    A value knows the rows before it and equal to it, hence which of the wanted
+    positions it holds; only those few values per group are shuffled onwards.
     """
     running = running_total(counted, group, [F.col("_value")], "_below", "_equal", hot_rows)
-    sizes = counted.groupBy(*group).agg(F.sum("_equal").alias("_n"))
-    last = F.col("_n") - 1
-
-    def holds(position: Column) -> Column:
-        return (F.col("_below") <= position) & (position < F.col("_below") + F.col("_equal"))
-
-    found = []
-    for index, share in enumerate(shares):
-        over, under = share.numerator, share.denominator
-        part = (last * over % under) / under
-        low = ((last * over - last * over % under) / under).cast("bigint")
-        high = low + F.when(part > 0, 1).otherwise(0)
-        found.append(
-            F.struct(
-                F.lit(index).alias("index"),
-                F.when(holds(low), F.col("_value")).alias("low"),
-                F.when(holds(high), F.col("_value")).alias("high"),
-                part.alias("part"),
-            )
-        )
-    hits = (
-        running.join(sizes, list(group))
-        .select(*group, F.explode(F.array(*found)).alias("hit"))
-        .select(*group, "hit.*")
-        .filter(F.col("low").isNotNull() | F.col("high").isNotNull())
+    last = F.sum("_equal") - 1
+    wanted = [p for share in shares for p in _place(share, last)[:2]]
+    sizes = counted.groupBy(*group).agg(
+        F.array_distinct(F.array(*wanted)).alias("_wanted"), last.alias("_last")
     )
-    ends = hits.groupBy(*group, "index").agg(
-        F.max("low").alias("low"), F.max("high").alias("high"), F.max("part").alias("part")
+    held = F.filter(
+        "_wanted", lambda p: (F.col("_below") <= p) & (p < F.col("_below") + F.col("_equal"))
     )
-    edge = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
-    return (
-        ends.select(*group, F.struct("index", edge.alias("edge")).alias("_edge"))
-        .groupBy(*group)
-        .agg(F.array_sort(F.collect_list("_edge")).alias("_edges"))  # one entry per share
-        .select(*group, F.transform("_edges", lambda e: e["edge"]).alias("edges"))
+    found = (
+        running.join(sizes, list(group))
+        .select(*group, "_last", "_value", F.explode(held).alias("_at"))
+        .groupBy(*group, "_last")
+        .agg(F.map_from_entries(F.collect_list(F.struct("_at", "_value"))).alias("_values"))
     )
+    edges = []
+    for share in shares:
+        low, high, part = _place(share, F.col("_last"))
+        start = F.try_element_at("_values", low)
+        edges.append(start + (F.try_element_at("_values", high) - start) * part)
+    return found.select(*group, F.array(*edges).alias("edges"))
 
 
 def quantile_edges(
@@ -97,11 +89,21 @@ def quantile_bin(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the quantile bin of each row; repeated edges count once."""
+    return bin_by_edges(df, group, column, quantile_edges(df, group, column, bins, hot_rows), name)
+
+
+def bin_by_edges(
+    df: DataFrame, group: Sequence[str], column: str, edges: DataFrame, name: str
+) -> DataFrame:
+    """Add the bin of each row under its group's ``edges``."""
     frame, keys = _with_group(df, group)
-    shares = [Fraction(k, bins) for k in range(bins + 1)]
-    edges = _edges(_counted(frame, keys, column), keys, shares, hot_rows)
+    table = edges if group else edges.withColumn("_all", F.lit(0))
     value = F.col(column).cast("double")
-    return frame.join(edges, keys, "left").withColumn(name, _bin_of(value, F.col("edges"))).drop("edges", "_all")
+    return (
+        frame.join(table.select(*keys, "edges"), keys, "left")
+        .withColumn(name, _bin_of(value, F.col("edges")))
+        .drop("edges", "_all")
+    )
 
 
 def _candidates(counted: DataFrame, keys: Sequence[str], choices: Sequence[int], hot_rows: int | None) -> DataFrame:
@@ -155,18 +157,3 @@ def best_bin_count(
         .select(*keys, F.col("_best.bins"), F.col("_best.spread"), F.col("_best.edges"))
         .drop("_all")
     )
-
-
-def best_quantile_bin(
-    df: DataFrame,
-    group: Sequence[str],
-    column: str,
-    name: str,
-    choices: Sequence[int] = (4, 5, 6, 7, 8),
-    hot_rows: int | None = None,
-) -> DataFrame:
-    """Add the bin under the group's best number of bins."""
-    frame, keys = _with_group(df, group)
-    edges = best_bin_count(frame, keys, column, choices, hot_rows).select(*keys, "edges")
-    value = F.col(column).cast("double")
-    return frame.join(edges, keys, "left").withColumn(name, _bin_of(value, F.col("edges"))).drop("edges", "_all")
