@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paneloom.functions.similarity import characters, common_length, position_masks, ratio
+from paneloom.functions.similarity import characters, common_length, ratio
 from paneloom.functions.text import map_values, token_sort
 
 #: Tokens given an explicit place in the order; all others are rarer.
@@ -89,7 +89,7 @@ def _candidates(
         )
         return fronts.withColumn("_key", F.explode(_keys(F.col("_front"), shared)))
 
-    a = keyed(left, position_masks(F.col("_text")).alias("_masks"))
+    a = keyed(left)
     b = keyed(right, F.col("_partner")).select(
         *block,
         "_key",
@@ -136,8 +136,9 @@ def best_partners(
     open_texts = wanted.join(pool, [*block, "_text"], "left_anti")
     places = _frequent_tokens(wanted.select("_text").unionByName(pool.select("_text")))
     pairs = _candidates(open_texts, pool, block, threshold, places)
-    common = common_length(F.col("_masks"), F.length("_text"), F.col("_other"))
-    scored = pairs.withColumn("score", ratio(common, F.length("_text"), F.length("_other")))
+    scored = pairs.withColumn("_common", common_length(F.col("_text"), F.col("_other"))).withColumn(
+        "score", ratio(F.col("_common"), F.length("_text"), F.length("_other"))
+    )
     best = F.min(F.struct((-F.col("score")).alias("_down"), F.col("_partner")))
     close = (
         scored.filter(F.col("score") >= threshold)
