@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from paneloom import fixed_values
 from paneloom.functions.numbers import to_whole
 from paneloom.functions.text import map_values
+from paneloom.runtime import store
 
 
 def normalize_header(name: str, rules=fixed_values.HEADER_RULES) -> str:
@@ -100,7 +101,7 @@ def fill_above_max(df: DataFrame, group: Sequence[str], column: str, where: Colu
     With ``where`` only its rows are read and filled.
     """
     chosen = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
-    tops = df.filter(chosen).groupBy(*group).agg((F.max(column) + 1).alias("_next"))
+    tops = store(df.filter(chosen).groupBy(*group).agg((F.max(column) + 1).alias("_next")))
     filled = F.when(chosen & F.col(column).isNull(), F.col("_next")).otherwise(F.col(column))
     return df.join(tops, list(group), "left").withColumn(column, filled).drop("_next")
 

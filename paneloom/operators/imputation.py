@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paneloom.operators.moments import centred, grouped_gram
+from paneloom.operators.moments import NARROW, centred, grouped_gram
 from paneloom.operators.quantiles import best_bin_count, bin_by_edges
 from paneloom.operators.regression import solve_ridge
-from paneloom.runtime import checkpoint
+from paneloom.runtime import store
 
 #: Above this many gap patterns in a group the passes over the rows are taken.
 MAX_PATTERNS = 512
@@ -33,23 +33,40 @@ MAX_PATTERNS = 512
 _MATRIX = T.ArrayType(T.ArrayType(T.DoubleType()))
 
 
-def _centred_rows(df: DataFrame, keys: Sequence[str], targets: Sequence[str], tol: float) -> DataFrame:
-    """Rows with their vector around the group means and their gap pattern."""
+def _group_stats(df: DataFrame, keys: Sequence[str], targets: Sequence[str], tol: float) -> DataFrame:
+    """Per group: rows, means and known cells of the columns, tolerance."""
     values = [F.col(c).cast("double") for c in targets]
-    stats = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.array(*[F.avg(v) for v in values]).alias("_mean"),
-        F.array(*[F.count(v) for v in values]).alias("_known"),
-        (F.array_max(F.array(*[F.max(F.abs(v)) for v in values])) * tol).alias("_tolerance"),
+    return store(
+        df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.array(*[F.avg(v) for v in values]).alias("_mean"),
+            F.array(*[F.count(v) for v in values]).alias("_known"),
+            (F.array_max(F.array(*[F.max(F.abs(v)) for v in values])) * tol).alias("_tolerance"),
+        )
     )
+
+
+def _centred_rows(df: DataFrame, keys: Sequence[str], targets: Sequence[str], stats: DataFrame) -> DataFrame:
+    """Rows with their vector around the group means and their gap pattern."""
+    values = [F.col(c).cast("double") for c in targets]
     gaps = F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in values])
     return (
-        df.join(stats, list(keys))
+        df.join(stats.select(*keys, "_mean"), list(keys))
         .withColumn("_z", centred(values, F.col("_mean")))
         .withColumn("_gaps", gaps)
     )
 
 
+def _most_patterns(rows: DataFrame, keys: Sequence[str], stats: DataFrame, limit: int) -> int:
+    """Gap patterns of the group with the most, or a bound not above ``limit``."""
+    open_columns = F.size(F.filter("_known", lambda n: (n > 0) & (n < F.col("_rows"))))
+    most_open = stats.agg(F.max(open_columns)).first()[0] or 0
+    if 2**most_open <= limit:
+        return 2**most_open
+    patterns = rows.select(*keys, "_gaps").distinct().groupBy(*keys).count()
+    return patterns.agg(F.max("count")).first()[0] or 0
+
+
 def _fit_step(gram: np.ndarray, target: int, others: np.ndarray, alpha: float) -> np.ndarray:
     """Prediction of the target column as a row over ``(1, columns)``."""
     mean = gram[0] / gram[0, 0]
@@ -143,23 +160,25 @@ def _solve_patterns(sums: DataFrame, keys: Sequence[str], size: int, alpha: floa
     return sums.groupBy(*names).applyInPandas(solve, schema)
 
 
-def _dot(weights: Column, vector: Column) -> Column:
-    products = F.zip_with(weights, vector, lambda a, b: a * b)
+def _predict(weights: Column, vector: Column, size: int) -> Column:
+    """Weights over ``(1, vector)`` applied to the vector."""
+    if size <= NARROW:  # stays in generated code
+        total = F.get(weights, F.lit(0))
+        for i in range(size):
+            total = total + F.get(weights, F.lit(i + 1)) * vector[i]
+        return total
+    products = F.zip_with(weights, F.concat(F.array(F.lit(1.0)), vector), lambda a, b: a * b)
     return F.aggregate(products, F.lit(0.0), lambda a, b: a + b)
 
 
-def _with_one(vector: Column) -> Column:
-    return F.concat(F.array(F.lit(1.0)), vector)
-
-
-def _last_cycles(rows: DataFrame, keys: Sequence[str], maps: DataFrame) -> DataFrame:
+def _last_cycles(rows: DataFrame, keys: Sequence[str], maps: DataFrame, size: int) -> DataFrame:
     """Per key the cycle after which the row-wise changes end the iteration."""
     last = maps.filter("settled").groupBy(*keys).agg(F.max("cycle").alias("cycle"))
     open_steps = maps.filter(~F.col("settled")).select(*keys, "_gaps", "cycle", "tolerance", "step")
     if open_steps.isEmpty():
         return last
     change = F.aggregate(
-        F.transform("step", lambda w: F.abs(_dot(w, _with_one(F.col("_z"))))),
+        F.transform("step", lambda w: F.abs(_predict(w, F.col("_z"), size))),
         F.lit(0.0),
         lambda a, b: a + b,
     )
@@ -177,19 +196,20 @@ def _last_cycles(rows: DataFrame, keys: Sequence[str], maps: DataFrame) -> DataF
     )
 
 
-def _by_patterns(rows: DataFrame, keys: Sequence[str], targets: Sequence[str], alpha: float, max_iter: int) -> DataFrame:
+def _by_patterns(
+    rows: DataFrame, keys: Sequence[str], targets: Sequence[str], stats: DataFrame, alpha: float, max_iter: int
+) -> DataFrame:
     size = len(targets)
     sums = grouped_gram(rows, [*keys, "_gaps"], "_z", size)
-    heads = rows.groupBy(*keys).agg(
-        F.first("_mean").alias("_mean"), F.first("_tolerance").alias("_tolerance")
-    )
-    maps = checkpoint(_solve_patterns(sums.join(heads, list(keys)), keys, size, alpha, max_iter))
-    chosen = maps.join(_last_cycles(rows, keys, maps), [*keys, "cycle"]).select(*keys, "_gaps", "fill")
+    heads = stats.select(*keys, "_mean", "_tolerance")
+    maps = store(_solve_patterns(sums.join(heads, list(keys)), keys, size, alpha, max_iter))
+    last = _last_cycles(rows, keys, maps, size)
+    chosen = store(maps.join(last, [*keys, "cycle"]).select(*keys, "_gaps", "fill"))
     return rows.join(chosen, [*keys, "_gaps"], "left").withColumns(
         {
             c: F.coalesce(
                 F.col(c).cast("double"),
-                F.col("_mean")[j] + _dot(F.col("fill")[j], _with_one(F.col("_z"))),
+                F.col("_mean")[j] + _predict(F.col("fill")[j], F.col("_z"), size),
             )
             for j, c in enumerate(targets)
         }
@@ -218,16 +238,12 @@ def _solve_targets(sums: DataFrame, keys: Sequence[str], size: int, alpha: float
     return sums.mapInPandas(solve, schema)
 
 
-def _by_rows(rows: DataFrame, keys: Sequence[str], targets: Sequence[str], alpha: float, max_iter: int) -> DataFrame:
+def _by_rows(
+    rows: DataFrame, keys: Sequence[str], targets: Sequence[str], stats: DataFrame, alpha: float, max_iter: int
+) -> DataFrame:
     """The same iteration by passes over the rows, for groups with very many
-    gap patterns: one aggregation per step, rows checkpointed once per cycle."""
+    gap patterns: one aggregation per step, rows stored once per cycle."""
     size = len(targets)
-    heads = rows.groupBy(*keys).agg(
-        F.first("_mean").alias("_mean"),
-        F.first("_tolerance").alias("_tolerance"),
-        F.first("_rows").alias("_rows"),
-        F.first("_known").alias("_known"),
-    )
     places = F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)),
         lambda j: F.struct((F.col("_rows") - F.get("_known", j)).alias("gaps"), j.alias("at")),
@@ -235,8 +251,8 @@ def _by_rows(rows: DataFrame, keys: Sequence[str], targets: Sequence[str], alpha
     open_places = F.filter(
         F.array_sort(places), lambda s: (s["gaps"] > 0) & (s["gaps"] < F.col("_rows"))
     )
-    heads = checkpoint(
-        heads.select(
+    heads = store(
+        stats.select(
             *keys, "_mean", "_tolerance", F.transform(open_places, lambda s: s["at"]).alias("_order")
         )
     )
@@ -253,26 +269,27 @@ def _by_rows(rows: DataFrame, keys: Sequence[str], targets: Sequence[str], alpha
             known = known.filter(F.substr("_gaps", F.col("_target") + 1, F.lit(1)) == "0")
             sums = grouped_gram(known, keys, "_z", size).join(now, list(keys))
             betas = _solve_targets(sums, keys, size, alpha)
-            found = checkpoint(betas.join(now.select(*keys, "_target"), list(keys)))
+            found = store(betas.join(now.select(*keys, "_target"), list(keys)))
             hole = F.substr("_gaps", F.col("_target") + 1, F.lit(1)) == "1"
-            value = _dot(F.col("beta"), _with_one(F.col("_z")))
+            value = _predict(F.col("beta"), F.col("_z"), size)
             moved = F.transform("_z", lambda v, i: F.when(i == F.col("_target"), value).otherwise(v))
             state = (
                 state.join(found, list(keys), "left")
                 .withColumn("_z", F.when(F.col("beta").isNotNull() & hole, moved).otherwise(F.col("_z")))
                 .drop("beta", "_target")
             )
-        state = checkpoint(state)
+        state = store(state)
         change = F.aggregate(
             F.zip_with("_z", "_old", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: a + b
         )
         moving = (
             state.groupBy(*keys)
-            .agg(F.max(change).alias("_change"), F.first("_tolerance").alias("_tolerance"))
+            .agg(F.max(change).alias("_change"))
+            .join(stats.select(*keys, "_tolerance"), list(keys))
             .filter(F.col("_change") >= F.col("_tolerance"))
             .select(*keys)
         )
-        active = checkpoint(active.join(moving, list(keys), "left_semi"))
+        active = store(active.join(moving, list(keys), "left_semi"))
         if active.isEmpty():
             break
         state = state.withColumn("_old", F.col("_z"))
@@ -300,15 +317,15 @@ def chained_impute(
     with a null key are kept as they are; ``flag`` tells them apart.
     """
     limit = MAX_PATTERNS if max_patterns is None else max_patterns
-    helpers = ["_rows", "_mean", "_known", "_tolerance", "_z", "_gaps"]
     keyless = F.lit(False)
     for key in keys:
         keyless = keyless | F.col(key).isNull()
-    rows = _centred_rows(df.dropna(subset=list(keys)), keys, targets, tol)
-    patterns = rows.select(*keys, "_gaps").distinct().groupBy(*keys).count()
-    most = patterns.agg(F.max("count")).first()[0] or 0
-    method = _by_patterns if most <= limit else _by_rows
-    filled = method(rows, keys, targets, alpha, max_iter).drop(*helpers).withColumn(flag, F.lit(True))
+    keyed = df.dropna(subset=list(keys))
+    stats = _group_stats(keyed, keys, targets, tol)
+    rows = _centred_rows(keyed, keys, targets, stats)
+    method = _by_patterns if _most_patterns(rows, keys, stats, limit) <= limit else _by_rows
+    filled = method(rows, keys, targets, stats, alpha, max_iter)
+    filled = filled.drop("_mean", "_z", "_gaps").withColumn(flag, F.lit(True))
     rest = df.filter(keyless).withColumns({c: F.col(c).cast("double") for c in targets})
     return filled.unionByName(rest.withColumn(flag, F.lit(False)))
 
@@ -331,6 +348,6 @@ def impute_by_bin(
         rows = rows.filter(F.col(period) >= first)
     if last is not None:
         rows = rows.filter(F.col(period) <= last)
-    edges = checkpoint(best_bin_count(rows, group, bin_column, choices))
-    binned = bin_by_edges(rows, group, bin_column, edges, "_bin")
+    edges = store(best_bin_count(rows, group, bin_column, choices))
+    binned = bin_by_edges(rows, group, bin_column, edges, "_bin", max(choices))
     return chained_impute(binned, [*group, "_bin"], targets, **options).drop("_bin")

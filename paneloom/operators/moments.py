@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paneloom.runtime import store
+
 #: Up to this many columns the products stay in generated JVM code; beyond it
 #: the thousands of sum expressions would cost more than Arrow batches.
 NARROW = 12
@@ -120,7 +122,7 @@ def grouped_moments(df: DataFrame, keys: Sequence[str], columns: Sequence[str])
             *[F.col(f"_c{min(i, j)}_{max(i, j)}") * F.col("n") for i in range(size) for j in range(size)]
         )
         return sums.select(*keys, "n", "mean", square.alias("comoment"))
-    centres = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), means)
+    centres = store(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), means))
     vectors = rows.join(centres, list(keys)).withColumn(
         "_z", centred([F.col(c) for c in columns], F.col("mean"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneloom.functions.text import map_values
-from paneloom.runtime import PART, ordered_parts, running_total
+from paneloom.runtime import PART, ordered_parts, running_total, store
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -64,10 +64,12 @@ def peer_ranks(
     non-null values (ties share the best) and group size. Null values rank null."""
     wide = df.select(*ids, *group, *[F.col(a).cast("double").alias(a) for a in attributes])
     long = wide.unpivot([*ids, *group], list(attributes), "attribute", "value")
-    ranks = _value_ranks(long, [*group, "attribute"], "value", hot_rows).select(
-        *group, "attribute", "value", (F.col("_above") + 1).alias("rank")
+    ranks = store(
+        _value_ranks(long, [*group, "attribute"], "value", hot_rows).select(
+            *group, "attribute", "value", (F.col("_above") + 1).alias("rank")
+        )
     )
-    peers = df.groupBy(*group).agg(F.count(F.lit(1)).alias("peers"))
+    peers = store(df.groupBy(*group).agg(F.count(F.lit(1)).alias("peers")))
     return long.join(ranks, [*group, "attribute", "value"], "left").join(peers, list(group))
 
 
@@ -104,8 +106,10 @@ def average_rank(
     df: DataFrame, group: Sequence[str], column: str, name: str, hot_rows: int | None = None
 ) -> DataFrame:
     """Descending rank in which equal values share their mean position."""
-    ranks = _value_ranks(df.select(*group, column), group, column, hot_rows).select(
-        *group, column, (F.col("_above") + (F.col("_equal") + 1) / 2).alias(name)
+    ranks = store(
+        _value_ranks(df.select(*group, column), group, column, hot_rows).select(
+            *group, column, (F.col("_above") + (F.col("_equal") + 1) / 2).alias(name)
+        )
     )
     return df.join(ranks, [*group, column], "left")
 
@@ -140,7 +144,7 @@ def cumcount_fill(
 
 def mean_fill(df: DataFrame, group: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Null becomes the group's mean; a group without values stays null."""
-    means = df.groupBy(*group).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
+    means = store(df.groupBy(*group).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns]))
     filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_mean_{c}")) for c in columns}
     return (
         df.join(means, list(group), "left")

@@ -8,7 +8,7 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paneloom.runtime import running_total
+from paneloom.runtime import running_total, store
 
 
 def _counted(df: DataFrame, group: Sequence[str], column: str) -> DataFrame:
@@ -24,12 +24,12 @@ def _with_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[st
     return (df, list(group)) if group else (df.withColumn("_all", F.lit(0)), ["_all"])
 
 
-def _place(share: Fraction, last: Column) -> tuple[Column, Column, Column]:
-    """Positions around the share of the row order, and the part between them."""
-    over, under = F.lit(share.numerator).cast("bigint"), F.lit(share.denominator).cast("bigint")
-    rest = last * over % under
-    low = F.call_function("div", last * over, under)
-    return low, low + F.when(rest > 0, 1).otherwise(0), rest / under
+def _low(share: Column, last: Column) -> Column:
+    return F.call_function("div", last * share["over"], share["under"])
+
+
+def _high(share: Column, last: Column) -> Column:
+    return F.call_function("div", last * share["over"] + share["under"] - 1, share["under"])
 
 
 def _edges(
@@ -41,10 +41,21 @@ def _edges(
     positions it holds; only those few values per group are shuffled onwards.
     """
     running = running_total(counted, group, [F.col("_value")], "_below", "_equal", hot_rows)
-    last = F.sum("_equal") - 1
-    wanted = [p for share in shares for p in _place(share, last)[:2]]
-    sizes = counted.groupBy(*group).agg(
-        F.array_distinct(F.array(*wanted)).alias("_wanted"), last.alias("_last")
+    asked = F.array(
+        *[
+            F.struct(
+                F.lit(s.numerator).cast("bigint").alias("over"),
+                F.lit(s.denominator).cast("bigint").alias("under"),
+            )
+            for s in shares
+        ]
+    )
+    last = F.col("_last")
+    wanted = F.flatten(F.transform(asked, lambda s: F.array(_low(s, last), _high(s, last))))
+    sizes = (
+        counted.groupBy(*group)
+        .agg((F.sum("_equal") - 1).alias("_last"))
+        .select(*group, "_last", F.array_distinct(wanted).alias("_wanted"))
     )
     held = F.filter(
         "_wanted", lambda p: (F.col("_below") <= p) & (p < F.col("_below") + F.col("_equal"))
@@ -55,12 +66,13 @@ def _edges(
         .groupBy(*group, "_last")
         .agg(F.map_from_entries(F.collect_list(F.struct("_at", "_value"))).alias("_values"))
     )
-    edges = []
-    for share in shares:
-        low, high, part = _place(share, F.col("_last"))
-        start = F.try_element_at("_values", low)
-        edges.append(start + (F.try_element_at("_values", high) - start) * part)
-    return found.select(*group, F.array(*edges).alias("edges"))
+
+    def edge(share: Column) -> Column:
+        start = F.try_element_at("_values", _low(share, last))
+        step = F.try_element_at("_values", _high(share, last)) - start
+        return start + step * (last * share["over"] % share["under"]) / share["under"]
+
+    return found.select(*group, F.transform(asked, edge).alias("edges"))
 
 
 def quantile_edges(
@@ -72,12 +84,21 @@ def quantile_edges(
     return _edges(_counted(frame, keys, column), keys, shares, hot_rows).drop("_all")
 
 
-def _bin_of(value: Column, edges: Column) -> Column:
-    """0-based bin, closed on the right; null for null and without two edges."""
+def _inner(edges: Column) -> Column:
+    """Distinct edges without the outermost ones, null without two of them."""
     distinct = F.array_distinct(edges)
-    inner = F.slice(distinct, 2, F.greatest(F.size(distinct) - 2, F.lit(0)))
-    below = F.size(F.filter(inner, lambda e: e < value))
-    return F.when(value.isNotNull() & (F.size(distinct) > 1), below)
+    return F.when(F.size(distinct) > 1, F.slice(distinct, 2, F.size(distinct) - 2))
+
+
+def _bin_of(value: Column, inner: Column, bins: int) -> Column:
+    """0-based bin, closed on the right: the number of inner edges below.
+
+    Spelled out per edge, it stays in generated code.
+    """
+    below = F.lit(0)
+    for place in range(bins - 1):
+        below = below + F.when(F.get(inner, F.lit(place)) < value, 1).otherwise(0)
+    return F.when(value.isNotNull() & inner.isNotNull(), below)
 
 
 def quantile_bin(
@@ -89,20 +110,21 @@ def quantile_bin(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the quantile bin of each row; repeated edges count once."""
-    return bin_by_edges(df, group, column, quantile_edges(df, group, column, bins, hot_rows), name)
+    edges = store(quantile_edges(df, group, column, bins, hot_rows))
+    return bin_by_edges(df, group, column, edges, name, bins)
 
 
 def bin_by_edges(
-    df: DataFrame, group: Sequence[str], column: str, edges: DataFrame, name: str
+    df: DataFrame, group: Sequence[str], column: str, edges: DataFrame, name: str, bins: int
 ) -> DataFrame:
-    """Add the bin of each row under its group's ``edges``."""
+    """Add the bin of each row under its group's ``edges``, at most ``bins``."""
     frame, keys = _with_group(df, group)
     table = edges if group else edges.withColumn("_all", F.lit(0))
     value = F.col(column).cast("double")
     return (
-        frame.join(table.select(*keys, "edges"), keys, "left")
-        .withColumn(name, _bin_of(value, F.col("edges")))
-        .drop("edges", "_all")
+        frame.join(table.select(*keys, _inner(F.col("edges")).alias("_inner")), keys, "left")
+        .withColumn(name, _bin_of(value, F.col("_inner"), bins))
+        .drop("_inner", "_all")
     )
 
 
@@ -110,18 +132,21 @@ def _candidates(counted: DataFrame, keys: Sequence[str], choices: Sequence[int],
     """Edges of every number of bins in ``choices``, from one pass."""
     shares = sorted({Fraction(k, q) for q in choices for k in range(q + 1)})
     edges = _edges(counted, keys, shares, hot_rows)
-    per_choice = F.array(
+    places = F.array(
         *[
             F.struct(
                 F.lit(q).alias("bins"),
-                F.array(
-                    *[F.get("edges", F.lit(shares.index(Fraction(k, q)))) for k in range(q + 1)]
-                ).alias("choice_edges"),
+                F.array(*[F.lit(shares.index(Fraction(k, q))) for k in range(q + 1)]).alias("places"),
             )
             for q in choices
         ]
     )
-    return edges.select(*keys, per_choice.alias("choices"))
+
+    def choice(c: Column) -> Column:
+        own = F.transform(c["places"], lambda p: F.get(F.col("edges"), p))
+        return F.struct(c["bins"].alias("bins"), own.alias("choice_edges"), _inner(own).alias("_inner"))
+
+    return edges.select(*keys, F.transform(places, choice).alias("choices"))
 
 
 def best_bin_count(
@@ -142,7 +167,7 @@ def best_bin_count(
     sizes = (
         counted.join(candidates, keys)
         .select(*keys, "_value", "_equal", F.inline("choices"))
-        .withColumn("_bin", _bin_of(F.col("_value"), F.col("choice_edges")))
+        .withColumn("_bin", _bin_of(F.col("_value"), F.col("_inner"), max(choices)))
         .filter(F.col("_bin").isNotNull())
         .groupBy(*keys, "bins", "_bin")
         .agg(F.sum("_equal").alias("_size"), F.first("choice_edges").alias("edges"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneloom.operators.moments import grouped_moments
+from paneloom.runtime import store
 
 
 def solve_ridge(comoment: np.ndarray, target: np.ndarray, alpha: float) -> np.ndarray:
@@ -141,7 +142,7 @@ def redistribute(
     spread = rows.groupBy(*keys).agg(
         F.avg(metric).alias("_mean"), F.stddev_samp(metric).alias("_sd")
     )
-    rows = rows.join(spread, list(keys)).join(model, list(keys))
+    rows = rows.join(store(spread.join(model, list(keys))), list(keys))
     z = F.try_divide(F.col(metric) - F.col("_mean"), F.col("_sd"))
     scores, shares = {}, {}
     for category, held in categories.items():
@@ -158,7 +159,7 @@ def redistribute(
         *[F.sum(f"_share_{c}").alias(f"_sum_{c}") for c in categories],
         *[F.count(f"_share_{c}").alias(f"_n_{c}") for c in categories],
     )
-    rows = rows.join(sums, list(keys))
+    rows = rows.join(store(sums), list(keys))
     floor = 1e-6
     after = {}
     for c in categories:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from paneloom.operators.groups import modal_value
 from paneloom.operators.matching import fuzzy_best_match
-from paneloom.runtime import checkpoint
+from paneloom.runtime import store
 
 
 @dataclass(frozen=True)
@@ -75,14 +75,14 @@ def resolve_entities(
     """Run the tiers in order over all scopes (seasons) at once.
 
     Each tier sees the ids, per scope, that no earlier tier matched on either
-    side. The small match table of a tier is checkpointed, so a later tier
+    side. The small match table of a tier is stored, so a later tier
     neither recomputes it nor carries its plan.
     """
     done: DataFrame | None = None
     for tier in tiers:
         open_left = left if done is None else left.join(done, [*scope, left_id], "left_anti")
         open_right = right if done is None else right.join(done, [*scope, right_id], "left_anti")
-        found = checkpoint(
+        found = store(
             _tier_matches(open_left, open_right, scope, left_id, right_id, name, tier)
         )
         done = found if done is None else done.unionByName(found)

@@ -12,7 +12,7 @@ from paneloom.functions.text import map_values
 from paneloom.operators import columns as c
 from paneloom.operators.imputation import impute_by_bin
 from paneloom.operators.ordered import cumcount_fill, mean_fill
-from paneloom.runtime import checkpoint
+from paneloom.runtime import store
 
 _GROUP = "position_group"
 
@@ -72,7 +72,7 @@ def impute_eras(
     their era, then over all seasons.
 
     A cell filled by one pass counts as known in the next, so the rows are
-    checkpointed between passes. ``general`` holds complete numeric columns
+    stored between passes. ``general`` holds complete numeric columns
     (season, team, metric) that take part in the regressions.
     """
     plain = [*general, *[a for a in attributes if a not in style]]
@@ -86,7 +86,7 @@ def impute_eras(
         ).drop("_metric", "_filled")
         kinds = dict(done.dtypes)
         older = older.withColumns({t: F.col(t).cast(kinds[t]) for t in targets})
-        return checkpoint(older.unionByName(done))
+        return store(older.unionByName(done))
 
     def whole_range(rows: DataFrame, targets: Sequence[str]) -> DataFrame:
         return era(rows.filter(F.col("season").between(first, last)), first, targets)

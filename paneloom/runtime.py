@@ -1,4 +1,4 @@
-"""Checkpoints in the shared folder, and splitting of oversized groups."""
+"""Tables stored in the shared folder, and splitting of oversized groups."""
 
 from __future__ import annotations
 
@@ -23,23 +23,30 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="paneloom-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="paneloom-"))
+        folder = context.getCheckpointDir()
     return folder
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage reliably: the result survives the loss of executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unused path below the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def store(df: DataFrame) -> DataFrame:
+    """Write the frame to the shared folder and read it back.
+
+    Cuts the lineage so that the loss of executors costs no recomputation, gives
+    every later reader the same rows, and tells the optimizer the true size: a
+    small table is then broadcast within the session's threshold, a large one is
+    joined by shuffling.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ordered_parts(
     df: DataFrame,
     keys: Sequence[str],
@@ -52,16 +59,16 @@ def ordered_parts(
     a ``PART`` column: parts of one group never overlap and ascend with the
     order, so a window per (keys, PART) plus one small window over the part
     summaries replaces a window over the whole group. The range boundaries come
-    from sampling, hence the checkpoint: both later reads see the same parts.
+    from sampling, hence the stored table: both later reads see the same parts.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
     if hot.isEmpty():
         return df, False
     # At most (all rows / hot_rows) keys can be hot, which bounds this broadcast.
-    hot = F.broadcast(checkpoint(hot))
+    hot = F.broadcast(store(hot))
     order_by = [F.col(k) for k in keys] + list(order)
-    split = checkpoint(
+    split = store(
         df.join(hot, list(keys), "left_semi")
         .repartitionByRange(*order_by)
         .withColumn(PART, F.spark_partition_id())
