@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,16 +23,23 @@ def _with_group(df: DataFrame, group: Sequence[str]) -> tuple[DataFrame, list[st
     return (df, list(group)) if group else (df.withColumn("_all", F.lit(0)), ["_all"])
 
 
+def _shares(bins: int) -> list[float]:
+    """Cut points between 0 and 1, with the rounding of the usual percentile
+    routines, so that a value on an edge falls into the same bin as there."""
+    step = 1.0 / bins
+    return [place * step * 100.0 / 100.0 for place in range(bins)] + [1.0]
+
+
 def _low(share: Column, last: Column) -> Column:
-    return F.call_function("div", last * share["over"], share["under"])
+    return F.floor(last * share)
 
 
 def _high(share: Column, last: Column) -> Column:
-    return F.call_function("div", last * share["over"] + share["under"] - 1, share["under"])
+    return F.least(_low(share, last) + 1, last)
 
 
 def _edges(
-    counted: DataFrame, group: Sequence[str], shares: Sequence[Fraction], hot_rows: int | None
+    counted: DataFrame, group: Sequence[str], shares: Sequence[float], hot_rows: int | None
 ) -> DataFrame:
     """Per group an array of the values at the given shares of the row order.
 
@@ -41,15 +47,7 @@ def _edges(
     positions it holds; only those few values per group are shuffled onwards.
     """
     running = running_total(counted, group, [F.col("_value")], "_below", "_equal", hot_rows)
-    asked = F.array(
-        *[
-            F.struct(
-                F.lit(s.numerator).cast("bigint").alias("over"),
-                F.lit(s.denominator).cast("bigint").alias("under"),
-            )
-            for s in shares
-        ]
-    )
+    asked = F.array(*[F.lit(share) for share in shares])
     last = F.col("_last")
     wanted = F.flatten(F.transform(asked, lambda s: F.array(_low(s, last), _high(s, last))))
     sizes = (
@@ -68,9 +66,11 @@ def _edges(
     )
 
     def edge(share: Column) -> Column:
-        start = F.try_element_at("_values", _low(share, last))
-        step = F.try_element_at("_values", _high(share, last)) - start
-        return start + step * (last * share["over"] % share["under"]) / share["under"]
+        low = F.try_element_at("_values", _low(share, last))
+        high = F.try_element_at("_values", _high(share, last))
+        part = last * share - _low(share, last)
+        step = high - low
+        return F.when(part < 0.5, low + step * part).otherwise(high - step * (1 - part))
 
     return found.select(*group, F.transform(asked, edge).alias("edges"))
 
@@ -80,8 +80,7 @@ def quantile_edges(
 ) -> DataFrame:
     """The ``bins + 1`` quantile edges per group, linearly interpolated."""
     frame, keys = _with_group(df, group)
-    shares = [Fraction(k, bins) for k in range(bins + 1)]
-    return _edges(_counted(frame, keys, column), keys, shares, hot_rows).drop("_all")
+    return _edges(_counted(frame, keys, column), keys, _shares(bins), hot_rows).drop("_all")
 
 
 def _inner(edges: Column) -> Column:
@@ -93,8 +92,11 @@ def _inner(edges: Column) -> Column:
 def _bin_of(value: Column, inner: Column, bins: int) -> Column:
     """0-based bin, closed on the right: the number of inner edges below.
 
-    Spelled out per edge, it stays in generated code.
+    Null without two distinct edges, unless one bin is asked for. Spelled out
+    per edge, it stays in generated code.
     """
+    if bins == 1:
+        return F.when(value.isNotNull(), 0)
     below = F.lit(0)
     for place in range(bins - 1):
         below = below + F.when(F.get(inner, F.lit(place)) < value, 1).otherwise(0)
@@ -130,13 +132,13 @@ def bin_by_edges(
 
 def _candidates(counted: DataFrame, keys: Sequence[str], choices: Sequence[int], hot_rows: int | None) -> DataFrame:
     """Edges of every number of bins in ``choices``, from one pass."""
-    shares = sorted({Fraction(k, q) for q in choices for k in range(q + 1)})
+    shares = sorted({share for q in choices for share in _shares(q)})
     edges = _edges(counted, keys, shares, hot_rows)
     places = F.array(
         *[
             F.struct(
                 F.lit(q).alias("bins"),
-                F.array(*[F.lit(shares.index(Fraction(k, q))) for k in range(q + 1)]).alias("places"),
+                F.array(*[F.lit(shares.index(share)) for share in _shares(q)]).alias("places"),
             )
             for q in choices
         ]

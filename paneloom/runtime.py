@@ -9,6 +9,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Session settings the operators were tuned with. Java compiles no method beyond
+#: 8000 bytes of code, so longer generated stages run faster split up. Parts are
+#: merged down to 32 KB only, which keeps costly steps on small inputs parallel.
+SESSION_OPTIONS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32KB",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.session.timeZone": "UTC",
+}
+
 #: A window group above this many rows is range-split over many tasks.
 HOT_ROWS = 5_000_000
 

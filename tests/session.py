@@ -4,6 +4,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from paneloom.runtime import SESSION_OPTIONS
+
 
 def local_session(cores: str | None = None) -> SparkSession:
     cores = cores or os.environ.get("BENCH_CPUS", "8")
@@ -14,8 +16,7 @@ def local_session(cores: str | None = None) -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config(map=SESSION_OPTIONS)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
