@@ -122,6 +122,18 @@ def write_roundtrip(spark, sf_dir):
     )
 
 
+@query(
+    "scan_partitions",
+    """SELECT o_orderkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS season
+       FROM orders WHERE year(o_orderdate) IN (1996, 1998)""",
+)
+def scan_partitions(spark, sf_dir):
+    path = scratch_path(spark, "orders-by-season")
+    layers.write_layer(_orders(spark, sf_dir).select("o_orderkey", "o_totalprice", "season"), path)
+    schema = "o_orderkey bigint, o_totalprice double, season int"
+    return layers.read_layer(spark, path, schema, seasons=[1996, 1998])
+
+
 @query(
     "incremental_seasons",
     """SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS season FROM orders

@@ -160,17 +160,21 @@ def chained_impute(spark, sf_dir):
     return filled.withColumn("l_quantity", rounded("l_quantity", 4))
 
 
+IMPUTED = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
 def _gappy_lines(spark, sf_dir):
     key = F.col("l_orderkey")
-    gaps = {"l_quantity": 3, "l_discount": 4, "l_tax": 5}
+    gaps = {"l_quantity": 3, "l_discount": 4, "l_linenumber": 5}
+    number = F.col("l_linenumber")
     return table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
-        "l_linenumber",
         "l_returnflag",
         F.year("l_shipdate").alias("season"),
-        "l_extendedprice",
+        "l_tax",
         (F.col("l_suppkey") % 50).cast("double").alias("metric"),
-        *[F.when((key + F.col("l_linenumber")) % step > 0, F.col(c)).alias(c) for c, step in gaps.items()],
+        number.alias("line"),
+        *[F.when((key + number) % step > 0, F.col(c)).alias(c) for c, step in gaps.items()],
     )
 
 
@@ -182,15 +186,15 @@ def impute_by_bin(spark, sf_dir):
         _gappy_lines(spark, sf_dir),
         ["l_returnflag"],
         "metric",
-        ["l_extendedprice", "l_quantity", "l_discount", "l_tax"],
+        IMPUTED,
         "season",
         1996,
         2000,
     )
     return filled.select(
         "l_orderkey",
-        "l_linenumber",
+        "line",
         "season",
         "imputed",
-        *[rounded(c, 4).alias(c) for c in ("l_extendedprice", "l_quantity", "l_discount", "l_tax")],
+        *[rounded(c, 4).alias(c) for c in IMPUTED],
     )

@@ -21,16 +21,14 @@ def group_summary(df: DataFrame, key: str, metric: str, count_name: str = "rows"
 def mean_pivot(
     df: DataFrame, index: str, column: str, metric: str, values: Sequence | None = None, digits: int = 1
 ) -> DataFrame:
-    """Matrix of mean metrics, rounded half to even, one column per value."""
+    """Matrix of mean metrics, rounded half to even, one column per value.
+
+    Values that are not given are looked up, at most ``spark.sql.pivotMaxValues``.
+    """
     kept = df.filter(F.col(index).isNotNull() & F.col(column).isNotNull())
-    if values is None:
-        values = [r[0] for r in distinct_values(kept, column).collect()]
-    return (
-        kept.groupBy(index)
-        .pivot(column, list(values))
-        .agg(F.bround(F.avg(metric), digits))
-        .orderBy(index)
-    )
+    grouped = kept.groupBy(index)
+    spread = grouped.pivot(column) if values is None else grouped.pivot(column, list(values))
+    return spread.agg(F.bround(F.avg(metric), digits)).orderBy(index)
 
 
 def modal_value(df: DataFrame, keys: Sequence[str], value: str, name: str | None = None) -> DataFrame:

@@ -51,7 +51,7 @@ def _centred_rows(df: DataFrame, keys: Sequence[str], targets: Sequence[str], st
     values = [F.col(c).cast("double") for c in targets]
     gaps = F.concat(*[F.when(v.isNull(), "1").otherwise("0") for v in values])
     return (
-        df.join(stats.select(*keys, "_mean"), list(keys))
+        df.join(stats.select(*keys, "_mean"), list(keys), "left")
         .withColumn("_z", centred(values, F.col("_mean")))
         .withColumn("_gaps", gaps)
     )
@@ -63,7 +63,7 @@ def _most_patterns(rows: DataFrame, keys: Sequence[str], stats: DataFrame, limit
     most_open = stats.agg(F.max(open_columns)).first()[0] or 0
     if 2**most_open <= limit:
         return 2**most_open
-    patterns = rows.select(*keys, "_gaps").distinct().groupBy(*keys).count()
+    patterns = rows.select(*keys, "_gaps").dropna().distinct().groupBy(*keys).count()
     return patterns.agg(F.max("count")).first()[0] or 0
 
 
@@ -200,7 +200,7 @@ def _by_patterns(
     rows: DataFrame, keys: Sequence[str], targets: Sequence[str], stats: DataFrame, alpha: float, max_iter: int
 ) -> DataFrame:
     size = len(targets)
-    sums = grouped_gram(rows, [*keys, "_gaps"], "_z", size)
+    sums = grouped_gram(rows.dropna(subset=list(keys)), [*keys, "_gaps"], "_z", size)
     heads = stats.select(*keys, "_mean", "_tolerance")
     maps = store(_solve_patterns(sums.join(heads, list(keys)), keys, size, alpha, max_iter))
     last = _last_cycles(rows, keys, maps, size)
@@ -317,17 +317,15 @@ def chained_impute(
     with a null key are kept as they are; ``flag`` tells them apart.
     """
     limit = MAX_PATTERNS if max_patterns is None else max_patterns
-    keyless = F.lit(False)
+    keyed = F.lit(True)
     for key in keys:
-        keyless = keyless | F.col(key).isNull()
-    keyed = df.dropna(subset=list(keys))
-    stats = _group_stats(keyed, keys, targets, tol)
-    rows = _centred_rows(keyed, keys, targets, stats)
+        keyed = keyed & F.col(key).isNotNull()
+    stats = _group_stats(df.filter(keyed), keys, targets, tol)
+    rows = _centred_rows(df, keys, targets, stats)
     method = _by_patterns if _most_patterns(rows, keys, stats, limit) <= limit else _by_rows
+    # Rows with a null key meet neither means nor coefficients and pass through.
     filled = method(rows, keys, targets, stats, alpha, max_iter)
-    filled = filled.drop("_mean", "_z", "_gaps").withColumn(flag, F.lit(True))
-    rest = df.filter(keyless).withColumns({c: F.col(c).cast("double") for c in targets})
-    return filled.unionByName(rest.withColumn(flag, F.lit(False)))
+    return filled.drop("_mean", "_z", "_gaps").withColumn(flag, keyed)
 
 
 def impute_by_bin(

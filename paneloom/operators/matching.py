@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from paneloom.functions.similarity import characters, common_length, ratio
 from paneloom.functions.text import map_values, token_sort
+from paneloom.runtime import store
 
 #: Tokens given an explicit place in the order; all others are rarer.
 _RANKED_TOKENS = 512
@@ -102,7 +103,9 @@ def _candidates(
     common = F.array_intersect("_front", "_other_front")
     first = F.array_join(F.slice(common, 1, shared), "\t")
     long_enough = 200.0 * F.least(size, other) >= F.lit(threshold) * (size + other) - 1e-9
-    return a.join(b, [*block, "_key"]).filter(long_enough & (first == F.col("_key")))
+    # Sizes before the explode would suggest a broadcast of what is far larger.
+    pairs = a.hint("merge").join(b, [*block, "_key"])
+    return pairs.filter(long_enough & (first == F.col("_key")))
 
 
 def best_partners(
@@ -122,8 +125,8 @@ def best_partners(
         rows = side.select(*block, *kept, text.alias("_text"))
         return rows.dropna(subset=[*block, *kept, "_text"]).filter(F.length("_text") > 0)
 
-    wanted = cleaned(left, left_text).distinct()
-    pool = (
+    wanted = store(cleaned(left, left_text).distinct())
+    pool = store(
         cleaned(right, right_text, right_id)
         .groupBy(*block, "_text")
         .agg(F.min(right_id).alias("_partner"))

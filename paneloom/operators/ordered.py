@@ -45,7 +45,7 @@ def _value_ranks(values: DataFrame, keys: Sequence[str], value: str, hot_rows: i
     Equal values collapse before the shuffle, so bounded ratings cost a few rows
     per group whatever its size.
     """
-    counted = (
+    counted = store(
         values.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_equal"))

@@ -11,7 +11,8 @@ from paneloom.runtime import running_total, store
 
 
 def _counted(df: DataFrame, group: Sequence[str], column: str) -> DataFrame:
-    return (
+    """Distinct values with their rows; stored, since several steps read them."""
+    return store(
         df.filter(F.col(column).isNotNull())
         .groupBy(*group, F.col(column).cast("double").alias("_value"))
         .agg(F.count(F.lit(1)).alias("_equal"))
@@ -50,7 +51,7 @@ def _edges(
     asked = F.array(*[F.lit(share) for share in shares])
     last = F.col("_last")
     wanted = F.flatten(F.transform(asked, lambda s: F.array(_low(s, last), _high(s, last))))
-    sizes = (
+    sizes = store(
         counted.groupBy(*group)
         .agg((F.sum("_equal") - 1).alias("_last"))
         .select(*group, "_last", F.array_distinct(wanted).alias("_wanted"))

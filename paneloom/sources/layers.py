@@ -33,8 +33,13 @@ def read_layer(
 
 
 def write_layer(df: DataFrame, path: str, fmt: str = "parquet", period: str = "season") -> None:
-    """Write by season and replace only the seasons that occur in ``df``."""
-    writer = df.write.partitionBy(period).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Write by season and replace only the seasons that occur in ``df``.
+
+    Rebalancing gathers a season's rows into files of the advisory size: neither
+    one file per task and season nor one task per season.
+    """
+    balanced = df.hint("rebalance", F.col(period))
+    writer = balanced.write.partitionBy(period).mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", "true")
     writer.format(fmt).save(path)
