@@ -3,9 +3,10 @@
 Two strings reach a similarity threshold only if they share enough characters,
 counted with multiplicity. Ordering all (character, occurrence) tokens from rare
 to frequent, that bound turns into a bound on the tokens at the front of both
-strings: among them at least two are common (prefix filtering, Bayardo et al.
+strings: among them a given number is common (prefix filtering, Bayardo et al.
 2007, extended prefixes, Wang et al. 2012). Candidates are therefore an equi-join
-on pairs of front tokens, which loses no pair, and only candidates are compared.
+on combinations of front tokens, which loses no pair, and only candidates are
+compared. Larger blocks use larger combinations, which fewer strings share.
 Equal strings are settled by an equi-join before, and repeated strings in a
 block are compared once.
 """
@@ -13,6 +14,7 @@ block are compared once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import comb, floor
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ from paneloom.runtime import store
 #: Tokens given an explicit place in the order; all others are rarer.
 _RANKED_TOKENS = 512
 
+_MOST_KEYS = 5_000
+
 
 def _tokens(text: Column) -> Column:
     """Each character with its occurrence number, ``e1``, ``e2``, ..."""
@@ -50,45 +54,79 @@ def _frequent_tokens(strings: DataFrame) -> dict[str, str]:
     return {row["token"]: f"{_RANKED_TOKENS - place:03d}" for place, row in enumerate(rows)}
 
 
-def _front(text: Column, threshold: float, shared: int, places: dict[str, str]) -> Column:
-    """Rarest tokens of the text that a partner must share ``shared`` of.
+def _needed(length: Column, threshold: float) -> Column:
+    """Characters a string of this length shares with any partner, at least."""
+    return F.ceil(length * F.lit(threshold / (200.0 - threshold)) - F.lit(1e-9)).cast("int")
 
-    A partner of a string of length n has a common subsequence of at least
-    ``n * t / (200 - t)`` characters with it.
-    """
-    length = F.length(text)
-    needed = F.ceil(length * F.lit(threshold) / F.lit(200.0 - threshold) - F.lit(1e-9))
-    size = (length - needed + shared).cast("int")
+
+def _front(text: Column, threshold: float, shared: int, places: dict[str, str]) -> Column:
+    """The rarest tokens of the text; a partner has ``shared`` of them."""
     placed = F.transform(
         _tokens(text), lambda t: F.concat(F.coalesce(map_values(t, places), F.lit("000")), t)
     )
-    return F.slice(F.array_sort(placed), 1, size)
-
-
-def _keys(front: Column, shared: int) -> Column:
-    """The front tokens, or all pairs of them in order."""
-    if shared == 1:
-        return front
-    starts = F.transform(
-        front,
-        lambda a, i: F.transform(
-            F.slice(front, i + 2, F.size(front)), lambda b: F.concat(a, F.lit("\t"), b)
-        ),
+    length = F.length(text)
+    return F.slice(F.array_sort(placed), 1, length - _needed(length, threshold) + shared)
+
+
+def _combinations(front: Column, size: int) -> Column:
+    """All combinations of ``size`` front tokens, in order, joined by tabs."""
+    found = F.transform(front, lambda t, i: F.struct(t.alias("key"), i.alias("at")))
+    for _ in range(size - 1):
+        found = F.flatten(
+            F.transform(
+                found,
+                lambda s: F.transform(
+                    F.slice(front, s["at"] + 2, F.size(front)),
+                    lambda t, i: F.struct(
+                        F.concat(s["key"], F.lit("\t"), t).alias("key"), (s["at"] + 1 + i).alias("at")
+                    ),
+                ),
+            )
+        )
+    return F.transform(found, lambda s: s["key"])
+
+
+def _keys(text: Column, front: Column, threshold: float, shared: int) -> Column:
+    """Join keys of a text: combinations of its front tokens and, if a partner
+    may be alike in fewer than ``shared`` characters, single tokens."""
+    needed = _needed(F.length(text), threshold)
+    tiny = F.lit(threshold) * (F.length(text) + needed) / 200.0 <= shared - 1 + 1e-9
+    single = F.slice(front, 1, F.length(text) - needed + 1)
+    combined = _combinations(front, shared)
+    return combined if shared == 1 else F.when(tiny, F.concat(combined, single)).otherwise(combined)
+
+
+def _shared_for(wanted: DataFrame, pool: DataFrame, block: Sequence[str], threshold: float) -> int:
+    """Tokens per key: more for larger blocks, so that few texts share a key,
+    fewer for long texts, so that none has more than a few thousand keys."""
+    texts = wanted.select(*block, "_text").unionByName(pool.select(*block, "_text"))
+    sizes = texts.groupBy(*block).agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.length("_text")).alias("length")
     )
-    return F.flatten(starts)
+    largest, longest = sizes.agg(F.max("rows"), F.max("length")).first()
+    largest, longest = largest or 0, longest or 0
+    shared = 2 if largest <= 200_000 else 3 if largest <= 20_000_000 else 4
+    spare = longest - floor(longest * threshold / (200.0 - threshold))
+    while shared > 1 and comb(spare + shared, shared) > _MOST_KEYS:
+        shared -= 1
+    return shared
 
 
 def _candidates(
-    left: DataFrame, right: DataFrame, block: Sequence[str], threshold: float, places: dict[str, str]
+    left: DataFrame,
+    right: DataFrame,
+    block: Sequence[str],
+    threshold: float,
+    places: dict[str, str],
+    shared: int,
 ) -> DataFrame:
-    # Below two thirds a pair may be alike in a single character.
-    shared = 2 if threshold > 200 / 3 else 1
-
     def keyed(side: DataFrame, *carried: Column) -> DataFrame:
         fronts = side.select(
             *block, "_text", *carried, _front(F.col("_text"), threshold, shared, places).alias("_front")
         )
-        return fronts.withColumn("_key", F.explode(_keys(F.col("_front"), shared)))
+        return fronts.withColumn(
+            "_key", F.explode(_keys(F.col("_text"), F.col("_front"), threshold, shared))
+        )
 
     a = keyed(left)
     b = keyed(right, F.col("_partner")).select(
@@ -99,13 +137,15 @@ def _candidates(
         "_partner",
     )
     size, other = F.length("_text"), F.length("_other")
+    needed = F.lit(threshold) * (size + other) / 200.0 - 1e-9
     # Of several common keys only the first yields the pair.
     common = F.array_intersect("_front", "_other_front")
-    first = F.array_join(F.slice(common, 1, shared), "\t")
-    long_enough = 200.0 * F.least(size, other) >= F.lit(threshold) * (size + other) - 1e-9
+    first = F.when(
+        F.ceil(needed) >= shared, F.array_join(F.slice(common, 1, shared), "\t")
+    ).otherwise(F.get(common, F.lit(0)))
     # Sizes before the explode would suggest a broadcast of what is far larger.
     pairs = a.hint("merge").join(b, [*block, "_key"])
-    return pairs.filter(long_enough & (first == F.col("_key")))
+    return pairs.filter((F.least(size, other) >= needed) & (first == F.col("_key")))
 
 
 def best_partners(
@@ -116,6 +156,7 @@ def best_partners(
     right_text: Column,
     right_id: str,
     threshold: float,
+    shared: int | None = None,
 ) -> DataFrame:
     """Per distinct (block, left text): best right id and its score.
 
@@ -138,7 +179,8 @@ def best_partners(
         return equal
     open_texts = wanted.join(pool, [*block, "_text"], "left_anti")
     places = _frequent_tokens(wanted.select("_text").unionByName(pool.select("_text")))
-    pairs = _candidates(open_texts, pool, block, threshold, places)
+    shared = shared or _shared_for(wanted, pool, block, threshold)
+    pairs = _candidates(open_texts, pool, block, threshold, places, shared)
     scored = pairs.withColumn("_common", common_length(F.col("_text"), F.col("_other"))).withColumn(
         "score", ratio(F.col("_common"), F.length("_text"), F.length("_other"))
     )
@@ -168,15 +210,18 @@ def fuzzy_best_match(
     threshold: float,
     sort_tokens: bool = True,
     one_to_one: bool = False,
+    shared: int | None = None,
 ) -> DataFrame:
     """Best right row for every left row of the same block, if similar enough.
 
     Columns: block, ``left_id``, ``right_id``, ``score``. Several left rows may
     take the same right row; ``one_to_one`` keeps the best left row of each.
+    ``shared`` is the number of tokens in a join key, by default chosen by the
+    largest block; it changes the work, not the result.
     """
     shape = token_sort if sort_tokens else (lambda c: c)
     best = best_partners(
-        left, right, block, shape(F.col(left_name)), shape(F.col(right_name)), right_id, threshold
+        left, right, block, shape(F.col(left_name)), shape(F.col(right_name)), right_id, threshold, shared
     )
     rows = left.select(*block, left_id, shape(F.col(left_name)).alias("_text")).distinct()
     matches = rows.join(best, [*block, "_text"]).drop("_text")

@@ -73,15 +73,18 @@ def ordered_parts(
     from sampling, hence the stored table: both later reads see the same parts.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows).select(*keys)
+    hot = df.groupBy(*keys).count().filter(F.col("count") > hot_rows)
     if hot.isEmpty():
         return df, False
+    hot = store(hot)
+    rows = hot.agg(F.sum("count")).first()[0]
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * rows // hot_rows)
     # At most (all rows / hot_rows) keys can be hot, which bounds this broadcast.
-    hot = F.broadcast(store(hot))
+    hot = F.broadcast(hot.select(*keys))
     order_by = [F.col(k) for k in keys] + list(order)
     split = store(
         df.join(hot, list(keys), "left_semi")
-        .repartitionByRange(*order_by)
+        .repartitionByRange(parts, *order_by)
         .withColumn(PART, F.spark_partition_id())
     )
     rest = df.join(hot, list(keys), "left_anti").withColumn(PART, F.lit(0))
@@ -107,7 +110,8 @@ def running_total(
         before = F.row_number().over(window).cast("bigint") - 1
         size = F.count(F.lit(1))
     else:
-        before = F.sum(weight).over(window) - F.col(weight)
+        upto = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        before = F.sum(weight).over(upto) - F.col(weight)
         size = F.sum(weight)
     if not split:
         return frame.withColumn(name, before)

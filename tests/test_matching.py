@@ -46,16 +46,18 @@ def people(rng, count, start):
     return rows
 
 
-@pytest.mark.parametrize("threshold", [40, 67, 80, 95, 100])
-@pytest.mark.parametrize("sort_tokens", [True, False])
-def test_best_match_equals_all_pairs(spark, threshold, sort_tokens):
+@pytest.mark.parametrize(
+    ("threshold", "sort_tokens", "shared"),
+    [(40, True, 1), (40, False, None), (67, True, 3), (70, False, 4), (80, True, None), (80, False, 4), (95, True, 3), (100, True, None)],
+)
+def test_best_match_equals_all_pairs(spark, threshold, sort_tokens, shared):
     rng = random.Random(threshold)
     left, right = people(rng, 150, 0), people(rng, 150, 1000)
     schema = "block int, {0}_id long, name string"
     got = matching.fuzzy_best_match(
         spark.createDataFrame(left, schema.format("left")),
         spark.createDataFrame(right, schema.format("right")),
-        ["block"], "left_id", "name", "right_id", "name", threshold, sort_tokens,
+        ["block"], "left_id", "name", "right_id", "name", threshold, sort_tokens, shared=shared,
     )
     rows = [(r.block, r.left_id, r.right_id, round(r.score, 6)) for r in got.collect()]
     assert len(rows) == len(set(rows))
@@ -63,16 +65,17 @@ def test_best_match_equals_all_pairs(spark, threshold, sort_tokens):
     assert set(rows) == best(left, right, threshold, shape)
 
 
-def test_long_and_short_names(spark):
+@pytest.mark.parametrize("shared", [1, 2, 4])
+def test_long_and_short_names(spark, shared):
     rng = random.Random(1)
     make = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n)).strip() or "a"
-    base = [make(rng.choice([1, 2, 3, 40, 90, 200])) for _ in range(40)]
+    base = [make(rng.choice([1, 2, 3, 4, 5, 20, 24, 70] if shared > 2 else [1, 2, 3, 40, 90, 200])) for _ in range(40)]
     left = [(1, i, n) for i, n in enumerate(base)]
     right = [(1, 100 + i, n[: len(n) // 2] + n[len(n) // 2 + 1 :]) for i, n in enumerate(base)]
     got = matching.fuzzy_best_match(
         spark.createDataFrame(left, "block int, left_id long, name string"),
         spark.createDataFrame(right, "block int, right_id long, name string"),
-        ["block"], "left_id", "name", "right_id", "name", 70, False,
+        ["block"], "left_id", "name", "right_id", "name", 70, False, shared=shared,
     )
     rows = {(r.block, r.left_id, r.right_id, round(r.score, 6)) for r in got.collect()}
     assert rows == best(left, right, 70, lambda n: n)
