@@ -78,28 +78,26 @@ def peer_rank_of(
 ) -> DataFrame:
     """Value, rank and group size of the attributes of one entity.
 
-    Needs no sort: one aggregation counts the peers above it.
+    The entity's own row is looked up first; one aggregation over its group then
+    counts the peers above it, without any sort.
     """
-    values = [F.col(a).cast("double").alias(a) for a in attributes]
-    subject = df.filter(entity).limit(1).select(
-        F.col(group).alias("_group"), *[v.alias(f"_own_{a}") for a, v in zip(attributes, values)]
-    )
-    compared = df.select(group, *values).join(subject, F.col(group) == F.col("_group"))
-    counted = compared.groupBy("_group", *[f"_own_{a}" for a in attributes]).agg(
+    subject = df.filter(entity).select(group, *attributes).limit(1).collect()
+    own = subject[0].asDict() if subject else dict.fromkeys([group, *attributes])
+    counted = df.filter(F.col(group) == F.lit(own[group])).agg(
         F.count(F.lit(1)).alias("peers"),
-        *[F.count_if(F.col(a) > F.col(f"_own_{a}")).alias(f"_above_{a}") for a in attributes],
+        *[F.count_if(F.col(a) > F.lit(own[a])).alias(f"_above_{a}") for a in attributes],
     )
     rows = F.array(
         *[
             F.struct(
                 F.lit(a).alias("attribute"),
-                F.col(f"_own_{a}").alias("value"),
-                F.when(F.col(f"_own_{a}").isNotNull(), F.col(f"_above_{a}") + 1).alias("rank"),
+                F.lit(own[a]).cast("double").alias("value"),
+                (F.col(f"_above_{a}") + 1 if own[a] is not None else F.lit(None).cast("bigint")).alias("rank"),
             )
             for a in attributes
         ]
     )
-    return counted.select(F.inline(rows), "peers")
+    return counted.filter(F.col("peers") > 0).select(F.inline(rows), "peers")
 
 
 def average_rank(

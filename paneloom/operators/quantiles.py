@@ -121,13 +121,16 @@ def bin_by_edges(
     df: DataFrame, group: Sequence[str], column: str, edges: DataFrame, name: str, bins: int
 ) -> DataFrame:
     """Add the bin of each row under its group's ``edges``, at most ``bins``."""
-    frame, keys = _with_group(df, group)
-    table = edges if group else edges.withColumn("_all", F.lit(0))
     value = F.col(column).cast("double")
+    if not group:  # one row of at most bins + 1 numbers
+        row = edges.select(_inner(F.col("edges")).alias("inner")).first()
+        inner = F.lit(row["inner"] if row else None).cast("array<double>")
+        return df.withColumn(name, _bin_of(value, inner, bins))
+    table = edges.select(*group, _inner(F.col("edges")).alias("_inner"))
     return (
-        frame.join(table.select(*keys, _inner(F.col("edges")).alias("_inner")), keys, "left")
+        df.join(table, list(group), "left")
         .withColumn(name, _bin_of(value, F.col("_inner"), bins))
-        .drop("_inner", "_all")
+        .drop("_inner")
     )
 
 
