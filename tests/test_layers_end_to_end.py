@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from paneloom import fixed_values
 from paneloom.plans import dataset, panel, standardise, views
 
 POSITIONS = {"QB": "quarterback", "WR": "o_pass", "CB": "d_field"}
