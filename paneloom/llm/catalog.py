@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import sentencepiece_bpe
+from paneloom.llm import language, sentencepiece_bpe
 
 ENTRIES: dict = {}
 register = registrar(ENTRIES)
@@ -27,6 +27,11 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def fold(row_id: str, folds: int, held: int) -> Column:
+    """Whether the checksum of the id puts the row into the held-out fold."""
+    return F.coalesce(F.crc32(F.col(row_id).cast("string")) % folds == held, F.lit(False))
+
+
 def sha256(text) -> Column:
     return F.sha2(text, 256)
 
@@ -42,3 +47,11 @@ def op7_sentencepiece(spark, sf_dir) -> DataFrame:
         sha256(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
         sha256("decoded").alias("decoded_sha256"),
     )
+
+
+@register("op3_language")
+def op3_language(spark, sf_dir) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", fold("doc_id", 3, 1))
+    model = language.fit(docs.filter(~F.col("held_out")))
+    return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
