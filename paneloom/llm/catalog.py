@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import language, sentencepiece_bpe
+from paneloom.llm import language, quality, sentencepiece_bpe
 
 ENTRIES: dict = {}
 register = registrar(ENTRIES)
@@ -55,3 +55,17 @@ def op3_language(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", fold("doc_id", 3, 1))
     model = language.fit(docs.filter(~F.col("held_out")))
     return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+#: Documents of at least this score are predicted good.
+GOOD_SCORE = 0.3
+
+
+@register("op1_quality")
+def op1_quality(spark, sf_dir) -> DataFrame:
+    """The quality of every document, learned from the labels of four fifths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", fold("doc_id", 5, 0))
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~fold("doc_id", 5, 0))
+    model = quality.fit(docs.filter(~F.col("held_out")).join(labels, "doc_id"))
+    scored = quality.score(docs, model).drop("text")
+    return scored.withColumn("predicted", (F.col("score") >= GOOD_SCORE).cast("int"))
