@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import language, quality, sentencepiece_bpe
+from paneloom.llm import language, pii, quality, sentencepiece_bpe
+from paneloom.runtime import store
 
 ENTRIES: dict = {}
 register = registrar(ENTRIES)
@@ -69,3 +70,24 @@ def op1_quality(spark, sf_dir) -> DataFrame:
     model = quality.fit(docs.filter(~F.col("held_out")).join(labels, "doc_id"))
     scored = quality.score(docs, model).drop("text")
     return scored.withColumn("predicted", (F.col("score") >= GOOD_SCORE).cast("int"))
+
+
+def span_list(spans: Column) -> Column:
+    """Spans as text: kind:start:end, joined by commas."""
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+
+@register("op4_pii")
+def op4_pii(spark, sf_dir) -> DataFrame:
+    """Personal data of every document: counts and digest of the base spans, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # Candidates are few and small: the texts are read once.
+    found = store(pii.candidates(docs).drop("text"))
+    spans = pii.classify(found, pii.fit(found))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [
+        F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}") for kind in pii.KINDS
+    ]
+    return spans.select(
+        "doc_id", *counts, sha256(span_list(base)).alias("base_sha256"), span_list(F.col("spans")).alias("spans")
+    )

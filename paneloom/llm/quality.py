@@ -204,7 +204,6 @@ def train(bins: np.ndarray, length: np.ndarray, counts: np.ndarray, labels: np.n
     label = np.repeat(labels, counts)
     inner = np.ones(len(label), bool)
     inner[np.cumsum(counts) - counts] = False
-    # Texts with many lines would outweigh the others.
     seen_pairs = np.zeros((2, 2))
     np.add.at(seen_pairs, (label[inner], label[inner]), 1)
     moments = [np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(chain), np.zeros_like(chain)]
