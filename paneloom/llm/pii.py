@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.pandas.types import from_arrow_type
+from pyspark.sql.types import StringType
 
 from paneloom.llm.frames import free_name, text_of, with_fields, with_outputs
 
@@ -180,7 +182,7 @@ _FOUND = pa.list_(
 )
 
 
-@arrow_udf("array<struct<kind:int,start:int,end:int,base:boolean,code:int>>")
+@arrow_udf(from_arrow_type(_FOUND))
 def _find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         offsets, found = [0], []
@@ -305,7 +307,7 @@ def classify(df: DataFrame, model: PiiModel, column: str = "candidates", output:
     return with_outputs(df, {output: run(F.col(f"`{column}`"))})
 
 
-@arrow_udf("string")
+@arrow_udf(StringType())
 def _mask(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for text, spans in texts:
         out = []
