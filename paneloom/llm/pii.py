@@ -162,7 +162,8 @@ def _code(text: str, kind: int, start: int, end: int, strict: bool) -> int:
     left, right = text[start - 1 : start], text[end : end + 1]
     border = 0 if left.isalnum() or right.isalnum() else 2 if (not left or left.isspace()) else 1
     code = kind
-    for vote in (2 if strict else 0, number, gazetteer, context, border):
+    pattern = 2 if strict else 0 if kind == 2 else 1  # long digit groups without the checksum fail it
+    for vote in (pattern, number, gazetteer, context, border):
         code = code * VOTES + vote
     return code * SHAPES + min(SHAPES - 1, max(0, len(span) - 8) // 6)
 
