@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import language, pii, quality, sentencepiece_bpe
+from paneloom.llm import language, pii, quality, sentencepiece_bpe, simhash
 from paneloom.runtime import store
 
 ENTRIES: dict = {}
@@ -91,3 +91,11 @@ def op4_pii(spark, sf_dir) -> DataFrame:
     return spans.select(
         "doc_id", *counts, sha256(span_list(base)).alias("base_sha256"), span_list(F.col("spans")).alias("spans")
     )
+
+
+@register("op6_simhash")
+def op6_simhash(spark, sf_dir) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
