@@ -19,11 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from paneloom.llm.frames import chunks, joined, text_of, with_fields
+from paneloom.runtime import store
 
 UNDETERMINED = "und"
 LONGEST_GRAM = 4
@@ -76,11 +77,13 @@ def fit(
         text_of(text).alias("text"),
         F.pmod(F.xxhash64(F.lit("fit"), F.col(f"`{row_id}`")), F.lit(1_000_000)).alias("draw"),
     ).filter("lang is not null and text != ''")
-    sizes = rows.groupBy("lang").count()
-    languages = sorted(r["lang"] for r in sizes.select("lang").collect())
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    languages = sorted(sizes)
     if not languages:
         return LanguageModel((), {}, {}, np.zeros((0, 0)), np.zeros((0, 0)))
-    chosen = rows.join(sizes, "lang").filter(F.col("draw") * F.col("count") < F.lit(fit_rows * 1_000_000))
+    # One row per language, which has to be sent whole: the texts stay where they are.
+    quota = df.sparkSession.createDataFrame([(k, fit_rows * 1_000_000 / n) for k, n in sizes.items()], "lang string, most double")
+    chosen = rows.join(F.broadcast(quota), "lang").filter("draw < most")
     counted = (
         chosen.select("lang", "text")
         .mapInArrow(_count_terms, "lang string, size int, term string, n bigint")
@@ -91,15 +94,15 @@ def fit(
         .agg(F.sum("n"))
     )
     columns = [F.coalesce(F.col(f"`{name}`"), F.lit(0)) for name in languages]
-    counted = counted.select("size", "term", F.array(*columns).alias("n"))
-    order = Window.partitionBy("size").orderBy(F.array_max("n").desc(), "term")
-    most = F.when(F.col("size") == 0, most_words).otherwise(most_grams)
     # A word seen once says little; its n-grams are counted.
-    kept = (
-        counted.withColumn("place", F.row_number().over(order))
-        .filter((F.col("place") <= most) & ((F.col("size") > 0) | (F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x) > 1)))
-        .select("size", "term", "n")
+    often = (F.col("size") > 0) | (F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x) > 1)
+    counted = store(counted.select("size", "term", F.array(*columns).alias("n")).filter(often))
+    kept = pa.concat_tables(
+        counted.filter(F.col("size") == size)
+        .orderBy(F.array_max("n").desc(), "term")
+        .limit(most_words if size == 0 else most_grams)
         .toArrow()
+        for size in range(LONGEST_GRAM + 1)
     )
     size = kept["size"].to_numpy()
     count = np.array(kept["n"].to_pylist(), np.float64).reshape(len(size), len(languages))
