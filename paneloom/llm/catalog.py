@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import language, pii, quality, sentencepiece_bpe, simhash
+from paneloom.llm import language, order_minhash, pii, quality, sentencepiece_bpe, simhash
 from paneloom.runtime import store
 
 ENTRIES: dict = {}
@@ -99,3 +99,29 @@ def op6_simhash(spark, sf_dir) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+#: Blocks of neighbouring documents to each shuffle partition, so that the blocks even out.
+BLOCKS_A_PARTITION = 8
+
+
+@register("op10_order_minhash")
+def op10_order_minhash(spark, sf_dir) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = order_minhash.fingerprint(docs, F.col("text"), "own")
+    blocks = BLOCKS_A_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    docs = order_minhash.with_next(docs, "doc_id", ["text", "own"], blocks)
+    size = F.length("text")
+    cut = F.floor(size / 3).cast("int")
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), size - cut), F.substring(F.col("next_text"), F.lit(1), cut))
+    docs = docs.withColumn("n_chars", size.cast("bigint")).withColumn("edited", edited).drop("text", "next_text")
+    docs = docs.withColumn("edited_sha256", sha256("edited"))
+    docs = order_minhash.fingerprint(docs, F.col("edited"), "changed").drop("edited")
+    return docs.select(
+        "doc_id", "n_chars", "edited_sha256",
+        order_minhash.hex_digits(F.col("own")).alias("fingerprint"),
+        order_minhash.hex_digits(F.col("changed")).alias("edited_fingerprint"),
+        order_minhash.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        order_minhash.likeness(F.col("own"), F.col("next_own")).alias("near_next"),
+    )
