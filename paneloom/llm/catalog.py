@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import language, order_minhash, pii, quality, sentencepiece_bpe, simhash
+from paneloom.llm import chat, language, order_minhash, pii, quality, sentencepiece_bpe, simhash
 from paneloom.runtime import store
 
 ENTRIES: dict = {}
@@ -125,3 +125,76 @@ def op10_order_minhash(spark, sf_dir) -> DataFrame:
         order_minhash.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
         order_minhash.likeness(F.col("own"), F.col("next_own")).alias("near_next"),
     )
+
+
+CHAT_SQL = rf"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+), sized AS (
+  SELECT *, length(replace(replace(text, '\', '\\'), '<|', '<\|')) + length(role) + {len(chat.START) + 1 + len(chat.END)} AS chars,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS place
+  FROM rows
+), counted AS (
+  SELECT *, ceil(chars / {chat.CHARS_PER_TOKEN})::BIGINT AS tokens,
+    max(CASE WHEN place = 0 AND role = 'system' THEN ceil(chars / {chat.CHARS_PER_TOKEN})::BIGINT ELSE 0 END)
+      OVER (PARTITION BY conv_id) AS system_tokens
+  FROM sized
+), placed AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY place)::BIGINT - tokens - system_tokens AS start,
+    greatest({chat.BUDGET - chat.HISTORY} - system_tokens, 1) AS size
+  FROM counted
+), cut AS (
+  SELECT *, (start + tokens - 1) // size AS last, NOT (place = 0 AND role = 'system') AS fresh FROM placed
+), new AS (
+  SELECT *, 2 * last + (CASE WHEN start // size = last THEN 1 ELSE 0 END) AS win FROM cut WHERE fresh
+), heads AS (
+  SELECT conv_id, win, min(start) AS from_start FROM new GROUP BY ALL
+), lengths AS (
+  SELECT conv_id, chars FROM new
+  UNION ALL
+  SELECT n.conv_id, n.chars FROM heads h JOIN new n
+    ON n.conv_id = h.conv_id AND n.start < h.from_start AND n.start >= h.from_start - {chat.HISTORY}
+  UNION ALL
+  SELECT c.conv_id, c.chars * greatest((SELECT count(*) FROM heads h WHERE h.conv_id = c.conv_id), 1) FROM cut c WHERE NOT fresh
+), totals AS (
+  SELECT conv_id, sum(chars)::BIGINT AS formatted_chars FROM lengths GROUP BY 1
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY place), '')) AS loss_sha256,
+  any_value(formatted_chars) AS formatted_chars
+FROM sized JOIN totals USING (conv_id) GROUP BY conv_id
+"""
+
+
+@register("op5_chat", CHAT_SQL)
+def op5_chat(spark, sf_dir) -> DataFrame:
+    """What the training windows of every conversation hold, read back from their text."""
+    said = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    shown = chat.windows(rows.unionByName(extra))
+    turns = chat.read_turns(F.col("formatted"))
+    fresh = F.slice(turns, F.col("repeated") + 1, F.greatest(F.size(turns) - F.col("repeated"), F.lit(0)))
+    read = shown.select(
+        "conv_id", "window",
+        F.size(fresh).alias("turns"),
+        F.concat_ws("", F.transform(fresh, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))).alias("said"),
+        F.concat_ws("", chat.read_targets(F.col("formatted"), F.col("loss_spans"))).alias("loss"),
+        F.length("formatted").alias("chars"),
+    )
+    # The digest of a whole conversation needs its text in one row.
+    whole = F.sort_array(F.collect_list(F.struct("window", "said", "loss")))
+    joined = read.groupBy("conv_id").agg(
+        F.sum("turns").alias("n_turns"), F.sum("chars").alias("formatted_chars"), whole.alias("parts")
+    )
+    loss = F.concat_ws("", "parts.loss")
+    return joined.select(
+        "conv_id", "n_turns", sha256(F.concat_ws("", "parts.said")).alias("turns_sha256"),
+        F.length(loss).cast("bigint").alias("loss_chars"), sha256(loss).alias("loss_sha256"), "formatted_chars",
+    )
