@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import chat, language, order_minhash, pii, quality, sentencepiece_bpe, simhash
+from paneloom.llm import chat, language, licenses, order_minhash, pii, quality, sentencepiece_bpe, simhash
 from paneloom.runtime import store
 
 ENTRIES: dict = {}
@@ -198,3 +198,44 @@ def op5_chat(spark, sf_dir) -> DataFrame:
         "conv_id", "n_turns", sha256(F.concat_ws("", "parts.said")).alias("turns_sha256"),
         F.length(loss).cast("bigint").alias("loss_chars"), sha256(loss).alias("loss_sha256"), "formatted_chars",
     )
+
+
+def _license_sql() -> str:
+    """The same notices by comparing every window with every template, without bands."""
+    values = ", ".join(f"('{name}', '{text.replace(chr(39), chr(39) * 2)}')" for name, text in sorted(licenses.TEMPLATES.items()))
+    words = f"regexp_extract_all(lower(text), '{licenses.WORD}')"
+    run = " || ' ' || ".join(f"words[i + {n}]" for n in range(licenses.SHINGLE_WORDS))
+    return rf"""
+WITH templates(license, text) AS (VALUES {values}),
+template_words AS (SELECT license, {words} AS words FROM templates),
+owned AS (
+  SELECT DISTINCT license, {run} AS shingle
+  FROM (SELECT license, words, unnest(range(1, len(words) - {licenses.SHINGLE_WORDS - 2})) AS i FROM template_words)
+), sizes AS (
+  SELECT license, count(*) AS size, ceil(log2(count(*)))::INTEGER AS class FROM owned GROUP BY 1
+), layouts AS (
+  SELECT class, ceil(max(size) / 2)::BIGINT AS step, max(size) + ceil(max(size) / 2)::BIGINT AS width FROM sizes GROUP BY 1
+), doc_words AS (SELECT doc_id, {words} AS words FROM documents),
+hits AS (
+  SELECT doc_id, license, i - 1 AS i, shingle FROM (
+    SELECT doc_id, i, {run} AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - {licenses.SHINGLE_WORDS - 2})) AS i FROM doc_words)
+  ) JOIN owned USING (shingle)
+), placed AS (
+  SELECT doc_id, license, i, shingle, step,
+    unnest(range(greatest(0, (i - width + step) // step), i // step + 1)) AS part
+  FROM hits JOIN sizes USING (license) JOIN layouts USING (class)
+), held AS (
+  SELECT doc_id, license, part, count(DISTINCT shingle) / any_value(size) AS containment,
+    min(i) AS first_word, max(i) + {licenses.SHINGLE_WORDS - 1} AS last_word
+  FROM placed JOIN sizes USING (license) GROUP BY 1, 2, 3
+)
+SELECT doc_id, license, containment, first_word, last_word FROM held WHERE containment >= {licenses.CONTAINMENT}
+QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY containment DESC, part) = 1
+"""
+
+
+@register("op9_licenses", _license_sql())
+def op9_licenses(spark, sf_dir) -> DataFrame:
+    """The license notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
