@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import chat, language, licenses, order_minhash, pii, quality, sentencepiece_bpe, simhash
+from paneloom.llm import chat, epsilon_grid, language, licenses, order_minhash, pii, quality, sentencepiece_bpe, simhash
 from paneloom.runtime import store
 
 ENTRIES: dict = {}
@@ -239,3 +239,9 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY containment DES
 def op9_licenses(spark, sf_dir) -> DataFrame:
     """The license notices in every document."""
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@register("op8_epsilon_grid")
+def op8_epsilon_grid(spark, sf_dir) -> DataFrame:
+    """Links and near-duplicate component of every embedding."""
+    return epsilon_grid.near_vectors(table(spark, sf_dir, "embeddings"))

@@ -132,7 +132,7 @@ def template_classes(spark, templates: dict[str, str], containment: float, retri
 
 
 def _literal(values: list[int]) -> Column:
-    return F.array(*[F.lit(v).cast("bigint") for v in values])
+    return F.array(*[F.lit(v) for v in values]).cast("array<bigint>")
 
 
 def scan(
