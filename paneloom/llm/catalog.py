@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import chat, epsilon_grid, language, licenses, order_minhash, pii, quality, sentencepiece_bpe, simhash
+from paneloom.llm import chat, epsilon_grid, language, licenses, mixing, order_minhash, pii, quality, sentencepiece_bpe, simhash
 from paneloom.runtime import store
 
 ENTRIES: dict = {}
@@ -245,3 +245,72 @@ def op9_licenses(spark, sf_dir) -> DataFrame:
 def op8_epsilon_grid(spark, sf_dir) -> DataFrame:
     """Links and near-duplicate component of every embedding."""
     return epsilon_grid.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: The mixture of the queries: weights of the nodes of each level, budget as a share of all tokens.
+DOMAINS = 4
+MIX_WEIGHTS = ({"d0": 4, "d1": 2}, {"en": 2, "fr": 3}, {"src0": 2, "src1": 5})
+MIX_SHARE, MIX_EPOCHS = 0.8, 3
+
+
+def mix_levels() -> dict[str, Column]:
+    """Domain (from the number of the source), language and source."""
+    number = F.regexp_extract("source", "([0-9]+)$", 1)
+    domain = F.when(number != "", F.concat(F.lit("d"), number.cast("bigint") % DOMAINS))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def _mix_sql() -> str:
+    """The same mixture with one window over every leaf."""
+    names = ["domain", "lang", "source"]
+    ctes, parents = [], []
+    for depth, name in enumerate(names):
+        path = names[: depth + 1]
+        cases = " ".join(f"WHEN {name} = '{k}' THEN {float(v)}" for k, v in MIX_WEIGHTS[depth].items())
+        of = ", ".join(path)
+        group = f"PARTITION BY {', '.join(parents)}" if parents else ""
+        budget = f"JOIN granted{depth - 1} USING ({', '.join(parents)})" if parents else "CROSS JOIN total"
+        ctes.append(f"""
+nodes{depth} AS (
+  SELECT *, CASE {cases} ELSE 1.0 END::DOUBLE AS weight
+  FROM (SELECT {of}, sum(tokens)::BIGINT * {MIX_EPOCHS} AS capacity FROM rows GROUP BY ALL) {budget}
+), stands{depth} AS (
+  SELECT *, (budget - coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS stand
+  FROM nodes{depth} WINDOW w AS ({group} ORDER BY capacity / weight, {of})
+), granted{depth} AS (
+  SELECT {of}, greatest(least(capacity::DOUBLE, max(stand) OVER ({group}) * weight), 0.0) AS budget FROM stands{depth}
+)""")
+        parents = path
+    return f"""
+WITH rows AS (
+  SELECT doc_id, coalesce(CASE WHEN regexp_matches(source, '[0-9]+$')
+      THEN 'd' || (regexp_extract(source, '([0-9]+)$', 1)::BIGINT % {DOMAINS}) END, '?') AS domain,
+    coalesce(lang, '?') AS lang, coalesce(source, '?') AS source,
+    greatest(ceil(length(coalesce(text, '')) / {mixing.CHARS_PER_TOKEN}), 1)::BIGINT AS tokens
+  FROM documents
+), total AS (SELECT floor(sum(tokens) * {MIX_SHARE}::DOUBLE)::DOUBLE AS budget FROM rows), {",".join(ctes)},
+leaves AS (
+  SELECT domain, lang, source, sum(tokens)::BIGINT AS size FROM rows GROUP BY ALL
+), quotas AS (
+  SELECT *, least(floor(budget / size), {MIX_EPOCHS})::BIGINT AS full_epochs FROM leaves JOIN granted2 USING (domain, lang, source)
+), hashed AS (
+  SELECT *, md5('{mixing.SEED}:' || full_epochs || ':' || coalesce(doc_id::VARCHAR, '?')) AS hash
+  FROM rows JOIN quotas USING (domain, lang, source)
+), spent AS (
+  SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY hash, doc_id) AS spent FROM hashed
+), taken AS (
+  SELECT *, full_epochs + (CASE WHEN full_epochs < {MIX_EPOCHS} AND spent <= floor(budget) - full_epochs * size
+    THEN 1 ELSE 0 END) AS copies FROM spent
+)
+SELECT doc_id, domain, lang, source, tokens, copies::BIGINT AS copies FROM taken WHERE copies > 0
+"""
+
+
+@register("op2_mixing", _mix_sql())
+def op2_mixing(spark, sf_dir) -> DataFrame:
+    """The documents that the mixture takes, and how often."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    taken = mixing.mix(docs, mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS)
+    levels = [F.coalesce(c.cast("string"), F.lit("?")).alias(n) for n, c in mix_levels().items()]
+    return taken.select("doc_id", *levels, mixing.token_count("text").alias("tokens"), "copies")
