@@ -32,8 +32,10 @@ from paneloom.runtime import store
 COSINE = 0.95
 #: Principal dimensions that order the vectors and bound the boxes.
 DIMENSIONS = 12
-#: Vectors of a leaf, and parts of each interval of the tree.
-LEAF, FAN = 256, 8
+#: Vectors of a leaf, which are sent together, and parts of each interval of the tree.
+LEAF, FAN = 2_048, 8
+#: Vectors of an interval inside a leaf; below this the join compares all with all.
+BLOCK = 256
 #: Cosines this near the threshold are taken again without a matrix product.
 ROUNDING = 1e-12
 
@@ -106,7 +108,8 @@ def _leaves(vectors: DataFrame, axes: np.ndarray, epsilon: float, leaf: int) ->
                 [
                     pa.array([part], pa.int32()), pa.array([number], pa.int64()),
                     pa.array([take["node"].to_numpy().astype(np.int64).tobytes()]),
-                    pa.array([take["copies"].to_numpy().astype(np.int64).tobytes()]), pa.array([raw.tobytes()]),
+                    pa.array([take["copies"].to_numpy().astype(np.int64).tobytes()]),
+                    pa.array([raw.astype(np.float32).tobytes()]),
                     pa.array([low.tolist()], pa.list_(pa.float64())), pa.array([high.tolist()], pa.list_(pa.float64())),
                 ],
                 names=["part", "number", "nodes", "copies", "vectors", "low", "high"],
@@ -193,26 +196,56 @@ def block_links(raw_a, raw_b, copies_a, copies_b, cosine: float, same: bool):
     return linked @ copies_b, copies_a @ linked, linked
 
 
-def spanning(linked: np.ndarray, same: bool) -> list[tuple[int, int]]:
-    """Enough of the links to connect all that they connect; columns count from the number of rows on, unless same."""
-    rows = linked.shape[0]
-    parent = list(range(rows if same else rows + linked.shape[1]))
+class Forest:
+    """Keeps enough of the links it is shown to connect all that they connect."""
 
-    def root(x: int) -> int:
+    def __init__(self, nodes: int):
+        self.parent = list(range(nodes))
+        self.kept: list[tuple[int, int]] = []
+
+    def root(self, x: int) -> int:
+        parent = self.parent
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
         return x
 
-    kept = []
-    for i in np.flatnonzero(linked.any(axis=1)).tolist():
-        for j in np.flatnonzero(linked[i]).tolist():
-            to = j if same else rows + j
-            x, y = root(i), root(to)
+    def add(self, linked: np.ndarray, row: int, column: int) -> None:
+        """Links between the nodes from ``row`` on and those from ``column`` on."""
+        for i, j in zip(*map(np.ndarray.tolist, np.nonzero(linked)), strict=True):
+            x, y = self.root(row + i), self.root(column + j)
             if x != y:
-                parent[x] = y
-                kept.append((i, to))
-    return kept
+                self.parent[x] = y
+                self.kept.append((row + i, column + j))
+
+
+def leaf_links(raw, copies, cosine: float, same: bool, axes: np.ndarray, epsilon: float, block: int = BLOCK):
+    """Links of the vectors of a pair of leaves, counted with copies, and a forest over both.
+
+    ``raw`` and ``copies`` have the two leaves; blocks of them whose boxes are more than epsilon apart are skipped.
+    """
+    cuts = [range(0, len(r), block) for r in raw]
+    boxes = []
+    for r, starts in zip(raw, cuts, strict=True):
+        turned = _unit(r) @ axes
+        boxes.append([(turned[i : i + block].min(axis=0) - 1e-9, turned[i : i + block].max(axis=0) + 1e-9) for i in starts])
+    counts = [np.zeros(len(r), np.int64) for r in raw]
+    offset = 0 if same else len(raw[0])
+    forest = Forest(offset + len(raw[1]))
+    for n, i in enumerate(cuts[0]):
+        for m, j in enumerate(cuts[1]):
+            gap = np.maximum(np.maximum(boxes[0][n][0] - boxes[1][m][1], boxes[1][m][0] - boxes[0][n][1]), 0)
+            if same and m < n or gap @ gap > epsilon * epsilon:
+                continue
+            rows, columns = slice(i, i + block), slice(j, j + block)
+            of_a, of_b, linked = block_links(
+                raw[0][rows], raw[1][columns], copies[0][rows], copies[1][columns], cosine, same and n == m
+            )
+            counts[0][rows] += of_a
+            if not (same and n == m):
+                counts[0 if same else 1][columns] += of_b
+            forest.add(linked, i, offset + j)
+    return counts, forest.kept
 
 
 def near_vectors(
@@ -237,6 +270,7 @@ def near_vectors(
     nodes = nodes.withColumn("node", F.coalesce("node", F.lit(-(2**63))))
     epsilon = math.sqrt(2 - 2 * cosine) + 1e-9
     axes = principal_axes(nodes, size, min(dimensions, size))
+    sent = df.sparkSession.sparkContext.broadcast(axes)
     leaves, total = _numbered(_leaves(nodes, axes, epsilon, leaf))
     pairs = _near_leaves(leaves.select("leaf", "low", "high"), total, epsilon, fan)
     content = ["nodes", "copies", "vectors"]
@@ -249,14 +283,12 @@ def near_vectors(
                 value = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
                 ids = [np.frombuffer(value[f"{s}_nodes"], np.int64) for s in "ab"]
                 copies = [np.frombuffer(value[f"{s}_copies"], np.int64) for s in "ab"]
-                raw = [np.frombuffer(value[f"{s}_vectors"], np.float64).reshape(-1, size) for s in "ab"]
+                raw = [np.frombuffer(value[f"{s}_vectors"], np.float32).astype(np.float64).reshape(-1, size) for s in "ab"]
                 same = value["a"] == value["b"]
-                of_a, of_b, linked = block_links(*raw, *copies, cosine, same)
-                both = np.concatenate(ids)
-                found = [(int(ids[0][i]), None, int(of_a[i])) for i in np.flatnonzero(of_a)]
-                if not same:
-                    found += [(int(ids[1][j]), None, int(of_b[j])) for j in np.flatnonzero(of_b)]
-                found += [(int(both[i]), int(both[j]), 0) for i, j in spanning(linked, same)]
+                counts, kept = leaf_links(raw, copies, cosine, same, sent.value, epsilon)
+                both = ids[0] if same else np.concatenate(ids)
+                found = [(int(n), None, int(c)) for own, count in zip(ids, counts, strict=True) for n, c in zip(own, count, strict=True) if c]
+                found += [(int(both[i]), int(both[j]), 0) for i, j in kept]
                 columns = zip(*found, strict=True) if found else [()] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["node", "to", "n"])
 
