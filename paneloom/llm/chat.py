@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paneloom.runtime import store
+
 START, END = "<|im_start|>", "<|im_end|>\n"
 #: Tokens of a window, and of these the most for repeated turns.
 BUDGET, HISTORY = 1_024, 256
@@ -94,7 +96,8 @@ def windows(
     Returns conv_id, window (ascending, with gaps), formatted, repeated (its number of leading
     turns that stand for context only) and loss_spans (start and length in code points of each target).
     """
-    placed = _placed(_turns(df, chars_per_token), budget, history)
+    # Turns are new, repeated and system turns: placed once, read for each.
+    placed = store(_placed(_turns(df, chars_per_token), budget, history))
     turn = ["conv_id", "conv", "place", "role", "text"]
     new = placed.filter(~F.col("is_system"))
     heads = new.groupBy("conv", "window").agg(F.min("start").alias("from_start"), F.min("place").alias("from_place"))
