@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from paneloom.llm.components import connected_components
-from paneloom.llm.frames import chunks, joined, text_of, with_outputs
+from paneloom.llm.frames import chunks, free_name, joined, text_of, with_outputs
 from paneloom.runtime import store
 
 SHINGLE_WORDS = 4
@@ -172,8 +172,9 @@ def keep_one(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataF
     texts stay if no row with an id is near them.
     """
     found = near_duplicates(df.select(row_id, text), row_id, text)
-    kept = found.filter(F.col(row_id).eqNullSafe(F.col("component_id"))).select(F.col(row_id).alias("_kept")).distinct()
-    rows = df.join(kept, F.col(f"`{row_id}`").eqNullSafe(F.col("_kept")), "left_semi")
+    kept, place = free_name(df, "_kept"), free_name(df, "_place")
+    names = found.filter(F.col(row_id).eqNullSafe(F.col("component_id"))).select(F.col(row_id).alias(kept)).distinct()
+    rows = df.join(names, F.col(f"`{row_id}`").eqNullSafe(F.col(kept)), "left_semi")
     nameless = F.when(F.col(f"`{row_id}`").isNull(), F.xxhash64(text_of(text)))
     first = F.row_number().over(Window.partitionBy(F.col(f"`{row_id}`"), nameless).orderBy(text_of(text)))
-    return rows.withColumn("_place", first).filter("_place = 1").drop("_place")
+    return rows.withColumn(place, first).filter(F.col(place) == 1).drop(place)
