@@ -38,7 +38,7 @@ FIT_ROWS = 2_000
 #: score is taken, else every longer text would score 0 or 1.
 SCORE_WORDS = 8
 #: Words that a task remembers the scores of.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -229,4 +229,5 @@ def predict(
                 names=[output, score],
             )
 
-    return with_fields(df, run(text_of(text)), [output, score])
+    # Else a filter on the language or the score would run the prediction a second time.
+    return with_fields(df, run.asNondeterministic()(text_of(text)), [output, score])

@@ -34,7 +34,7 @@ SPACE = "▁"
 #: Rank of a pair that the vocabulary doesn't have.
 NONE = np.int32(2**31 - 1)
 #: A task forgets its merged words beyond this many.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 150_000
 
 IDS = pa.list_(pa.int32())
 
@@ -305,25 +305,14 @@ def _vocabulary(model_file: str) -> Vocabulary:
     return Vocabulary(model_file)
 
 
-#: The encoder of a Python worker, kept from task to task with the words it remembers.
-_encoders: dict[str, Encoder] = {}
-
-
 class _Shared:
     """The vocabulary, built on the driver and sent once to each executor (some MB, by the size of the model)."""
 
     def __init__(self, spark, model_file: str):
-        self.model_file = model_file
         self.sent = spark.sparkContext.broadcast(_vocabulary(model_file))
 
-    def encoder(self) -> Encoder:
-        if self.model_file not in _encoders:
-            _encoders.clear()
-            _encoders[self.model_file] = Encoder(self.sent.value)
-        return _encoders[self.model_file]
-
     def get(self) -> Vocabulary:
-        return self.encoder().vocabulary
+        return self.sent.value
 
 
 def _list_array(flat: np.ndarray, counts: np.ndarray) -> pa.Array:
@@ -337,7 +326,7 @@ def encode(df: DataFrame, model_file: str, text: str = "text", ids: str = "ids")
 
     @arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = shared.encoder()
+        encoder = Encoder(shared.get())
         for batch in batches:
             yield joined((_list_array(*encoder.encode(part)) for part in chunks(batch)), IDS)
 
@@ -366,7 +355,7 @@ def encode_and_decode(
 
     @arrow_udf(f"struct<`{ids}`: array<int>, `{decoded}`: string>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = shared.encoder()
+        encoder = Encoder(shared.get())
         for batch in batches:
             lists, texts = [], []
             for part in chunks(batch):
