@@ -5,12 +5,24 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are worked on in pieces of about this many characters, which bounds the
 #: memory of a task whatever the number of rows in an Arrow batch.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 500_000
+
+
+#: Rows of an Arrow batch. A row is a whole document, and a batch is held several
+#: times over: in the executor, on its way, and in the Python worker.
+BATCH_ROWS = "1000"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def document_batches(spark: SparkSession) -> None:
+    """Lower the session's default batch size; a size that the user has chosen stays."""
+    if spark.conf.get(_BATCH_SETTING) == "10000":
+        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
 
 
 def text_of(column: str) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from paneloom.llm.frames import chunks, joined, text_of, with_fields
+from paneloom.llm.frames import chunks, document_batches, joined, text_of, with_fields
 from paneloom.runtime import store
 
 UNDETERMINED = "und"
@@ -38,7 +38,7 @@ FIT_ROWS = 2_000
 #: score is taken, else every longer text would score 0 or 1.
 SCORE_WORDS = 8
 #: Words that a task remembers the scores of.
-REMEMBERED_WORDS = 150_000
+REMEMBERED_WORDS = 100_000
 
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -78,6 +78,7 @@ def fit(
         F.pmod(F.xxhash64(F.lit("fit"), F.col(f"`{row_id}`")), F.lit(1_000_000)).alias("draw"),
     ).filter("lang is not null and text != ''")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    document_batches(df.sparkSession)
     languages = sorted(sizes)
     if not languages:
         return LanguageModel((), {}, {}, np.zeros((0, 0)), np.zeros((0, 0)))
@@ -214,6 +215,7 @@ def predict(
     df: DataFrame, model: LanguageModel, text: str = "text", output: str = "lang_pred", score: str = "score"
 ) -> DataFrame:
     """Add the language of every text and a score between 0 and 1."""
+    document_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     @arrow_udf(f"struct<`{output}`: string, `{score}`: double>")

@@ -30,7 +30,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.types import StringType
 
-from paneloom.llm.frames import free_name, text_of, with_fields, with_outputs
+from paneloom.llm.frames import document_batches, free_name, text_of, with_fields, with_outputs
 
 KINDS = ("email", "ip", "card", "phone")
 #: Probability from which a candidate that no base pattern finds becomes a span.
@@ -198,6 +198,7 @@ def _find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 def candidates(df: DataFrame, text: str = "text", output: str = "candidates") -> DataFrame:
     """Add the candidates of every text with their vote codes; offsets count code points."""
+    document_batches(df.sparkSession)
     return with_outputs(df, {output: _find(text_of(text))})
 
 
@@ -327,6 +328,7 @@ def _mask(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 def redact(df: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame:
     """Replace every span by its kind in angle brackets; of overlapping spans the first names the kind."""
+    document_batches(df.sparkSession)
     masked = F.when(F.size(f"`{spans}`") > 0, _mask(F.col(f"`{text}`"), F.col(f"`{spans}`"))).otherwise(F.col(f"`{text}`"))
     return df.withColumn(text, masked)
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from paneloom.llm.frames import chunks, joined, text_of, with_outputs
+from paneloom.llm.frames import chunks, document_batches, joined, text_of, with_outputs
 
 #: Bounds of the fit: rows of each label, about, and lines of each row; rows with
 #: more lines teach nothing, but are scored like all others.
@@ -286,6 +286,7 @@ def fit(
 
 def score(df: DataFrame, model: QualityModel, text: str = "text", output: str = "score") -> DataFrame:
     """Add the quality of every text, between 0 and 1."""
+    document_batches(df.sparkSession)
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     @arrow_udf("double")

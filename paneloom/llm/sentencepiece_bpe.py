@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from paneloom.llm.frames import chunks, joined, text_of, with_fields, with_outputs
+from paneloom.llm.frames import chunks, document_batches, joined, text_of, with_fields, with_outputs
 
 SPACE = "▁"
 #: Rank of a pair that the vocabulary doesn't have.
 NONE = np.int32(2**31 - 1)
 #: A task forgets its merged words beyond this many.
-REMEMBERED_WORDS = 150_000
+REMEMBERED_WORDS = 100_000
 
 IDS = pa.list_(pa.int32())
 
@@ -309,6 +309,7 @@ class _Shared:
     """The vocabulary, built on the driver and sent once to each executor (some MB, by the size of the model)."""
 
     def __init__(self, spark, model_file: str):
+        document_batches(spark)
         self.sent = spark.sparkContext.broadcast(_vocabulary(model_file))
 
     def get(self) -> Vocabulary:

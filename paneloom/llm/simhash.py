@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from paneloom.llm.components import connected_components
-from paneloom.llm.frames import chunks, free_name, joined, text_of, with_outputs
+from paneloom.llm.frames import chunks, document_batches, free_name, joined, text_of, with_outputs
 from paneloom.runtime import store
 
 SHINGLE_WORDS = 4
@@ -76,6 +76,7 @@ def fingerprints_of(texts: list[str], size: int = SHINGLE_WORDS) -> np.ndarray:
 def fingerprints(df: DataFrame, text: str = "text", output: str = "fingerprint", size: int = SHINGLE_WORDS) -> DataFrame:
     """Add the fingerprint of every text as a 64-bit number."""
 
+    document_batches(df.sparkSession)
     @arrow_udf("bigint")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
