@@ -67,7 +67,7 @@ def op1_quality(spark, sf_dir) -> DataFrame:
     """The quality of every document, learned from the labels of four fifths of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", fold("doc_id", 5, 0))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~fold("doc_id", 5, 0))
-    model = quality.fit(docs.filter(~F.col("held_out")).join(labels, "doc_id"))
+    model = quality.fit(docs.filter(~F.col("held_out")), labels=labels)
     scored = quality.score(docs, model).drop("text")
     return scored.withColumn("predicted", (F.col("score") >= GOOD_SCORE).cast("int"))
 

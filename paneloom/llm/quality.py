@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from paneloom.llm.frames import chunks, document_batches, joined, text_of, with_outputs
+from paneloom.runtime import store
 
 #: Bounds of the fit: rows of each label, about, and lines of each row; rows with
 #: more lines teach nothing, but are scored like all others.
@@ -239,22 +240,31 @@ def fit(
     row_id: str = "doc_id",
     fit_rows: int = FIT_ROWS,
     fit_lines: int = FIT_LINES,
+    labels: DataFrame | None = None,
 ) -> QualityModel:
     """Learn from about ``fit_rows`` rows of each label, chosen by a hash of the row id.
 
+    The labels are a column of ``df`` or of a table of their own, ``labels``, which has the row id
+    too; its rows are then chosen before they meet their texts, so that no other text is moved. There a
+    row without an id teaches nothing, and repeated rows of the table teach once.
+
     Lines become bins on the executors; the driver gets at most about
     2 x fit_rows x fit_lines x WIDTH bytes.
     """
-    rows = df.select(
-        F.col(f"`{label}`").cast("int").alias("label"),
-        text_of(text).alias("text"),
-        F.pmod(F.xxhash64(F.lit("fit"), F.col(f"`{row_id}`")), F.lit(1_000_000)).alias("draw"),
-    ).filter("label in (0, 1)")
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    own_id = F.col(f"`{row_id}`").alias("id")
+    marked = (df if labels is None else labels).withColumn("__label", F.col(f"`{label}`").cast("int")).filter("__label in (0, 1)")
+    sizes = {r["__label"]: r["count"] for r in marked.groupBy("__label").count().collect()}
     if len(sizes) < 2:
         return QualityModel(np.zeros(WIDTH * (BINS + 1)), np.zeros((2, 2)), (1.0, 0.0))
-    quota = F.when(F.col("label") == 0, sizes[0]).otherwise(sizes[1])
-    chosen = rows.filter(F.col("draw") * quota < F.lit(fit_rows * 1_000_000)).select("label", "text")
+    quota = F.when(F.col("__label") == 0, sizes[0]).otherwise(sizes[1])
+    draw = F.pmod(F.xxhash64(F.lit("fit"), F.col(f"`{row_id}`")), F.lit(1_000_000))
+    chosen = marked.filter(draw * quota < F.lit(fit_rows * 1_000_000))
+    if labels is None:
+        chosen = chosen.select(F.col("__label").alias("label"), text_of(text).alias("text"))
+    else:
+        # About 2 x fit_rows ids: stored with their size known, they are sent to the texts.
+        chosen = store(chosen.select(own_id, F.col("__label").alias("label")).filter("id is not null").distinct())
+        chosen = df.select(own_id, text_of(text).alias("text")).join(chosen, "id").select("label", "text")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -275,13 +285,13 @@ def fit(
                 at += len(part)
 
     got = chosen.mapInArrow(extract, "label int, bins binary, length binary").toArrow().sort_by("bins")
-    labels = got["label"].to_numpy().astype(np.int64)
-    if len(set(labels.tolist())) < 2:
+    label_of = got["label"].to_numpy().astype(np.int64)
+    if len(set(label_of.tolist())) < 2:
         return QualityModel(np.zeros(WIDTH * (BINS + 1)), np.zeros((2, 2)), (1.0, 0.0))
     length = np.concatenate([np.frombuffer(b, np.int64) for b in got["length"].to_pylist()])
     counts = np.array([len(b) // WIDTH for b in got["bins"].to_pylist()], np.int64)
     bins = np.concatenate([np.frombuffer(b, np.uint8).reshape(-1, WIDTH) for b in got["bins"].to_pylist()])
-    return train(bins, length, counts, labels, sizes[1] / (sizes[0] + sizes[1]))
+    return train(bins, length, counts, label_of, sizes[1] / (sizes[0] + sizes[1]))
 
 
 def score(df: DataFrame, model: QualityModel, text: str = "text", output: str = "score") -> DataFrame:

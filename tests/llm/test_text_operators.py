@@ -81,6 +81,10 @@ def test_quality_edges(spark, edge_docs, no_docs):
     model = quality.fit(edge_docs.selectExpr("*", "CASE WHEN doc_id IN (7, 8) THEN 0 WHEN doc_id = 2 THEN 9 ELSE 1 END AS quality"))
     rows = check_shape(quality.score(edge_docs, model), edge_docs, ["score"])
     assert all(0 <= r["score"] <= 1 for r in rows)
+    marks = edge_docs.selectExpr("doc_id", "CASE WHEN doc_id IN (7, 8) THEN 0 WHEN doc_id = 2 THEN 9 ELSE 1 END AS quality")
+    apart = quality.fit(edge_docs.filter("doc_id is not null"), labels=marks.filter("doc_id is not null"))
+    with_null = quality.fit(edge_docs, labels=marks.union(marks))
+    assert np.array_equal(apart.weights, with_null.weights) and apart.weights.any()
     same = {r["score"] for r in rows if r["doc_id"] in (1, 5)}
     assert len(same) == 1 and quality.score(no_docs, model).count() == 0
 
