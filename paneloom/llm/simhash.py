@@ -22,7 +22,7 @@ gives an empty result. Input columns named like an output are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -100,6 +100,23 @@ def _list_keys(value: Column, choices: list[tuple[int, ...]], width: int) -> Col
     return F.array(*keys)
 
 
+def _table(rows: Iterable[Iterable[int]]) -> Column:
+    return F.array(*[F.array(*map(F.lit, row)) for row in rows])
+
+
+def _packed(value: Column, places: Column, width: int, start: Column) -> Column:
+    """``start`` followed by the parts of the value at an array of places: one short expression for all choices.
+
+    The plan of the long lists is kept and shown by the driver once a stage, so it has to stay small.
+    """
+
+    def add(key: Column, place: Column) -> Column:
+        part = F.call_function("shiftrightunsigned", value, place * width).bitwiseAND((1 << width) - 1)
+        return F.shiftleft(key, width).bitwiseOR(part)
+
+    return F.aggregate(places, start, add)
+
+
 def _in_lists(df: DataFrame, keys: list[str]) -> DataFrame:
     """The entries of lists that have more than one, with the length of the list."""
     counted = df.withColumn("entries", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
@@ -121,14 +138,11 @@ def near_pairs(values: DataFrame, distance: int = DISTANCE, long_list: int = LON
     # packed into one number and listed by the half bytes that must match.
     halves = 2 * distance
     inner = list(combinations(range(halves), halves - distance))
-    choice = F.shiftrightunsigned("key", 8 * matches)
-    rest = F.lit(None).cast("bigint")
-    for number, places in enumerate(choices):
-        packed = F.lit(0).cast("bigint")
-        for place in sorted(set(range(BYTES)) - set(places)):
-            packed = F.shiftleft(packed, 8).bitwiseOR(_part(F.col("value"), place, 8))
-        rest = F.when(choice == number, packed).otherwise(rest)
-    split = long.withColumn("rest", rest).withColumn("inner_key", F.explode(_list_keys(F.col("rest"), inner, 4)))
+    others = [[p for p in reversed(range(BYTES)) if p not in places] for places in choices]
+    own = F.get(_table(others), F.shiftrightunsigned("key", 8 * matches).cast("int"))
+    keys = F.transform(_table(inner), lambda places, number: _packed(F.col("rest"), places, 4, number.cast("bigint")))
+    split = long.withColumn("rest", _packed(F.col("value"), own, 8, F.lit(0).cast("bigint")))
+    split = split.withColumn("inner_key", F.explode(keys))
     split = _in_lists(split.drop("entries", "rest"), ["key", "inner_key"])
     return found.union(_verified(split, ["key", "inner_key"], distance)).distinct()
 
