@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,6 +14,23 @@ def to_number(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
+def number(value: Column) -> Column:
+    """Double; NaN is a gap, hence null."""
+    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+
+
+def nan_to_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """NaN becomes null in those of the columns that hold floating numbers."""
+    kinds = dict(df.dtypes)
+    return df.withColumns(
+        {
+            c: F.nanvl(F.col(c), F.lit(None).cast(kinds[c]))
+            for c in columns
+            if kinds.get(c) in ("double", "float")
+        }
+    )
+
+
 def to_whole(value: Column) -> Column:
     """Nullable integer, null for text that is not a number."""
     return to_number(value).try_cast("int")
@@ -38,7 +55,8 @@ def weighted_sum(weights: Mapping[str, float]) -> Column:
 
 
 def clipped(value: Column, low: float, high: float) -> Column:
-    """Value limited to [low, high]; null stays null."""
+    """Value limited to [low, high]; null and NaN give null."""
+    value = number(value)
     return F.when(value < low, F.lit(low)).when(value > high, F.lit(high)).otherwise(value)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom import fixed_values
-from paneloom.functions.numbers import to_whole
+from paneloom.functions.numbers import nan_to_null, number, to_whole
 from paneloom.functions.text import map_values
 from paneloom.runtime import store
 
@@ -92,7 +92,7 @@ def coerce_whole(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+    return nan_to_null(df, list(defaults)).withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
 def fill_above_max(df: DataFrame, group: Sequence[str], column: str, where: Column | None = None) -> DataFrame:
@@ -100,6 +100,7 @@ def fill_above_max(df: DataFrame, group: Sequence[str], column: str, where: Colu
 
     With ``where`` only its rows are read and filled.
     """
+    df = nan_to_null(df, [column])
     chosen = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     tops = store(df.filter(chosen).groupBy(*group).agg((F.max(column) + 1).alias("_next")))
     filled = F.when(chosen & F.col(column).isNull(), F.col("_next")).otherwise(F.col(column))
@@ -146,7 +147,7 @@ def category_mean(df: DataFrame, categories: Mapping[str, Sequence[str]]) -> Dat
     """Per row, the mean of each category's attributes that exist; 0 for none."""
     means = {}
     for name, attributes in categories.items():
-        present = [F.col(a) for a in attributes if a in df.columns]
+        present = [number(F.col(a)) for a in attributes if a in df.columns]
         total = F.lit(0.0)
         for value in present:
             total = total + value

@@ -7,11 +7,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paneloom.functions.numbers import nan_to_null
+
 
 def group_summary(df: DataFrame, key: str, metric: str, count_name: str = "rows", mean_name: str = "mean") -> DataFrame:
     """Rows and mean metric per key, best mean first; the null key is left out."""
     return (
-        df.filter(F.col(key).isNotNull())
+        nan_to_null(df, [metric]).filter(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias(count_name), F.avg(metric).alias(mean_name))
         .orderBy(F.col(mean_name).desc_nulls_last(), F.col(key))
@@ -25,7 +27,7 @@ def mean_pivot(
 
     Values that are not given are looked up, at most ``spark.sql.pivotMaxValues``.
     """
-    kept = df.filter(F.col(index).isNotNull() & F.col(column).isNotNull())
+    kept = nan_to_null(df, [metric]).filter(F.col(index).isNotNull() & F.col(column).isNotNull())
     grouped = kept.groupBy(index)
     spread = grouped.pivot(column) if values is None else grouped.pivot(column, list(values))
     return spread.agg(F.bround(F.avg(metric), digits)).orderBy(index)
@@ -37,7 +39,7 @@ def modal_value(df: DataFrame, keys: Sequence[str], value: str, name: str | None
     Counting (key, value) first keeps every group's state to one row.
     """
     counted = (
-        df.filter(F.col(value).isNotNull())
+        nan_to_null(df, [value]).filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_count"))
     )
@@ -51,7 +53,7 @@ def first_known(
     """Earliest period with a non-null value, and that value."""
     first = F.min(F.struct(F.col(period), F.col(value)))
     return (
-        df.filter(F.col(value).isNotNull() & F.col(period).isNotNull())
+        nan_to_null(df, [value]).filter(F.col(value).isNotNull() & F.col(period).isNotNull())
         .groupBy(*keys)
         .agg(first.alias("_first"))
         .select(
@@ -77,7 +79,7 @@ def entity_means(
     """
     rows = F.count_if(other)
     return (
-        df.filter((main | other) & F.col(key).isNotNull())
+        nan_to_null(df, metrics).filter((main | other) & F.col(key).isNotNull())
         .groupBy(key)
         .agg(
             *[F.avg(F.when(main, F.col(m))).alias(m) for m in metrics],
@@ -89,7 +91,7 @@ def entity_means(
 
 
 def totals(df: DataFrame, metric: str, digits: int = 2) -> DataFrame:
-    return df.agg(
+    return nan_to_null(df, [metric]).agg(
         F.count(F.lit(1)).alias("rows"), F.bround(F.avg(metric), digits).alias("mean")
     )
 
@@ -104,20 +106,21 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def validate_layer(
-    layers: Mapping[object, DataFrame], entity: str, expected: int
+    layers: Mapping[object, DataFrame], entity: str, expected: int, whole: DataFrame | None = None
 ) -> DataFrame:
     """Checks of a layer given per period, one row each: every column occurs in
     every period, and the number of distinct entities is as expected.
 
-    The column check reads schemas only.
+    The column check reads schemas only. ``whole`` holds all periods where one
+    scan can read them; else the periods are read one by one.
     """
     frames = list(layers.values())
     seen: dict[str, int] = {}
     for frame in frames:
         for column in frame.columns:
             seen[column] = seen.get(column, 0) + 1
-    entities = None
-    for frame in frames:
+    entities = None if whole is None else whole.select(F.col(entity).cast("string").alias(entity))
+    for frame in frames if whole is None else ():
         part = frame.select(F.col(entity).cast("string").alias(entity))
         entities = part if entities is None else entities.unionByName(part)
     counted = entities.agg(F.countDistinct(entity).alias("actual"))

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paneloom.functions.numbers import nan_to_null
 from paneloom.operators.moments import NARROW, centred, grouped_gram
 from paneloom.operators.quantiles import best_bin_count, bin_by_edges
 from paneloom.operators.regression import solve_ridge
@@ -316,6 +317,7 @@ def chained_impute(
     A column without any value in a group stays null and predicts nothing. Rows
     with a null key are kept as they are; ``flag`` tells them apart.
     """
+    df = nan_to_null(df, targets)
     limit = MAX_PATTERNS if max_patterns is None else max_patterns
     keyed = F.lit(True)
     for key in keys:

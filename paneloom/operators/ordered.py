@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from paneloom.functions.numbers import nan_to_null
 from paneloom.functions.text import map_values
 from paneloom.runtime import PART, ordered_parts, running_total, store
 
@@ -27,16 +28,16 @@ def top_n_per_group(
 ) -> DataFrame:
     """Best ``quotas[group]`` rows of each group within each ``outer`` key.
 
-    Groups without a quota are dropped; a null metric ranks last. The bound by
+    Groups without a quota are dropped; a null or NaN metric ranks last. The bound by
     the largest quota lets tasks prune before the shuffle.
     """
-    order = [F.col(metric).desc_nulls_last(), *[F.col(c) for c in tie_break]]
+    order = [F.col("_metric").desc_nulls_last(), *[F.col(c) for c in tie_break]]
     ranked = (
-        df.filter(F.col(group).isin(*quotas))
+        nan_to_null(df.filter(F.col(group).isin(*quotas)).withColumn("_metric", F.col(metric)), ["_metric"])
         .withColumn("_row", F.row_number().over(Window.partitionBy(*outer, group).orderBy(*order)))
         .filter(F.col("_row") <= max(quotas.values()))
     )
-    return ranked.filter(F.col("_row") <= map_values(F.col(group), quotas)).drop("_row")
+    return ranked.filter(F.col("_row") <= map_values(F.col(group), quotas)).drop("_row", "_metric")
 
 
 def _value_ranks(values: DataFrame, keys: Sequence[str], value: str, hot_rows: int | None) -> DataFrame:
@@ -62,7 +63,7 @@ def peer_ranks(
 ) -> DataFrame:
     """One row per entity and attribute: value, descending rank among the group's
     non-null values (ties share the best) and group size. Null values rank null."""
-    wide = df.select(*ids, *group, *[F.col(a).cast("double").alias(a) for a in attributes])
+    wide = nan_to_null(df, attributes).select(*ids, *group, *[F.col(a).cast("double").alias(a) for a in attributes])
     long = wide.unpivot([*ids, *group], list(attributes), "attribute", "value")
     ranks = store(
         _value_ranks(long, [*group, "attribute"], "value", hot_rows).select(
@@ -79,9 +80,13 @@ def peer_rank_of(
     """Value, rank and group size of the attributes of one entity.
 
     The entity's own row is looked up first; one aggregation over its group then
-    counts the peers above it, without any sort.
+    counts the peers above it, without any sort. An entity with several rows has
+    no single rank and is refused.
     """
-    subject = df.filter(entity).select(group, *attributes).limit(1).collect()
+    df = nan_to_null(df, attributes)
+    subject = df.filter(entity).select(group, *attributes).head(2)
+    if len(subject) > 1:
+        raise ValueError("the entity has more than one row")
     own = subject[0].asDict() if subject else dict.fromkeys([group, *attributes])
     counted = df.filter(F.col(group) == F.lit(own[group])).agg(
         F.count(F.lit(1)).alias("peers"),
@@ -104,6 +109,7 @@ def average_rank(
     df: DataFrame, group: Sequence[str], column: str, name: str, hot_rows: int | None = None
 ) -> DataFrame:
     """Descending rank in which equal values share their mean position."""
+    df = nan_to_null(df, [column])
     ranks = store(
         _value_ranks(df.select(*group, column), group, column, hot_rows).select(
             *group, column, (F.col("_above") + (F.col("_equal") + 1) / 2).alias(name)
@@ -136,12 +142,13 @@ def cumcount_fill(
     hot_rows: int | None = None,
 ) -> DataFrame:
     """Null becomes the row's position within its keys."""
-    counted = cumcount(df, keys, order, "_position", hot_rows)
+    counted = cumcount(nan_to_null(df, [column]), keys, order, "_position", hot_rows)
     return counted.withColumn(column, F.coalesce(F.col(column), F.col("_position"))).drop("_position")
 
 
 def mean_fill(df: DataFrame, group: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Null becomes the group's mean; a group without values stays null."""
+    df = nan_to_null(df, columns)
     means = store(df.groupBy(*group).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns]))
     filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_mean_{c}")) for c in columns}
     return (
@@ -164,7 +171,7 @@ def interpolate(
     key without values stays null and rows with a null key are dropped.
     ``order`` must be unique within the keys.
     """
-    known = df.dropna(subset=list(keys))
+    known = nan_to_null(df.dropna(subset=list(keys)), columns)
     ascending = [F.col(c) for c in order]
     frame, split = ordered_parts(known, keys, ascending, hot_rows)
     group = [*keys, PART] if split else list(keys)

@@ -7,14 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paneloom.functions.numbers import number
 from paneloom.runtime import running_total, store
 
 
 def _counted(df: DataFrame, group: Sequence[str], column: str) -> DataFrame:
     """Distinct values with their rows; stored, since several steps read them."""
     return store(
-        df.filter(F.col(column).isNotNull())
-        .groupBy(*group, F.col(column).cast("double").alias("_value"))
+        df.select(*group, number(F.col(column)).alias("_value"))
+        .filter(F.col("_value").isNotNull())
+        .groupBy(*group, "_value")
         .agg(F.count(F.lit(1)).alias("_equal"))
     )
 
@@ -121,7 +123,7 @@ def bin_by_edges(
     df: DataFrame, group: Sequence[str], column: str, edges: DataFrame, name: str, bins: int
 ) -> DataFrame:
     """Add the bin of each row under its group's ``edges``, at most ``bins``."""
-    value = F.col(column).cast("double")
+    value = number(F.col(column))
     if not group:  # one row of at most bins + 1 numbers
         row = edges.select(_inner(F.col("edges")).alias("inner")).first()
         inner = F.lit(row["inner"] if row else None).cast("array<double>")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from paneloom.functions.numbers import nan_to_null
 from paneloom.operators.moments import grouped_moments
 from paneloom.runtime import store
 
@@ -138,7 +139,8 @@ def redistribute(
     Two aggregations and joins of their one-row-per-group results; no window
     over the groups.
     """
-    rows = df.dropna(subset=list(keys))
+    attributes = list(dict.fromkeys(a for held in categories.values() for a in held))
+    rows = nan_to_null(df.dropna(subset=list(keys)), [metric, rating, *attributes])
     spread = rows.groupBy(*keys).agg(
         F.avg(metric).alias("_mean"), F.stddev_samp(metric).alias("_sd")
     )

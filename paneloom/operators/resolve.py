@@ -125,16 +125,25 @@ def roster_tiers(age: Column, position_group: str = "position_group") -> list[Ti
 
 
 def build_registry(
-    matches: DataFrame, left_id: str, right_id: str, manual: Mapping[str, str] | None = None
+    matches: DataFrame,
+    left_id: str,
+    right_id: str,
+    manual: Mapping[str, str] | None = None,
+    details: DataFrame | None = None,
 ) -> DataFrame:
     """One left id per right id: the most frequent, the smallest among equals;
-    then one right id per left id, the smallest. Manual pairs are appended."""
+    then one right id per left id, the smallest.
+
+    Manual pairs are appended, told apart by ``manual``: whoever needs one pair
+    per right id takes those that are not manual first. ``details`` (one row per
+    right id) adds its columns to the pairs.
+    """
     modal = modal_value(matches, [right_id], left_id)
-    registry = modal.groupBy(left_id).agg(F.min(right_id).alias(right_id))
-    if not manual:
-        return registry
-    kinds = dict(matches.dtypes)
-    pairs = matches.sparkSession.createDataFrame(
-        list(manual.items()), f"{left_id} {kinds[left_id]}, {right_id} {kinds[right_id]}"
-    )
-    return registry.unionByName(pairs)
+    registry = modal.groupBy(left_id).agg(F.min(right_id).alias(right_id)).withColumn("manual", F.lit(False))
+    if manual:
+        kinds = dict(matches.dtypes)
+        pairs = matches.sparkSession.createDataFrame(
+            list(manual.items()), f"{left_id} {kinds[left_id]}, {right_id} {kinds[right_id]}"
+        )
+        registry = registry.unionByName(pairs.withColumn("manual", F.lit(True)))
+    return registry if details is None else registry.join(details, right_id, "left")

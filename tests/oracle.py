@@ -34,7 +34,7 @@ _KINDS = {
 
 def _cell(value):
     if isinstance(value, float):
-        return None if math.isnan(value) else value + 0.0
+        return "NaN" if math.isnan(value) else value + 0.0
     if isinstance(value, (datetime.datetime, datetime.date)):
         return value.isoformat()
     if isinstance(value, list):
