@@ -107,9 +107,16 @@ def build_dataset(
     archetype_codes: Mapping[str, Mapping[str, int]],
     last: int,
     general: Sequence[str] = ("season", "team", "last_season_av"),
+    missed: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """Panel to the dataset the views read: ids, labels, metric, attributes."""
+    """Panel to the dataset the views read: ids, labels, metric, attributes.
+
+    Ratings that no roster row was found for (``missed``) are filled along and
+    take part in the regressions; columns they lack are null.
+    """
+    if missed is not None:
+        panel = panel.unionByName(missed, allowMissingColumns=True)
     ready = prepare(panel, attributes, team_codes, style_codes, archetype_codes)
     filled = impute_eras(ready, general, attributes, last, **options)
     filled = c.decode(filled.withColumn("season", F.col("season").cast("int")), "team", team_codes)

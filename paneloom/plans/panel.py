@@ -68,13 +68,15 @@ def build_panel(
     ratings = identified_ratings(stage, openers)
     members = rosters.withColumn("fullname_clean", clean_name(F.col("fullname")))
     resolution = resolve_ratings(ratings, members, openers)
-    registry = build_registry(resolution.matches, "rating_id", "player_id", manual)
+    earliest = [F.col(c).asc_nulls_last() for c in ("season", "fullname", "birthdate")]
+    known = keep_first(rosters, ["player_id"], earliest).select("player_id", "fullname", "birthdate")
+    registry = build_registry(resolution.matches, "rating_id", "player_id", manual, known)
 
     tie_break = [F.col(c).asc_nulls_last() for c in ("team", "position", "fullname")]
     single = keep_first(rosters, ["player_id", "season"], tie_break)
     panel = (
         single.withColumn("age", age_at(F.col("birthdate"), F.col("season"), openers))
-        .join(registry, "player_id", "left")
+        .join(registry.select("player_id", "rating_id", "manual"), "player_id", "left")
         .join(statics, "player_id", "left")
         .withColumn(
             "is_rookie", is_newcomer(F.col("yearspro"), F.col("rookie_season"), F.col("season"))
@@ -92,15 +94,14 @@ def build_panel(
     if rookie_prior is not None:
         value = F.when(rookie, rookie_prior).otherwise(F.col("last_season_av"))
         panel = panel.withColumn("last_season_av", value)
-    panel = keep_first(panel, ["season", "player_id"], [F.col("is_rookie"), F.col("rating_id").asc_nulls_last()])
+    listed = [F.col(c).asc_nulls_last() for c in ("is_rookie", "manual", "rating_id")]
+    panel = keep_first(panel, ["season", "player_id"], listed).drop("manual")
 
-    attributes = stage.filter(F.col("fullname").isNotNull()).select(
-        *_MATCH_KEYS, "overallrating", *fixed_values.ATTRIBUTES
-    )
-    missed = resolution.unmatched_left.drop("fullname_clean", "overallrating", *fixed_values.ATTRIBUTES)
+    # One rating per id and season, hence per name, group and season: repeated raw rows add none.
+    attributes = ratings.select(*_MATCH_KEYS, "overallrating", *fixed_values.ATTRIBUTES)
     return Panel(
         panel.join(attributes, _MATCH_KEYS, "left"),
-        missed.join(attributes, _MATCH_KEYS, "left"),
+        resolution.unmatched_left.drop("fullname_clean"),
         registry,
         resolution,
     )

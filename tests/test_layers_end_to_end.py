@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from paneloom.operators.resolve import build_registry
 from paneloom.plans import dataset, panel, standardise, views
 
 POSITIONS = {"QB": "quarterback", "WR": "o_pass", "CB": "d_field"}
@@ -87,7 +88,8 @@ def test_stage(stage):
 @pytest.fixture(scope="module")
 def built(stage, league):
     rosters, statics, metric = league
-    result = panel.build_panel(stage, rosters, statics, metric, rookie_prior=F.col("draft_pick") % 20, manual=None)
+    repeated = stage.unionByName(stage.filter("jerseynumber in ('5', '11')"))
+    result = panel.build_panel(repeated, rosters, statics, metric, rookie_prior=F.col("draft_pick") % 20, manual=None)
     return result
 
 
@@ -98,6 +100,9 @@ def test_panel(built):
     assert tiers["group_name"] > 200
     rated = rows.filter("season = 2012 and overallrating is not null").count()
     assert rated > 60
+    assert rows.count() == 90 * len(SEASONS)
+    registry = built.registry.filter("fullname is null or birthdate is null")
+    assert "manual" in built.registry.columns and registry.isEmpty()
     rookie = rows.filter("season = 2008 and player_id = '00-0003'").first()
     assert rookie.is_rookie and rookie.draft_round == 2
     top = rows.filter("season = 2008").agg(F.max("draft_pick")).first()[0]
@@ -124,6 +129,30 @@ def test_dataset(built, filled):
     assert {r.team for r in filled.select("team").distinct().collect()} == set(CODES)
 
 
+def test_missed_rows_are_filled_along(stage, league):
+    rosters, statics, metric = league
+    kept = rosters.filter("player_id not in ('00-0001', '00-0004')")
+    result = panel.build_panel(stage, kept, statics, metric, rookie_prior=F.col("draft_pick") % 20, manual=None)
+    lost = result.missed.count()
+    assert lost > 0
+    archetypes = {g: {"Power": 0, "Speed": 1} for g in SIDES}
+    whole = dataset.build_dataset(
+        result.rosters, ["strength"], CODES, {"Long": 0, "Short": 1}, archetypes, last=2021,
+        general=("season", "team"), missed=result.missed, max_iter=1,
+    ).cache()
+    assert whole.count() == result.rosters.count() + lost
+    assert whole.filter("player_id is null").count() == lost
+    assert whole.filter("player_id is null and strength is null").isEmpty()
+
+
+def test_manual_pairs_come_last(spark):
+    matches = spark.createDataFrame([("z", 1), ("z", 1)], "rating_id string, player_id long")
+    found = {(r.rating_id, r.player_id, r.manual, r.name) for r in build_registry(
+        matches, "rating_id", "player_id", {"a": 1}, spark.createDataFrame([(1, "x")], "player_id long, name string")
+    ).collect()}
+    assert found == {("z", 1, False, "x"), ("a", 1, True, "x")}
+
+
 def test_views(filled):
     view = views.season_view(filled, 2021, POSITIONS, SIDES).cache()
     quotas = {"quarterback": 1, "o_pass": 3}
