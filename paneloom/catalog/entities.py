@@ -55,12 +55,13 @@ def join_null_safe(spark, sf_dir):
 @query(
     "unmatched",
     """SELECT c_custkey, nullif(c_custkey, 7) AS custkey FROM customer
-       WHERE c_custkey = 7 OR c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)""",
+       WHERE c_custkey = 7 OR NOT EXISTS (FROM (SELECT CASE WHEN o_totalprice > 300000 THEN o_custkey END AS k FROM orders)
+                                          WHERE k = c_custkey)""",
 )
 def unmatched(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey", F.nullif("c_custkey", F.lit(7)).alias("custkey"))
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > 300000)
-    return joins.anti_filter(customer, orders.withColumnRenamed("o_custkey", "custkey"), ["custkey"])
+    known = F.when(F.col("o_totalprice") > 300000, F.col("o_custkey"))
+    return joins.anti_filter(customer, table(spark, sf_dir, "orders").select(known.alias("custkey")), ["custkey"])
 
 
 @query(
@@ -162,8 +163,7 @@ def fuzzy_block(spark, sf_dir):
 _LABELS_SQL = """
     l AS (SELECT p_partkey AS left_id, p_size AS size, p_name || ' ' || lower(p_type) AS raw FROM part),
     s AS (SELECT left_id, size, array_to_string(list_sort(string_split(raw, ' ')), ' ') AS name FROM l),
-    r AS (SELECT p_partkey AS right_id, (p_size + 1) % 50 AS size, lower(p_type) || ' ' || p_name AS raw FROM part
-          WHERE p_brand <> 'Brand#1'),
+    r AS (SELECT p_partkey AS right_id, (p_size + 1) % 50 AS size, lower(p_type) || ' ' || p_name AS raw FROM part),
     c AS (SELECT right_id, size, array_to_string(list_sort(string_split(raw, ' ')), ' ') AS name FROM r)"""
 
 
@@ -185,7 +185,7 @@ def fuzzy_tokens(spark, sf_dir):
         F.col("p_size").alias("size"),
         F.concat("p_name", F.lit(" "), F.lower("p_type")).alias("name"),
     )
-    right = part.filter(F.col("p_brand") != "Brand#1").select(
+    right = part.select(
         F.col("p_partkey").alias("right_id"),
         ((F.col("p_size") + 1) % 50).alias("size"),
         F.concat(F.lower("p_type"), F.lit(" "), F.col("p_name")).alias("name"),
@@ -197,12 +197,12 @@ def fuzzy_tokens(spark, sf_dir):
 _SIDES_SQL = """
     c AS (SELECT c_custkey AS k, CAST(2001 + c_custkey % 3 AS INTEGER) AS season, c_nationkey AS team,
                  c_mktsegment AS grp, CAST(c_custkey % 40 AS INTEGER) AS number, md5(c_name)[1:10] AS name FROM customer),
-    l0 AS (SELECT season, k + 1000000 AS left_id, team,
+    l0 AS (SELECT CASE WHEN k % 7 = 0 THEN 2011 ELSE season END AS season, k + 1000000 AS left_id, team,
                   CASE WHEN k % 6 IN (1, 4) THEN 'OTHER' ELSE grp END AS grp,
                   CASE WHEN k % 6 = 4 THEN NULL ELSE number END AS number,
                   CASE k % 6 WHEN 2 THEN name[1:4] || name[6:10] WHEN 3 THEN name[1:9]
-                             WHEN 5 THEN md5(name)[1:10] ELSE name END AS name FROM c WHERE k % 7 > 0),
-    r0 AS (SELECT season, k AS right_id, team, grp, number, name FROM c WHERE k % 11 > 0)"""
+                             WHEN 5 THEN md5(name)[1:10] ELSE name END AS name FROM c),
+    r0 AS (SELECT CASE WHEN k % 11 = 0 THEN 2012 ELSE season END AS season, k AS right_id, team, grp, number, name FROM c)"""
 
 
 def _sides(spark, sf_dir):
@@ -223,15 +223,16 @@ def _sides(spark, sf_dir):
         .when(kind == 5, F.substring(F.md5("name"), 1, 10))
         .otherwise(F.col("name"))
     )
-    left = base.filter(F.col("k") % 7 > 0).select(
-        "season",
+    left = base.select(  # rows of a season that the other side lacks stay unmatched
+        F.when(F.col("k") % 7 == 0, 2011).otherwise(F.col("season")).alias("season"),
         (F.col("k") + 1000000).alias("left_id"),
         "team",
         F.when(kind.isin(1, 4), "OTHER").otherwise(F.col("grp")).alias("grp"),
         F.when(kind != 4, F.col("number")).alias("number"),
         name.alias("name"),
     )
-    right = base.filter(F.col("k") % 11 > 0).withColumnRenamed("k", "right_id")
+    season = F.when(F.col("k") % 11 == 0, 2012).otherwise(F.col("season"))
+    right = base.withColumn("season", season).withColumnRenamed("k", "right_id")
     return left, right
 
 
@@ -303,24 +304,26 @@ def resolve_unmatched(spark, sf_dir):
     "registry",
     """WITH n AS (SELECT l_partkey, l_suppkey, count(*) AS c FROM lineitem GROUP BY ALL),
             m AS (SELECT l_partkey, l_suppkey FROM n
-                  QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY c DESC, l_suppkey) = 1)
-       SELECT l_suppkey, min(l_partkey) AS l_partkey FROM m GROUP BY l_suppkey
-       UNION ALL SELECT 900001, 17 UNION ALL SELECT 900002, 18""",
+                  QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY c DESC, l_suppkey) = 1),
+            r AS (SELECT l_suppkey, min(l_partkey) AS l_partkey, false AS manual FROM m GROUP BY l_suppkey
+                  UNION ALL SELECT 900001, 17, true UNION ALL SELECT 900002, 18, true)
+       SELECT l_suppkey, l_partkey, manual, p_name, p_brand FROM r LEFT JOIN part ON l_partkey = p_partkey""",
 )
 def registry(spark, sf_dir):
     lineitem = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey")
-    return resolve.build_registry(lineitem, "l_suppkey", "l_partkey", {900001: 17, 900002: 18})
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand")
+    return resolve.build_registry(lineitem, "l_suppkey", "l_partkey", {900001: 17, 900002: 18}, part)
 
 
 @query(
     "match_report",
-    """WITH o AS (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 350000)
+    """WITH o AS (SELECT DISTINCT CASE WHEN o_totalprice > 350000 THEN o_custkey END AS o_custkey FROM orders)
        SELECT c_nationkey, count(o_custkey) AS matched, count(*) - count(o_custkey) AS unmatched
        FROM customer LEFT JOIN o ON c_custkey = o_custkey GROUP BY c_nationkey""",
 )
 def match_report(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_totalprice") > 350000)
-    matches = orders.withColumnRenamed("o_custkey", "c_custkey")
+    known = F.when(F.col("o_totalprice") > 350000, F.col("o_custkey"))
+    matches = table(spark, sf_dir, "orders").select(known.alias("c_custkey"))
     return joins.match_report(table(spark, sf_dir, "customer"), matches, "c_custkey", ["c_nationkey"])
 
 

@@ -9,6 +9,7 @@ from paneloom.operators import columns, groups
 from paneloom.operators.ordered import top_n_per_group
 from paneloom.operators.reshape import fold_pairs as fold
 from paneloom.operators.reshape import ordered
+from paneloom.sources.layers import list_partitions
 
 ENTRIES: dict = {}
 query = registrar(ENTRIES)
@@ -150,22 +151,22 @@ def value_counts(spark, sf_dir):
 
 @query(
     "validate_layer",
-    """WITH n AS (SELECT count(DISTINCT c_nationkey) AS actual FROM customer JOIN orders ON c_custkey = o_custkey
-                  WHERE year(o_orderdate) BETWEEN 1996 AND 1999)
+    """WITH n AS (SELECT count(DISTINCT c_nationkey) AS actual FROM customer JOIN orders ON c_custkey = o_custkey),
+            s AS (SELECT count(DISTINCT year(o_orderdate)) AS seasons FROM orders)
        SELECT 'distinct team' AS "check", CAST(25 AS BIGINT) AS expected, actual, actual = 25 AS ok FROM n
-       UNION ALL SELECT 'column team', 4, 4, true
-       UNION ALL SELECT 'column price', 4, 4, true
-       UNION ALL SELECT 'column extra', 4, 1, false""",
+       UNION ALL SELECT 'column team', seasons, seasons, true FROM s
+       UNION ALL SELECT 'column price', seasons, seasons, true FROM s
+       UNION ALL SELECT 'column extra', seasons, 1, seasons = 1 FROM s""",
 )
 def validate_layer(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("team"))
-    layers = {}
-    for season in (1996, 1997, 1998, 1999):
-        orders = table(spark, sf_dir, "orders").filter(F.year("o_orderdate") == season)
-        frame = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        frame = frame.select("team", F.col("o_totalprice").alias("price"))
-        layers[season] = frame.withColumn("extra", F.lit(1)) if season == 1999 else frame
-    return groups.validate_layer(layers, "team", 25)
+    orders = table(spark, sf_dir, "orders").withColumn("season", F.year("o_orderdate"))
+    seasons = [row.season for row in list_partitions(orders).collect()]
+    whole = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    whole = whole.select("season", "team", F.col("o_totalprice").alias("price"))
+    layers = {season: whole.filter(F.col("season") == season).drop("season") for season in seasons}
+    layers[max(seasons)] = layers[max(seasons)].withColumn("extra", F.lit(1))
+    return groups.validate_layer(layers, "team", 25, whole)
 
 
 @query(
