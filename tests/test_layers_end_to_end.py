@@ -3,7 +3,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from paneloom.operators.resolve import build_registry
 from paneloom.plans import dataset, panel, standardise, views
 
 POSITIONS = {"QB": "quarterback", "WR": "o_pass", "CB": "d_field"}
@@ -129,28 +128,26 @@ def test_dataset(built, filled):
     assert {r.team for r in filled.select("team").distinct().collect()} == set(CODES)
 
 
-def test_missed_rows_are_filled_along(stage, league):
-    rosters, statics, metric = league
-    kept = rosters.filter("player_id not in ('00-0001', '00-0004')")
-    result = panel.build_panel(stage, kept, statics, metric, rookie_prior=F.col("draft_pick") % 20, manual=None)
-    lost = result.missed.count()
-    assert lost > 0
-    archetypes = {g: {"Power": 0, "Speed": 1} for g in SIDES}
+def test_missed_rows_are_filled_along(spark):
+    fields = "rating_id string, fullname string, high_pos_group string, position_group string, position string, season int, team string, yearspro int, strength int, archetype string, runningstyle string"
+    rows = [
+        (f"R{i}", f"N{i}", "def", "d_field", "CB", 2010 + i % 2, "CHI", i % 4, None if i % 5 == 0 else 40 + i, "Power", "Long")
+        for i in range(40)
+    ]
+    found = spark.createDataFrame(rows[:32], fields).selectExpr(
+        "*", "concat('P', rating_id) as player_id", "'M' as metric_id",
+        "cast(season + yearspro as double) as last_season_av", "1 as draft_round", "2 as draft_pick",
+    )
+    missed = spark.createDataFrame(rows[32:], fields)
     whole = dataset.build_dataset(
-        result.rosters, ["strength"], CODES, {"Long": 0, "Short": 1}, archetypes, last=2021,
-        general=("season", "team"), missed=result.missed, max_iter=1,
-    ).cache()
-    assert whole.count() == result.rosters.count() + lost
-    assert whole.filter("player_id is null").count() == lost
-    assert whole.filter("player_id is null and strength is null").isEmpty()
-
-
-def test_manual_pairs_come_last(spark):
-    matches = spark.createDataFrame([("z", 1), ("z", 1)], "rating_id string, player_id long")
-    found = {(r.rating_id, r.player_id, r.manual, r.name) for r in build_registry(
-        matches, "rating_id", "player_id", {"a": 1}, spark.createDataFrame([(1, "x")], "player_id long, name string")
-    ).collect()}
-    assert found == {("z", 1, False, "x"), ("a", 1, True, "x")}
+        found, ["strength"], CODES, {"Long": 0}, {"d_field": {"Power": 0}}, last=2011, first=2010,
+        general=("season", "team"), missed=missed, style=(), max_iter=1,
+    ).collect()
+    assert sorted(r.rating_id for r in whole) == sorted(r[0] for r in rows)
+    assert sum(r.player_id is None for r in whole) == 8
+    assert all(r.strength is not None for r in whole)
+    given = {r[0]: r[8] for r in rows}
+    assert all(given[r.rating_id] in (None, r.strength) for r in whole)
 
 
 def test_views(filled):

@@ -148,3 +148,10 @@ def test_registry(spark):
     )
     got = resolve.build_registry(matches, "rating_id", "player_id", {"m": 99})
     assert {(r.rating_id, r.player_id) for r in got.collect()} == {("a", 1), ("c", 4), ("m", 99)}
+
+
+def test_registry_tells_manual_pairs_apart_and_adds_details(spark):
+    matches = spark.createDataFrame([("z", 1), ("z", 1)], "rating_id string, player_id long")
+    details = spark.createDataFrame([(1, "x")], "player_id long, name string")
+    got = resolve.build_registry(matches, "rating_id", "player_id", {"a": 1}, details)
+    assert {(r.rating_id, r.player_id, r.manual, r.name) for r in got.collect()} == {("z", 1, False, "x"), ("a", 1, True, "x")}
