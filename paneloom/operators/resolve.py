@@ -37,29 +37,36 @@ class Resolution:
     unmatched_right: DataFrame
 
 
+def _narrow_side(
+    df: DataFrame, position: int, scope: Sequence[str], identity: str, name: str, tiers: Sequence[Tier]
+) -> DataFrame:
+    """Scope, id and what the tiers compare, stored: what comes before the
+    cascade runs once per side, not once per tier."""
+    compared = []
+    for place, tier in enumerate(tiers):
+        compared += [pair[position].alias(f"_on{place}_{k}") for k, pair in tier.on.items()]
+        if tier.threshold is not None:
+            text = tier.names[position] if tier.names else F.col(name)
+            compared.append(text.alias(f"_name{place}"))
+    return store(df.select(*scope, identity, *compared))
+
+
 def _tier_matches(
     left: DataFrame,
     right: DataFrame,
     scope: Sequence[str],
     left_id: str,
     right_id: str,
-    name: str,
+    place: int,
     tier: Tier,
 ) -> DataFrame:
-    keys = [f"_on_{k}" for k in tier.on]
-    block = [*scope, *keys]
-    left_name, right_name = tier.names or (F.col(name), F.col(name))
-
-    def side(df: DataFrame, position: int, identity: str, text: Column) -> DataFrame:
-        equal = [pair[position].alias(f"_on_{k}") for k, pair in tier.on.items()]
-        return df.select(*scope, *equal, identity, text.alias("_name"))
-
-    a = side(left, 0, left_id, left_name)
-    b = side(right, 1, right_id, right_name)
+    block = [*scope, *[f"_on{place}_{k}" for k in tier.on]]
     if tier.threshold is None:
-        pairs = a.drop("_name").distinct().join(b.drop("_name").distinct(), block)
+        pairs = left.select(*block, left_id).distinct().join(right.select(*block, right_id).distinct(), block)
     else:
-        pairs = fuzzy_best_match(a, b, block, left_id, "_name", right_id, "_name", tier.threshold)
+        text = f"_name{place}"
+        a, b = left.select(*block, left_id, text), right.select(*block, right_id, text)
+        pairs = fuzzy_best_match(a, b, block, left_id, text, right_id, text, tier.threshold)
     return pairs.select(*scope, left_id, right_id).distinct().withColumn("tier", F.lit(tier.name))
 
 
@@ -78,13 +85,13 @@ def resolve_entities(
     side. The small match table of a tier is stored, so a later tier
     neither recomputes it nor carries its plan.
     """
+    a = _narrow_side(left, 0, scope, left_id, name, tiers)
+    b = _narrow_side(right, 1, scope, right_id, name, tiers)
     done: DataFrame | None = None
-    for tier in tiers:
-        open_left = left if done is None else left.join(done, [*scope, left_id], "left_anti")
-        open_right = right if done is None else right.join(done, [*scope, right_id], "left_anti")
-        found = store(
-            _tier_matches(open_left, open_right, scope, left_id, right_id, name, tier)
-        )
+    for place, tier in enumerate(tiers):
+        open_left = a if done is None else a.join(done, [*scope, left_id], "left_anti")
+        open_right = b if done is None else b.join(done, [*scope, right_id], "left_anti")
+        found = store(_tier_matches(open_left, open_right, scope, left_id, right_id, place, tier))
         done = found if done is None else done.unionByName(found)
     return Resolution(
         done,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -87,6 +88,7 @@ def extract_table_rows(
     the summary label is dropped.
     """
     opened = uncommented(F.col(html))
+    table_id, attribute = re.escape(table_id), re.escape(attribute)
     table = F.regexp_extract(
         opened, rf"""(?is)<table\b[^>]*\bid\s*=\s*["']{table_id}["'][^>]*>(.*?)</table>""", 1
     )
@@ -94,7 +96,7 @@ def extract_table_rows(
     exploded = pages.select(*ids, F.posexplode(rows).alias("position", "_tr"))
 
     def cell(stat: str) -> Column:
-        pattern = rf"""(?is)<td\b[^>]*\b{attribute}\s*=\s*["']{stat}["'][^>]*>(.*?)</td>"""
+        pattern = rf"""(?is)<td\b[^>]*\b{attribute}\s*=\s*["']{re.escape(stat)}["'][^>]*>(.*?)</td>"""
         return F.get(F.regexp_extract_all(F.col("_tr"), F.lit(pattern), F.lit(1)), F.lit(0))
 
     found = exploded.withColumns({f"_{name}": cell(stat) for name, stat in cells.items()})
