@@ -188,8 +188,6 @@ def impute_by_bin(spark, sf_dir):
         "metric",
         IMPUTED,
         "season",
-        1996,
-        2000,
     )
     return filled.select(
         "l_orderkey",

@@ -5,7 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from paneloom.operators import imputation, moments, regression
+from paneloom.catalog import statistics
+from paneloom.operators import imputation, moments, quantiles, regression
 
 
 def ridge(x, y, alpha=1.0):
@@ -180,3 +181,25 @@ def test_no_spread_of_the_metric_gives_null(spark):
     model = regression.category_model(table, ["k"], "c0", CATEGORIES)
     got = regression.redistribute(table, ["k"], model, CATEGORIES, "metric", "c0")
     assert got.filter("c1 is not null").isEmpty()
+
+
+def test_impute_query_fills_all_seasons(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    rows = 900
+    lines = pd.DataFrame({
+        "l_orderkey": np.arange(rows) // 3, "l_linenumber": np.arange(rows) % 3 + 1, "l_returnflag": rng.choice(["A", "N"], rows),
+        "l_suppkey": rng.integers(0, 500, rows), "l_quantity": rng.integers(1, 50, rows) * 1.0, "l_discount": rng.random(rows), "l_tax": rng.random(rows),
+        "l_shipdate": pd.to_datetime([f"{1992 + i % 10}-05-01" for i in range(rows)]),
+    })
+    spark.createDataFrame(lines).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = statistics.impute_by_bin(spark, str(tmp_path)).toPandas().sort_values(["l_orderkey", "line"])
+    assert len(got) == rows and set(got.season) == set(range(1992, 2002)) and got.imputed.all()
+    source = statistics._gappy_lines(spark, str(tmp_path))
+    edges = quantiles.best_bin_count(source, ["l_returnflag"], "metric", (4, 5, 6, 7, 8))
+    binned = quantiles.bin_by_edges(source, ["l_returnflag"], "metric", edges, "_bin", 8).toPandas().sort_values(["l_orderkey", "line"])
+    assert (got[["l_orderkey", "line"]].to_numpy() == binned[["l_orderkey", "line"]].to_numpy()).all()
+    targets = statistics.IMPUTED
+    actual = got[targets].to_numpy(dtype=float)
+    for _, at in binned.reset_index(drop=True).groupby(["l_returnflag", "_bin"]).groups.items():
+        expected, _ = impute(binned[targets].to_numpy(dtype=float)[at])
+        assert np.allclose(actual[at], expected, atol=1e-4)
