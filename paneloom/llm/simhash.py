@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from paneloom.llm.components import connected_components
-from paneloom.llm.frames import chunks, document_batches, free_name, joined, text_of, with_outputs
+from paneloom.llm.frames import chunks, document_batches, joined, text_of, with_outputs
+from paneloom.llm.representatives import keep_first, row_keys
 from paneloom.runtime import store
 
 SHINGLE_WORDS = 4
@@ -170,26 +171,28 @@ def near_duplicates(
     """The id, fingerprint and component of every row: the smallest id that links lead to."""
     rows = df.select(F.col(f"`{row_id}`").alias("id"), F.col(f"`{text}`").alias("text"))
     rows = store(fingerprints(rows, "text", "fingerprint", size).drop("text"))
+    linked = _linked(rows, distance, long_list)
+    names = linked.groupBy("part").agg(F.min("least").alias("component_id"))
+    named = linked.join(names, "part").select("fingerprint", "component_id")
+    return rows.join(named, "fingerprint").select(F.col("id").alias(row_id), "fingerprint", "component_id")
+
+
+def _linked(rows: DataFrame, distance: int, long_list: int) -> DataFrame:
+    """The fingerprints of the rows (id, fingerprint) with their smallest id and the part that links make."""
     classes = store(rows.groupBy("fingerprint").agg(F.min("id").alias("least")))
     links = near_pairs(classes.select(F.col("fingerprint").alias("value")), distance, long_list)
     parts = connected_components(links).withColumnRenamed("node", "fingerprint")
     # Few classes have links; the others are named by their own smallest id.
-    linked = classes.join(parts, "fingerprint", "left").withColumn("part", F.coalesce("part", "fingerprint"))
-    names = linked.groupBy("part").agg(F.min("least").alias("component_id"))
-    named = linked.join(names, "part").select("fingerprint", "component_id")
-    return rows.join(named, "fingerprint").select(F.col("id").alias(row_id), "fingerprint", "component_id")
+    return classes.join(parts, "fingerprint", "left").withColumn("part", F.coalesce("part", "fingerprint"))
 
 
 def keep_one(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of the frame without near duplicates: of each component the row it is named by.
+    """One row of each component of near duplicates: the one with the smallest id, then the smallest text.
 
-    Of rows that share an id one stays; of rows without an id those with different
-    texts stay if no row with an id is near them.
+    Ids may repeat or be null: what stays goes by the fingerprint of each row. A row without an id
+    stays only if no row of its component has one.
     """
-    found = near_duplicates(df.select(row_id, text), row_id, text)
-    kept, place = free_name(df, "_kept"), free_name(df, "_place")
-    names = found.filter(F.col(row_id).eqNullSafe(F.col("component_id"))).select(F.col(row_id).alias(kept)).distinct()
-    rows = df.join(names, F.col(f"`{row_id}`").eqNullSafe(F.col(kept)), "left_semi")
-    nameless = F.when(F.col(f"`{row_id}`").isNull(), F.xxhash64(text_of(text)))
-    first = F.row_number().over(Window.partitionBy(F.col(f"`{row_id}`"), nameless).orderBy(text_of(text)))
-    return rows.withColumn(place, first).filter(F.col(place) == 1).drop(place)
+    rows = df.select(F.col(f"`{row_id}`").alias("id"), row_keys(row_id, text).alias("row_key"), F.col(f"`{text}`").alias("text"))
+    rows = store(fingerprints(rows, "text", "fingerprint").drop("text"))
+    parts = _linked(rows, DISTANCE, LONG_LIST).select("fingerprint", "part")
+    return keep_first(df, rows.join(parts, "fingerprint").select("id", "row_key", "part"), row_id, text)
