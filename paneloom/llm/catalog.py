@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import chat, epsilon_grid, language, licenses, mixing, order_minhash, pii, quality, sentencepiece_bpe, simhash
+from paneloom.llm import chat, epsilon_grid, language, licenses, mixing, order_minhash, pii, quality, sentencepiece_bpe, simhash, topk
 from paneloom.runtime import store
 
 ENTRIES: dict = {}
@@ -314,3 +314,24 @@ def op2_mixing(spark, sf_dir) -> DataFrame:
     taken = mixing.mix(docs, mix_levels(), MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS)
     levels = [F.coalesce(c.cast("string"), F.lit("?")).alias(n) for n, c in mix_levels().items()]
     return taken.select("doc_id", *levels, mixing.token_count("text").alias("tokens"), "copies")
+
+
+#: Queries of the searches by vector: rows whose id this divides.
+QUERY_STEP, TOP_VECTORS, VECTOR_SCALE = 100, 10, 1024
+
+TOPK_SQL = f"""
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({VECTOR_SCALE} * x::DOUBLE)::BIGINT::DOUBLE) AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT q.vec_id AS query_id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.e, c.e) DESC, c.vec_id)::INTEGER AS rank,
+  c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+FROM whole q JOIN whole c ON q.vec_id % {QUERY_STEP} = 0 AND q.vec_id <> c.vec_id
+QUALIFY rank <= {TOP_VECTORS}
+"""
+
+
+@register("op11_topk", TOPK_SQL)
+def op11_topk(spark, sf_dir) -> DataFrame:
+    """The most similar embeddings of every hundredth one."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0, TOP_VECTORS, scale=VECTOR_SCALE)
