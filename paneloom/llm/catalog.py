@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, table
-from paneloom.llm import chat, epsilon_grid, language, licenses, mixing, order_minhash, pii, quality, sentencepiece_bpe, simhash, topk
+from paneloom.llm import chat, epsilon_grid, language, lexical, licenses, mixing, order_minhash, pii, quality, sentencepiece_bpe, simhash, spelling, topk
 from paneloom.runtime import store
 
 ENTRIES: dict = {}
@@ -335,3 +335,44 @@ QUALIFY rank <= {TOP_VECTORS}
 def op11_topk(spark, sf_dir) -> DataFrame:
     """The most similar embeddings of every hundredth one."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0, TOP_VECTORS, scale=VECTOR_SCALE)
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+LEXICAL_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id, regexp_extract_all({_LOWERED}, '{_TERM}') AS words FROM documents
+), whole AS (SELECT * FROM docs WHERE len(words) > 0),
+totals AS (SELECT count(*)::BIGINT AS big_n, sum(len(words))::BIGINT AS big_l FROM whole),
+asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS repeats
+  FROM (SELECT item_id, unnest(regexp_extract_all({_LOWERED}, '{_TERM}')) AS term FROM benchmark) GROUP BY ALL
+), counted AS (
+  SELECT d, term, count(*)::BIGINT AS tf
+  FROM (SELECT d, unnest(words) AS term FROM whole) WHERE term IN (SELECT term FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, totals GROUP BY term, big_n
+), impacts AS (
+  SELECT d, doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len(words) * big_n) // big_l)) AS impact
+  FROM counted JOIN whole USING (d), totals
+), scores AS (
+  SELECT item_id, d, doc_id, sum(repeats * w * impact)::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY ALL
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= {lexical.TOP}
+"""
+
+
+@register("op12_lexical", LEXICAL_SQL)
+def op12_lexical(spark, sf_dir) -> DataFrame:
+    """The best documents of every benchmark item."""
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_spelling")
+def op13_spelling(spark, sf_dir) -> DataFrame:
+    """The frequent words with their commoner spellings."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
