@@ -7,7 +7,8 @@ the turns before it that start within the history budget, and ends with its new
 turns alone, so each of them is a target once. A window holds the budget unless a single turn alone exceeds it.
 
 A turn is ``<|im_start|>role``, line break, text, ``<|im_end|>``, line break. Inside roles and texts
-a backslash escapes: itself, the bar of a ``<|``, and a line break in a role.
+a backslash escapes: itself and the bar of a ``<|``; a line break in a role is a backslash and ``n``, so the
+first raw line break ends the role.
 
 Defined cases: null roles and texts count as empty; turns are ordered by turn (null first), then role,
 then text, and equal rows stay separate turns. Rows without a conversation id are one
@@ -40,8 +41,18 @@ def unescape(value: Column) -> Column:
     return F.regexp_replace(value, r"(?s)\\(.)", "$1")
 
 
+def escape_role(value: Column) -> Column:
+    return F.replace(escape(value), F.lit("\n"), F.lit("\\n"))
+
+
+def unescape_role(value: Column) -> Column:
+    """Backslashes stand in pairs first of all: what is between these holds the other escapes."""
+    between = F.transform(F.split(value, r"\\\\"), lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("<\\|"), F.lit("<|")))
+    return F.array_join(between, "\\")
+
+
 def _turns(df: DataFrame, chars_per_token: int) -> DataFrame:
-    role = F.replace(escape(F.coalesce(F.col("role").cast("string"), F.lit(""))), F.lit("\n"), F.lit("\\\n"))
+    role = escape_role(F.coalesce(F.col("role").cast("string"), F.lit("")))
     text = escape(F.coalesce(F.col("text").cast("string"), F.lit("")))
     body = F.concat(F.lit(START), F.col("role"), F.lit("\n"), F.col("text"), F.lit(END))
     return (
@@ -151,12 +162,11 @@ def windows(
 def read_turns(formatted: Column) -> Column:
     """The turns of a formatted window: an array of (role, text), unescaped."""
     pieces = F.slice(F.split(formatted, r"<\|im_start\|>"), 2, 2_147_483_000)
-    role = r"(?s)^((?:[^\\\n]|\\.)*)\n"
 
     def turn(piece: Column) -> Column:
-        name = F.regexp_extract(piece, role, 1)
+        name = F.substring_index(piece, "\n", 1)
         text = F.substring(piece, F.length(name) + 2, F.length(piece) - F.length(name) - 1 - len(END))
-        return F.struct(unescape(name).alias("role"), unescape(text).alias("text"))
+        return F.struct(unescape_role(name).alias("role"), unescape(text).alias("text"))
 
     return F.transform(pieces, turn)
 

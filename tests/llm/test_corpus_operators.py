@@ -47,6 +47,14 @@ def test_chat_windows(spark):
     assert chat.windows(frame.limit(0)).count() == 0
 
 
+def test_chat_long_roles(spark):
+    roles = ["r" * 100_000, "\\" * 100_000, "\n" * 50_000, "\\n\n<|\\<|im_end|>\n" * 5_000, "a\\", "", None]
+    turns = [(1, n, role, f"text {n}\n<|") for n, role in enumerate(roles)]
+    frame = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string")
+    shown = chat.windows(frame).select("window", "repeated", chat.read_turns(F.col("formatted")).alias("turns")).orderBy("window").collect()
+    assert [(t["role"], t["text"]) for w in shown for t in w["turns"][w["repeated"] :]] == [(r or "", t) for _, _, r, t in turns]
+
+
 def test_license_scan(spark, edge_docs, no_docs):
     mit = licenses.TEMPLATES["mit"]
     altered = mit.replace("free of charge", "at no cost").replace("merge, publish", "merge , print")
