@@ -19,8 +19,10 @@ an output are replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -122,25 +124,17 @@ def _loose_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int,
     found += [(1, *m.span()) for m in _ipv6.finditer(text)]
     found += [(2, *m.span()) for m in _card.finditer(text) if 14 <= len(_digits(m[0])) <= 19]
     found += [(3, *m.span()) for m in _local_phone.finditer(text) if 9 <= len(_digits(m[0])) <= 15]
-    free, taken = [], sorted([(a, b) for _, a, b in base])
+    # Base spans may overlap one another: what counts is how far those that start before an end reach.
+    starts = sorted(a for _, a, _ in base)
+    reach = list(accumulate((b for _, _, b in sorted(base, key=lambda s: s[1])), max, initial=0))
+    free, taken = [], 0
     for kind, start, end in sorted(found, key=lambda s: (s[1], -s[2], s[0])):
-        at = len([1 for a, _ in taken if a < end]) if len(taken) < 8 else _before(taken, end)
-        if not at or taken[at - 1][1] <= start:
+        if max(taken, reach[bisect_left(starts, end)]) <= start:
             free.append((kind, start, end))
-            taken.append((start, end))
-            taken.sort()
+            taken = end
     return free
 
 
-def _before(taken: list[tuple[int, int]], end: int) -> int:
-    """Number of taken places that start before ``end``."""
-    low, high = 0, len(taken)
-    while low < high:
-        middle = (low + high) // 2
-        low, high = (middle + 1, high) if taken[middle][0] < end else (low, middle)
-    return low
-
-
 def _code(text: str, kind: int, start: int, end: int, strict: bool) -> int:
     """Kind, votes and shape of a candidate as one number below CODES."""
     span = text[start:end]
