@@ -24,27 +24,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from paneloom.llm.frames import chunks, document_batches, joined, text_of, with_fields
-from paneloom.runtime import store
 
 UNDETERMINED = "und"
 LONGEST_GRAM = 4
-#: Bounds of the model, and so of what is sent to the executors: the most frequent
-#: words, and n-grams of each length, of any language.
-MOST_WORDS = 60_000
-MOST_GRAMS = 20_000
-#: Rows of each language that the model is fitted on, about.
+#: Rows of each language that the model is fitted on, about. This bounds the model, which has all words
+#: and n-grams of these rows.
 FIT_ROWS = 2_000
 #: The evidence of a text counts as that of this many words at most when the
 #: score is taken, else every longer text would score 0 or 1.
 SCORE_WORDS = 8
-#: Words that a task remembers the scores of.
-REMEMBERED_WORDS = 100_000
+#: Words, and characters of them, that a task remembers the scores of.
+REMEMBERED_WORDS, REMEMBERED_CHARS = 100_000, 4_000_000
 
 _words = re.compile(r"[^\W\d_]+").findall
 
 
 def words_of(text: str) -> list[str]:
-    return _words(text.lower())
+    """Maximal runs of letters, in lower case."""
+    found = _words(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    # Such runs may hold numbers that aren't decimal digits.
+    return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
 @dataclass(frozen=True)
@@ -64,13 +65,10 @@ def fit(
     language: str = "lang",
     row_id: str = "doc_id",
     fit_rows: int = FIT_ROWS,
-    most_words: int = MOST_WORDS,
-    most_grams: int = MOST_GRAMS,
 ) -> LanguageModel:
     """Learn from about ``fit_rows`` labelled rows of each language, chosen by a hash of the row id.
 
-    The sample bounds the fit; terms are counted on the executors, and only the
-    most frequent ones come to the driver.
+    The sample bounds the fit; terms are counted on the executors, and one row a term comes to the driver.
     """
     rows = df.select(
         F.col(f"`{language}`").cast("string").alias("lang"),
@@ -95,16 +93,7 @@ def fit(
         .agg(F.sum("n"))
     )
     columns = [F.coalesce(F.col(f"`{name}`"), F.lit(0)) for name in languages]
-    # A word seen once says little; its n-grams are counted.
-    often = (F.col("size") > 0) | (F.aggregate("n", F.lit(0).cast("bigint"), lambda a, x: a + x) > 1)
-    counted = store(counted.select("size", "term", F.array(*columns).alias("n")).filter(often))
-    kept = pa.concat_tables(
-        counted.filter(F.col("size") == size)
-        .orderBy(F.array_max("n").desc(), "term")
-        .limit(most_words if size == 0 else most_grams)
-        .toArrow()
-        for size in range(LONGEST_GRAM + 1)
-    )
+    kept = counted.select("size", "term", F.array(*columns).alias("n")).toArrow()
     size = kept["size"].to_numpy()
     count = np.array(kept["n"].to_pylist(), np.float64).reshape(len(size), len(languages))
     terms = kept["term"].to_pylist()
@@ -125,6 +114,7 @@ def fit(
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words (size 0) and of the n-grams of each size, by language."""
     counts: dict[str, Counter] = {}
+    held = 0
 
     def flush() -> pa.RecordBatch:
         rows = []
@@ -147,8 +137,10 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
             counts.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
-            if sum(map(len, counts.values())) > REMEMBERED_WORDS:
+            held += len(text.as_py())
+            if sum(map(len, counts.values())) > REMEMBERED_WORDS or held > REMEMBERED_CHARS:
                 yield flush()
+                held = 0
     yield flush()
 
 
@@ -162,6 +154,7 @@ class Scorer:
     def forget(self) -> None:
         self.number = dict(self.model.words)
         self.scores = self.model.word_scores
+        self.chars = 0
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         model = self.model
@@ -170,13 +163,14 @@ class Scorer:
         languages, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         if not model.languages or not sizes.any():
             return languages, score
-        if len(self.number) > len(model.words) + self.remembered:
+        if len(self.number) > len(model.words) + self.remembered or self.chars > REMEMBERED_CHARS:
             self.forget()
         words = [w for s in split for w in s]
         known = self.number
         new = list({w for w in words if w not in known})
         if new:
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            self.chars += sum(map(len, new))
             self.scores = np.concatenate([self.scores, self.back_off(new)])
         number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         some = np.flatnonzero(sizes)
