@@ -35,6 +35,8 @@ SPACE = "▁"
 NONE = np.int32(2**31 - 1)
 #: A task forgets its merged words beyond this many.
 REMEMBERED_WORDS = 100_000
+#: Ids of remembered words, which bounds their length too.
+REMEMBERED_IDS = 2_000_000
 
 IDS = pa.list_(pa.int32())
 
@@ -263,7 +265,7 @@ class Encoder:
         find = self.vocabulary.word.findall
         split = [find(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         words = [w for s in split for w in s]
-        if len(self.number) > self.remembered:
+        if len(self.number) > self.remembered or len(self.ids) > REMEMBERED_IDS:
             self.forget()
         number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         if new := self.number.new:
