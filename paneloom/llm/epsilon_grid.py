@@ -8,12 +8,15 @@ epsilon apart; a pair of leaves is compared by one matrix product. All links of
 leaves are counted, and a spanning forest of them goes to the connected
 components, so a group of near copies costs no row per pair.
 
-Equal vectors are one entry with a count. Cosines are computed in double precision; those within
+The leaves are dealt to groups of neighbours, and a task compares two groups: it holds the leaves of one and streams those of the
+other past them. A leaf is sent once a group, not once a pair.
+
+Equal vectors are one node with a count; a node has a number of its own, as ids may repeat. Cosines are computed in double precision; those within
 rounding of the threshold are computed again from the original vectors, one by one.
 
-Defined cases: a vector that is null, empty, zero, of another length than most, or holds a null or a component that isn't finite links
-with nothing (0 links, a component of its own, kept). Repeated vectors link with each other. Repeated
-ids each give their row. Empty tables give no rows. Other columns are ignored.
+Defined cases: a vector that is null, empty, zero, or holds a null or a component that isn't finite links
+with nothing (0 links, a component of its own, kept). Vectors link with those of their own length. Repeated vectors link with each other. Repeated
+ids each give their row, null ids too; a component is named by its smallest id that isn't null, with none by null. Empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ COSINE = 0.95
 DIMENSIONS = 12
 #: Vectors of a leaf, which are sent together, and parts of each interval of the tree.
 LEAF, FAN = 2_048, 8
+#: Bytes of vectors that a task holds, about.
+HELD_BYTES = 32 << 20
 #: Vectors of an interval inside a leaf; below this the join compares all with all.
 BLOCK = 256
 #: Cosines this near the threshold are taken again without a matrix product.
@@ -74,7 +79,7 @@ def principal_axes(vectors: DataFrame, size: int, dimensions: int) -> np.ndarray
     return np.linalg.eigh(total)[1][:, ::-1][:, :dimensions].copy()
 
 
-def _leaves(vectors: DataFrame, axes: np.ndarray, epsilon: float, leaf: int) -> DataFrame:
+def _leaves(vectors: DataFrame, axes: np.ndarray, epsilon: float, leaf: int, kind: str) -> DataFrame:
     """One row for each leaf: partition, number in it, ids, counts, unit vectors and box."""
     size, width = axes.shape
     order = [f"c{d}" for d in range(width)]
@@ -83,13 +88,13 @@ def _leaves(vectors: DataFrame, axes: np.ndarray, epsilon: float, leaf: int) ->
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                grid = np.floor(_unit(_numbers(batch.column("vector"), size)) @ sent.value / epsilon).astype(np.int16)
+                grid = np.floor(_unit(_numbers(batch.column("vector"), size)) @ sent.value / epsilon).astype(np.int32)
                 columns = [pa.array(grid[:, d]) for d in range(width)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *order])
 
-    fields = ", ".join(f"{c} smallint" for c in order)
+    fields = ", ".join(f"{c} int" for c in order)
     placed = vectors.select("node", "copies", "vector").mapInArrow(
-        cells, f"node bigint, copies bigint, vector array<float>, {fields}"
+        cells, f"node bigint, copies bigint, vector array<{kind}>, {fields}"
     )
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = store(placed).repartitionByRange(parts, *order, "node").sortWithinPartitions(*order, "node")
@@ -109,7 +114,7 @@ def _leaves(vectors: DataFrame, axes: np.ndarray, epsilon: float, leaf: int) ->
                     pa.array([part], pa.int32()), pa.array([number], pa.int64()),
                     pa.array([take["node"].to_numpy().astype(np.int64).tobytes()]),
                     pa.array([take["copies"].to_numpy().astype(np.int64).tobytes()]),
-                    pa.array([raw.astype(np.float32).tobytes()]),
+                    pa.array([raw.astype(kind).tobytes()]),
                     pa.array([low.tolist()], pa.list_(pa.float64())), pa.array([high.tolist()], pa.list_(pa.float64())),
                 ],
                 names=["part", "number", "nodes", "copies", "vectors", "low", "high"],
@@ -200,23 +205,26 @@ class Forest:
     """Keeps enough of the links it is shown to connect all that they connect."""
 
     def __init__(self, nodes: int):
-        self.parent = list(range(nodes))
+        self.part = np.arange(nodes)
         self.kept: list[tuple[int, int]] = []
 
-    def root(self, x: int) -> int:
-        parent = self.parent
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
     def add(self, linked: np.ndarray, row: int, column: int) -> None:
-        """Links between the nodes from ``row`` on and those from ``column`` on."""
-        for i, j in zip(*map(np.ndarray.tolist, np.nonzero(linked)), strict=True):
-            x, y = self.root(row + i), self.root(column + j)
-            if x != y:
-                self.parent[x] = y
-                self.kept.append((row + i, column + j))
+        """Links between the nodes from ``row`` on and those from ``column`` on.
+
+        One link a row between parts is kept at a time, until none is left: their
+        number at least halves each time, and links inside a part are never looked at one by one.
+        """
+        rows, columns = slice(row, row + linked.shape[0]), slice(column, column + linked.shape[1])
+        while True:
+            between = linked & (self.part[rows][:, None] != self.part[columns][None, :])
+            some = np.flatnonzero(between.any(axis=1))
+            if not len(some):
+                return
+            for i, j in zip(some.tolist(), between[some].argmax(axis=1).tolist(), strict=True):
+                x, y = int(self.part[row + i]), int(self.part[column + j])
+                if x != y:
+                    self.part[self.part == x] = y
+                    self.kept.append((row + i, column + j))
 
 
 def leaf_links(raw, copies, cosine: float, same: bool, axes: np.ndarray, epsilon: float, block: int = BLOCK):
@@ -254,59 +262,81 @@ def near_vectors(
 ) -> DataFrame:
     """For every row its id, the number of other rows it links with, its component (the smallest id that links
     reach) and whether it names the component. ``cosine`` must be above 0."""
-    rows = store(df.select(F.col(f"`{row_id}`").cast("bigint").alias("id"), F.col(f"`{vector}`").cast("array<float>").alias("vector")))
+    kind = "float" if df.schema[vector].dataType.elementType.typeName() == "float" else "double"
+    rows = store(df.select(F.col(f"`{row_id}`").cast("bigint").alias("id"), F.col(f"`{vector}`").cast(f"array<{kind}>").alias("vector")))
     whole = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     sound = F.coalesce((F.size("vector") > 0) & whole & F.exists("vector", lambda x: x != 0), F.lit(False))
-    lengths = rows.filter(sound).groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
     plain = F.struct(F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
-    if lengths is None:
-        return _result(rows.select("id", plain.alias("r")), row_id)
-    size = lengths["n"]
-    sound = sound & (F.size("vector") == size)
-    alone = rows.filter(~sound).select("id", plain.alias("r"))
-    # -0.0 and 0.0 are one number; equal vectors are one node, named by their smallest id.
-    usable = rows.filter(sound).withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0).cast("float")))
-    nodes = store(usable.groupBy("vector").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies")))
-    nodes = nodes.withColumn("node", F.coalesce("node", F.lit(-(2**63))))
+    result = rows.filter(~sound).select("id", plain.alias("r"))
+    # -0.0 and 0.0 are one number; equal vectors are one node.
+    usable = rows.filter(sound).withColumn("vector", F.transform("vector", lambda x: x + F.lit(0.0).cast(kind)))
+    nodes = usable.groupBy("vector").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    nodes = store(nodes.withColumn("node", F.monotonically_increasing_id()))
+    lengths = [r["n"] for r in nodes.select(F.size("vector").alias("n")).distinct().orderBy("n").collect()]
+    for size in lengths:
+        own = nodes.filter(F.size("vector") == size)
+        links, parts = _linked(own, size, kind, cosine, dimensions, leaf, fan)
+        found = own.join(links, "node", "left").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
+        names = found.groupBy("part").agg(F.min("least").alias("component_id"))
+        named = found.join(names, "part").select(
+            "vector", F.struct((F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id").alias("r")
+        )
+        result = result.union(usable.join(named, "vector").select("id", "r"))
+    return _result(result, row_id)
+
+
+def _groups(leaves: DataFrame, pairs: DataFrame, total: int, leaf_bytes: int) -> DataFrame:
+    """What each task gets: leaves to hold (no partners), then leaves to stream with their partners among those held.
+
+    Groups are few enough that a leaf isn't sent often, and small enough to be held; pairs of groups
+    without a pair of near leaves make no task.
+    """
+    partitions = int(leaves.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = min(total, max(math.isqrt(4 * partitions), math.ceil(total * leaf_bytes / HELD_BYTES)))
+    group = {side: F.floor(F.col(side) * groups / total).cast("int").alias(f"{side}_group") for side in "ab"}
+    dealt = store(pairs.select("a", "b", group["a"], group["b"]))
+    keys = ["a_group", "b_group"]
+    held = dealt.select(*keys, F.col("b").alias("leaf")).distinct().withColumn("partners", F.array().cast("array<bigint>"))
+    streamed = dealt.groupBy(*keys, F.col("a").alias("leaf")).agg(F.collect_list("b").alias("partners"))
+    content = leaves.select("leaf", "nodes", "copies", "vectors")
+    met = held.union(streamed.select(*held.columns)).join(content, "leaf")
+    return met.repartition(partitions, *keys).sortWithinPartitions(*keys, F.size("partners") > 0, "leaf")
+
+
+def _linked(nodes: DataFrame, size: int, kind: str, cosine: float, dimensions: int, leaf: int, fan: int) -> tuple[DataFrame, DataFrame]:
+    """Number of links (node, n) and parts (node, part) of the nodes, whose vectors have one length."""
     epsilon = math.sqrt(2 - 2 * cosine) + 1e-9
     axes = principal_axes(nodes, size, min(dimensions, size))
-    sent = df.sparkSession.sparkContext.broadcast(axes)
-    leaves, total = _numbered(_leaves(nodes, axes, epsilon, leaf))
+    sent = nodes.sparkSession.sparkContext.broadcast(axes)
+    leaves, total = _numbered(_leaves(nodes, axes, epsilon, leaf, kind))
     pairs = _near_leaves(leaves.select("leaf", "low", "high"), total, epsilon, fan)
-    content = ["nodes", "copies", "vectors"]
-    left = leaves.select(F.col("leaf").alias("a"), *[F.col(c).alias(f"a_{c}") for c in content])
-    right = leaves.select(F.col("leaf").alias("b"), *[F.col(c).alias(f"b_{c}") for c in content])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held = None, {}
         for batch in batches:
             for row in range(batch.num_rows):
                 value = {name: batch.column(name)[row].as_py() for name in batch.schema.names}
-                ids = [np.frombuffer(value[f"{s}_nodes"], np.int64) for s in "ab"]
-                copies = [np.frombuffer(value[f"{s}_copies"], np.int64) for s in "ab"]
-                raw = [np.frombuffer(value[f"{s}_vectors"], np.float32).astype(np.float64).reshape(-1, size) for s in "ab"]
-                same = value["a"] == value["b"]
-                counts, kept = leaf_links(raw, copies, cosine, same, sent.value, epsilon)
-                both = ids[0] if same else np.concatenate(ids)
-                found = [(int(n), None, int(c)) for own, count in zip(ids, counts, strict=True) for n, c in zip(own, count, strict=True) if c]
-                found += [(int(both[i]), int(both[j]), 0) for i, j in kept]
-                columns = zip(*found, strict=True) if found else [()] * 3
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], names=["node", "to", "n"])
-
-    met = pairs.join(left, "a").join(right, "b")
-    found = store(met.mapInArrow(compare, "node bigint, to bigint, n bigint"))
+                if (value["a_group"], value["b_group"]) != group:
+                    group, held = (value["a_group"], value["b_group"]), {}
+                ids, copies = np.frombuffer(value["nodes"], np.int64), np.frombuffer(value["copies"], np.int64)
+                mine = (ids, copies, np.frombuffer(value["vectors"], kind).astype(np.float64).reshape(-1, size))
+                if not value["partners"]:
+                    held[value["leaf"]] = mine
+                for partner in value["partners"]:
+                    other, same = held[partner], partner == value["leaf"]
+                    counts, kept = leaf_links((mine[2], other[2]), (copies, other[1]), cosine, same, sent.value, epsilon)
+                    both = ids if same else np.concatenate([ids, other[0]])
+                    counted = [(i[c > 0], c[c > 0]) for i, c in zip((ids, other[0]), counts, strict=True)]
+                    links = np.array(kept, np.int64).reshape(-1, 2)
+                    node = np.concatenate([*[i for i, _ in counted], both[links[:, 0]]])
+                    to = np.concatenate([np.full(len(node) - len(links), -1), both[links[:, 1]]])
+                    n = np.concatenate([*[c for _, c in counted], np.zeros(len(links), np.int64)])
+                    yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(to, mask=to < 0), pa.array(n)], names=["node", "to", "n"])
+
+    met = _groups(leaves, pairs, total, leaf * size * 8)
+    found = store(met.select("a_group", "b_group", "leaf", "partners", "nodes", "copies", "vectors").mapInArrow(compare, "node bigint, to bigint, n bigint"))
     links = found.filter("to is null").groupBy("node").agg(F.sum("n").alias("n"))
-    parts = connected_components(found.filter("to is not null").select(F.col("node").alias("a"), F.col("to").alias("b")))
-    named = (
-        nodes.join(links, "node", "left").join(parts, "node", "left")
-        .select(
-            "vector",
-            F.struct(
-                (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                F.nullif(F.coalesce("part", "node"), F.lit(-(2**63))).alias("component_id"),
-            ).alias("r"),
-        )
-    )
-    return _result(usable.join(named, "vector").select("id", "r").union(alone), row_id)
+    return links, connected_components(found.filter("to is not null").select(F.col("node").alias("a"), F.col("to").alias("b")))
 
 
 def _result(rows: DataFrame, row_id: str) -> DataFrame:
