@@ -34,7 +34,6 @@ from pyspark.sql.functions import arrow_udf
 
 from paneloom.llm.components import connected_components
 from paneloom.llm.frames import chunks, document_batches, joined, text_of, with_outputs
-from paneloom.llm.representatives import keep_first, row_keys
 from paneloom.runtime import store
 
 SHINGLE_WORDS = 4
@@ -184,15 +183,3 @@ def _linked(rows: DataFrame, distance: int, long_list: int) -> DataFrame:
     parts = connected_components(links).withColumnRenamed("node", "fingerprint")
     # Few classes have links; the others are named by their own smallest id.
     return classes.join(parts, "fingerprint", "left").withColumn("part", F.coalesce("part", "fingerprint"))
-
-
-def keep_one(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component of near duplicates: the one with the smallest id, then the smallest text.
-
-    Ids may repeat or be null: what stays goes by the fingerprint of each row. A row without an id
-    stays only if no row of its component has one.
-    """
-    rows = df.select(F.col(f"`{row_id}`").alias("id"), row_keys(row_id, text).alias("row_key"), F.col(f"`{text}`").alias("text"))
-    rows = store(fingerprints(rows, "text", "fingerprint").drop("text"))
-    parts = _linked(rows, DISTANCE, LONG_LIST).select("fingerprint", "part")
-    return keep_first(df, rows.join(parts, "fingerprint").select("id", "row_key", "part"), row_id, text)

@@ -1,5 +1,6 @@
 """Connected components, SimHash, epsilon grid order, Order MinHash."""
 
+import math
 import random
 import re
 import struct
@@ -83,33 +84,70 @@ def test_simhash_edges(spark, edge_docs, no_docs):
     assert {c for _, c in found[1] | found[5]} == {1}
     assert found[2] == found[3] == found[7] == {(0, 2)}
     assert {c for _, c in found[None]} == {None}
-    kept = simhash.keep_one(edge_docs)
-    assert kept.columns == edge_docs.columns
-    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, n) for n in (1, 2, 4, 6, 8)] + [(True, 0)]
-    assert simhash.near_duplicates(no_docs).count() == simhash.keep_one(no_docs).count() == 0
+    assert simhash.near_duplicates(no_docs).count() == 0
 
 
 def brute_vectors(vectors, cosine=0.95):
-    sound = {
-        i: np.array(v, np.float64) for i, v in vectors
-        if v and len(v) == 4 and all(x is not None and np.isfinite(x) for x in v) and any(v)
-    }
-    unit = {i: v / np.linalg.norm(v) for i, v in sound.items()}
-    links = [(a, b) for a in unit for b in unit if a < b and unit[a] @ unit[b] >= cosine]
-    part = smallest_reachable([i for i, _ in vectors], links)
-    return {i: (sum(i in link for link in links), part[i], part[i] == i) for i, _ in vectors}
-
-
-@pytest.mark.parametrize(("leaf", "fan"), [(3, 2), (2_048, 8)])
-def test_epsilon_grid_equals_brute_force(spark, leaf, fan):
+    """(id, links, component, kept) of every row, by its place: ids may repeat or be null."""
+
+    def sound(v):
+        return v and all(x is not None and np.isfinite(x) for x in v) and any(v)
+
+    unit = {i: np.array(v) / np.abs(v).max() for i, (_, v) in enumerate(vectors) if sound(v)}
+    unit = {i: v / np.linalg.norm(v) for i, v in unit.items()}
+    links = [(a, b) for a in unit for b in unit if a < b and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= cosine]
+    part = smallest_reachable(range(len(vectors)), links)
+    least = {}
+    for place, (own, _) in enumerate(vectors):
+        least.setdefault(part[place], []).append(own)
+    least = {p: min((i for i in ids if i is not None), default=None) for p, ids in least.items()}
+    many = np.bincount(np.array(links).ravel(), minlength=len(vectors)) if links else np.zeros(len(vectors), int)
+    return sorted(((i, int(many[n]), least[part[n]], i == least[part[n]]) for n, (i, _) in enumerate(vectors)), key=repr)
+
+
+def near_rows(spark, vectors, kind="float", **options):
+    frame = spark.createDataFrame(vectors, f"vec_id bigint, embedding array<{kind}>").selectExpr("*", "1 AS n_links", "'k' AS kept", "2 AS node")
+    rows = epsilon_grid.near_vectors(frame, **options).collect()
+    return sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize(("leaf", "fan", "held"), [(3, 2, 200), (2_048, 8, 32 << 20)])
+def test_epsilon_grid_equals_brute_force(spark, monkeypatch, leaf, fan, held):
+    monkeypatch.setattr(epsilon_grid, "HELD_BYTES", held)
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(6, 4))
     vectors = [(i, (centres[i % 6] * rng.uniform(0.5, 3) + rng.normal(size=4) * 0.25).astype(np.float32).tolist()) for i in range(120)]
     vectors += [(200, vectors[0][1]), (201, vectors[0][1]), (202, None), (203, []), (204, [0.0] * 4), (205, [1.0, None, 0.0, 0.0])]
     vectors += [(206, [float("nan"), 1.0, 0.0, 0.0]), (207, [float("inf"), 1.0, 0.0, 0.0]), (208, [1.0, 2.0]), (209, [1e30, 0.0, 0.0, 0.0])]
-    frame = spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").selectExpr("*", "1 AS n_links", "'k' AS kept", "2 AS node")
-    rows = epsilon_grid.near_vectors(frame, leaf=leaf, fan=fan, dimensions=2).collect()
-    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in rows} == brute_vectors(vectors)
+    # Two vectors of one id, null ids, another length.
+    vectors += [(1, vectors[7][1]), (1, vectors[8][1]), (None, vectors[9][1]), (None, [0.0, 0.0, -1.0, 5.0]), (None, [9.0, -9.0, 0.0, 0.0])]
+    vectors += [(300, [2.0, 4.0]), (301, [-1.0, 0.0]), (None, [-3.0, 0.1])]
+    assert near_rows(spark, vectors, leaf=leaf, fan=fan, dimensions=2) == brute_vectors(vectors)
+
+
+def test_epsilon_grid_tells_vectors_of_one_id_apart(spark):
+    rows = near_rows(spark, [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (3, [1.0, 0.01, 0.0]), (None, [0.0, 0.0, 1.0]), (None, [-1.0, 0.0, 0.0])])
+    assert rows == sorted([(1, 1, 1, True), (1, 0, 1, True), (3, 1, 1, False), (None, 0, None, True), (None, 0, None, True)], key=repr)
+
+
+def test_epsilon_grid_keeps_double_precision(spark):
+    near = [1.0, math.tan(math.acos(0.95)) * (1 - 1e-12)]
+    far = [1.0, math.tan(math.acos(0.95)) * (1 + 1e-12)]
+    for other, linked in ((near, 1), (far, 0)):
+        assert near_rows(spark, [(1, [1.0, 0.0]), (2, other)], "double")[0][1] == linked
+
+
+def test_epsilon_grid_of_many_near_copies(spark):
+    rng = np.random.default_rng(7)
+    vectors = [(i, (1 + rng.normal(size=8) * 0.01).tolist()) for i in range(5_000)] + [(9_000, [1.0] + [0.0] * 7)]
+    rows = near_rows(spark, vectors, "double")
+    assert set(rows) == {(9_000, 0, 9_000, True), *[(i, 4_999, 0, i == 0) for i in range(5_000)]}
+
+
+def test_epsilon_grid_query_equals_brute_force(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()
+    got = catalog.op8_epsilon_grid(spark, "/root/testdata/sf0.001").collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute_vectors([(r["vec_id"], r["embedding"]) for r in rows])
 
 
 def test_epsilon_grid_edges(spark):

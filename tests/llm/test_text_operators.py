@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -27,7 +28,7 @@ def test_language_edges(spark, edge_docs, no_docs):
     model = language.fit(edge_docs)
     rows = check_shape(language.predict(edge_docs, model), edge_docs, ["lang_pred", "score"])
     for row in rows:
-        letters = re.search(r"[^\W\d_]", row["text"] or "")
+        letters = any(map(str.isalpha, row["text"] or ""))
         assert (row["lang_pred"] == "und") == (not letters)
         assert row["score"] == 0 if not letters else 0 < row["score"] <= 1
     by_id = {r["doc_id"]: r["lang_pred"] for r in rows}
@@ -46,6 +47,22 @@ def test_language_backs_off_to_shorter_grams():
     assert scorer.predict(["known", "zur", "123", "known zur zur"])[0] == ["aa", "bb", "und", "bb"]
 
 
+def test_language_words_are_letters_only():
+    assert language.words_of("m² ½ Ⅷ ① x1y Été_là") == ["m", "x", "y", "été", "là"]
+
+
+def test_language_no_letters_is_undetermined(spark, edge_docs):
+    frame = spark.createDataFrame([(1, "² ½ ① 7"), (2, "x²")], "doc_id bigint, text string")
+    found = {r["doc_id"]: r["lang_pred"] for r in language.predict(frame, language.fit(edge_docs)).collect()}
+    assert found[1] == "und" and found[2] != "und"
+
+
+def test_language_learns_words_seen_once(spark):
+    rows = [(n, f"water w{'abcdefgh'[n]}once", "en") for n in range(8)] + [(10 + n, "agua eau", "fr") for n in range(8)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert {"water", "agua", "waonce", "whonce"} <= set(model.words)
+
+
 def test_language_held_out_accuracy(spark):
     found = catalog.op3_language(spark, "/root/testdata/sf0.01").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id"
@@ -194,3 +211,15 @@ def test_encoding_edges(spark, edge_docs, no_docs, library):
     assert all(r["back"] == (r["text"] or "") for r in again.collect())
     assert sentencepiece_bpe.encode_and_decode(no_docs, model).count() == 0
     assert len(CLASHES) and len(ROWS) == edge_docs.count()
+
+
+def test_pii_many_candidates_in_one_text():
+    text = ", ".join(f"0{n % 90 + 10}-555-{n % 9_000 + 1_000}" for n in range(50_000))
+    began = time.perf_counter()
+    found = pii.candidates_of(text)
+    assert time.perf_counter() - began < 20
+    assert len(found) >= 40_000
+    ends = 0
+    for _, start, end, base, _ in found:
+        assert base or start >= ends
+        ends = max(ends, end)
