@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, rounded, table
 from paneloom.operators import joins, matching, resolve
+from paneloom.plans import normalise
 
 ENTRIES: dict = {}
 query = registrar(ENTRIES)
@@ -98,29 +99,31 @@ def relaxed_join(spark, sf_dir):
     return pairs.select("right_id", "left_id", "strict")
 
 
-# Names with a recognisable spelling error: the first ten digits of a hash, of
-# which the left side lost or doubled one, or swapped its halves.
+# Names with a recognisable spelling error: the left side lost or doubled a
+# character, or swapped its parts.
 _NAMES_SQL = """
-    c AS (SELECT c_custkey, c_nationkey AS nation, c_mktsegment AS segment, md5(c_name)[1:10] AS name FROM customer),
+    c AS (SELECT c_custkey, c_nationkey AS nation, c_mktsegment AS segment, c_name AS name FROM customer),
     l AS (SELECT c_custkey AS left_id, nation, segment,
                  CASE c_custkey % 4 WHEN 0 THEN name
-                   WHEN 1 THEN name[1:4] || name[6:10]
-                   WHEN 2 THEN name[1:7] || name[7:10]
-                   ELSE name[6:10] || name[1:5] END AS name FROM c)"""
+                   WHEN 1 THEN name[1:13] || name[15:]
+                   WHEN 2 THEN name[1:16] || name[16:]
+                   ELSE name[10:] || name[1:9] END AS name FROM c)"""
 
 
-def _hash_names(spark, sf_dir):
-    name = F.substring(F.md5("c_name"), 1, 10)
+def _cut(start: int, size: int = 1_000, name: str = "name"):
+    return F.substring(name, start, size)
+
+
+def _customer_names(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select(
-        "c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), name.alias("name")
+        "c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("name")
     )
     kind = F.col("c_custkey") % 4
-    cut = lambda start, size: F.substring("name", start, size)
     spoiled = (
         F.when(kind == 0, F.col("name"))
-        .when(kind == 1, F.concat(cut(1, 4), cut(6, 5)))
-        .when(kind == 2, F.concat(cut(1, 7), cut(7, 4)))
-        .otherwise(F.concat(cut(6, 5), cut(1, 5)))
+        .when(kind == 1, F.concat(_cut(1, 13), _cut(15)))
+        .when(kind == 2, F.concat(_cut(1, 16), _cut(16)))
+        .otherwise(F.concat(_cut(10), _cut(1, 9)))
     )
     left = customer.select(F.col("c_custkey").alias("left_id"), "nation", "segment", spoiled.alias("name"))
     return left, customer.withColumnRenamed("c_custkey", "right_id")
@@ -151,7 +154,7 @@ def _lcs_sql(pairs: str) -> str:
         QUALIFY row_number() OVER (PARTITION BY l.left_id ORDER BY score DESC, c.c_custkey) = 1""",
 )
 def fuzzy_block(spark, sf_dir):
-    left, right = _hash_names(spark, sf_dir)
+    left, right = _customer_names(spark, sf_dir)
     found = matching.fuzzy_best_match(
         left, right, ["nation", "segment"], "left_id", "name", "right_id", "name", threshold=80
     )
@@ -194,6 +197,47 @@ def fuzzy_tokens(spark, sf_dir):
     return found.withColumn("score", rounded("score", 6))
 
 
+# Names of varying length and alphabet: the first three words of a text.
+_OPENINGS_SQL = """
+    o AS (SELECT doc_id AS k, lang AS grp, source AS team, CAST(2001 + doc_id % 3 AS INTEGER) AS season,
+                 nullif(replace(regexp_extract(text, '^[^ \n]+[ \n][^ \n]+[ \n][^ \n]+'), chr(10), ' '), '') AS name FROM documents)"""
+
+
+def _openings(spark, sf_dir):
+    words = F.regexp_extract("text", "^[^ \n]+[ \n][^ \n]+[ \n][^ \n]+", 0)
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("k"), F.col("lang").alias("grp"), F.col("source").alias("team"),
+        (F.col("doc_id") % 3 + 2001).cast("int").alias("season"), F.nullif(F.replace(words, F.lit("\n"), F.lit(" ")), F.lit("")).alias("name"),
+    )
+
+
+@query(
+    "fuzzy_ratio",
+    f"""WITH RECURSIVE {_OPENINGS_SQL},
+        l AS (SELECT k AS left_id, grp, team, CASE k % 3 WHEN 0 THEN name[1:4] || name[6:] WHEN 1 THEN name[1:6] || name[5:]
+                ELSE name[1:3] || 'q' || name[5:] END AS name FROM o WHERE name IS NOT NULL),
+        r AS (SELECT k AS right_id, grp, team, name FROM o WHERE name IS NOT NULL),
+        pairs AS (SELECT DISTINCT l.name AS a, r.name AS b FROM l JOIN r USING (grp, team)),
+        {_lcs_sql("pairs")}
+        SELECT l.grp, l.team, l.left_id, r.right_id, round(score, 6) AS score
+        FROM l JOIN r USING (grp, team) JOIN scored ON a = l.name AND b = r.name
+        WHERE score >= 70
+        QUALIFY row_number() OVER (PARTITION BY l.left_id ORDER BY score DESC, r.right_id) = 1""",
+)
+def fuzzy_ratio(spark, sf_dir):
+    docs = _openings(spark, sf_dir)
+    kind = F.col("k") % 3
+    spoiled = (
+        F.when(kind == 0, F.concat(_cut(1, 4), _cut(6)))
+        .when(kind == 1, F.concat(_cut(1, 6), _cut(5)))
+        .otherwise(F.concat(_cut(1, 3), F.lit("q"), _cut(5)))
+    )
+    left = docs.select(F.col("k").alias("left_id"), "grp", "team", spoiled.alias("name"))
+    right = docs.select(F.col("k").alias("right_id"), "grp", "team", "name")
+    found = matching.fuzzy_best_match(left, right, ["grp", "team"], "left_id", "name", "right_id", "name", threshold=70, sort_tokens=False)
+    return found.withColumn("score", rounded("score", 6))
+
+
 _SIDES_SQL = """
     c AS (SELECT c_custkey AS k, CAST(2001 + c_custkey % 3 AS INTEGER) AS season, c_nationkey AS team,
                  c_mktsegment AS grp, CAST(c_custkey % 40 AS INTEGER) AS number, md5(c_name)[1:10] AS name FROM customer),
@@ -300,6 +344,120 @@ def resolve_unmatched(spark, sf_dir):
     return left.unionByName(right)
 
 
+def _sorted_sql(n: int, text: str = "name") -> str:
+    """Both sides after tier n with the words of the compared text in order."""
+    words = f"array_to_string(list_sort(list_filter(string_split({text}, ' '), lambda w: w <> '')), ' ')"
+    return ", ".join(f"{side}{n}s AS (SELECT * REPLACE ({words} AS name) FROM {side}{n})" for side in "lr")
+
+
+# The seven tiers on openings of texts. Of every eight rows on the left, six differ from the right
+# so that one tier each can find them; one needs nothing, one is nobody's.
+_TIERS_SQL = f"""WITH RECURSIVE {_OPENINGS_SQL},
+    p AS (SELECT *, k % 8 AS kind, CAST(k % 40 AS VARCHAR) AS number, DATE '1980-01-01' + CAST(k * 37 % 9000 AS INTEGER) AS birth,
+                 CAST(k % 9 AS INTEGER) AS years FROM o WHERE name IS NOT NULL),
+    l0 AS (SELECT season, k + 1000000 AS left_id, CASE WHEN kind = 5 THEN 'elsewhere' ELSE team END AS team,
+             CASE WHEN kind IN (1, 2, 3, 4, 5) THEN 'other' ELSE grp END AS grp,
+             CASE WHEN kind IN (0, 1, 2) THEN number END AS number, CASE WHEN kind = 2 THEN birth END AS birth,
+             CASE WHEN kind = 3 THEN season - CAST(year(birth) AS INTEGER) END AS age, CASE WHEN kind = 4 THEN years END AS years,
+             CASE WHEN kind IN (2, 3, 4) THEN name[1:5] || name[7:] WHEN kind = 6 THEN name[1:3] || 'zz' || name[6:]
+               WHEN kind = 7 THEN reverse(name) || ' ' || reverse(name) ELSE name END AS name FROM p),
+    r0 AS (SELECT season, k AS right_id, team, grp, number, birth, season - CAST(year(birth) AS INTEGER) AS age, years, name FROM p),
+    m1 AS (SELECT DISTINCT l.season, left_id, right_id, 'group_name' AS tier FROM l0 l JOIN r0 r USING (season, grp, name)), {_rest_sql(1)},
+    m2 AS (SELECT DISTINCT l.season, left_id, right_id, 'team_number_name' AS tier
+           FROM l1 l JOIN r1 r USING (season, team, number, name)), {_rest_sql(2)},
+    {_sorted_sql(2)}, {_fuzzy_tier_sql(3, "l2s", "r2s", "season, birth", 80, "birth_fuzzy")}, {_rest_sql(3)},
+    {_sorted_sql(3)}, {_fuzzy_tier_sql(4, "l3s", "r3s", "season, age", 87, "age_fuzzy")}, {_rest_sql(4)},
+    {_sorted_sql(4)}, {_fuzzy_tier_sql(5, "l4s", "r4s", "season, years", 80, "years_fuzzy")}, {_rest_sql(5)},
+    m6 AS (SELECT DISTINCT l.season, left_id, right_id, 'name' AS tier FROM l5 l JOIN r5 r USING (season, name)), {_rest_sql(6)},
+    {_sorted_sql(6, "name || ' ' || grp")}, {_fuzzy_tier_sql(7, "l6s", "r6s", "season", 70, "group_fuzzy")}, {_rest_sql(7)}"""
+
+
+def _seven_tiers(spark, sf_dir):
+    p = _openings(spark, sf_dir).filter("name IS NOT NULL").select(
+        "*", (F.col("k") % 8).alias("kind"), (F.col("k") % 40).cast("string").alias("number"),
+        F.date_add(F.lit("1980-01-01").cast("date"), (F.col("k") * 37 % 9000).cast("int")).alias("birth"),
+        (F.col("k") % 9).cast("int").alias("years"),
+    )
+    kind, age = F.col("kind"), F.col("season") - F.year("birth")
+    name = (
+        F.when(kind.isin(2, 3, 4), F.concat(_cut(1, 5), _cut(7)))
+        .when(kind == 6, F.concat(_cut(1, 3), F.lit("zz"), _cut(6)))
+        .when(kind == 7, F.concat(F.reverse("name"), F.lit(" "), F.reverse("name")))
+        .otherwise(F.col("name"))
+    )
+    left = p.select(
+        "season", (F.col("k") + 1000000).alias("left_id"),
+        F.when(kind == 5, "elsewhere").otherwise(F.col("team")).alias("team"),
+        F.when(kind.between(1, 5), "other").otherwise(F.col("grp")).alias("position_group"),
+        F.when(kind < 3, F.col("number")).alias("jerseynumber"), F.when(kind == 2, F.col("birth")).alias("birthdate"),
+        F.when(kind == 3, age).alias("age"), F.when(kind == 4, F.col("years")).alias("yearspro"), name.alias("fullname_clean"),
+    )
+    right = p.select(
+        "season", F.col("k").alias("right_id"), "team", F.col("grp").alias("position_group"), F.col("number").alias("jerseynumber"),
+        F.col("birth").alias("birthdate"), F.col("years").alias("yearspro"), F.col("name").alias("fullname_clean"),
+    )
+    tiers = resolve.roster_tiers(F.col("season") - F.year("birthdate"))
+    return resolve.resolve_entities(left, right, ["season"], "left_id", "right_id", "fullname_clean", tiers)
+
+
+@query("seven_tiers", _TIERS_SQL + "\n" + "\nUNION ALL ".join(f"SELECT * FROM m{n}" for n in range(1, 8)))
+def seven_tiers(spark, sf_dir):
+    return _seven_tiers(spark, sf_dir).matches
+
+
+@query(
+    "seven_tiers_unmatched",
+    _TIERS_SQL + "\nSELECT 'left' AS side, season, left_id AS id FROM l7 UNION ALL SELECT 'right', season, right_id FROM r7",
+)
+def seven_tiers_unmatched(spark, sf_dir):
+    found = _seven_tiers(spark, sf_dir)
+    left = found.unmatched_left.select(F.lit("left").alias("side"), "season", F.col("left_id").alias("id"))
+    right = found.unmatched_right.select(F.lit("right").alias("side"), "season", F.col("right_id").alias("id"))
+    return left.unionByName(right)
+
+
+@query(
+    "season_normalisation",
+    f"""WITH RECURSIVE {_OPENINGS_SQL},
+    p AS (SELECT * FROM o WHERE name IS NOT NULL),
+    l AS (SELECT k + 1000000 AS rating_id, season, team, CASE k % 5 WHEN 1 THEN 'other' ELSE grp END AS grp,
+            CASE k % 5 WHEN 2 THEN name[1:4] || name[6:] WHEN 3 THEN 'x' || name WHEN 4 THEN reverse(name) ELSE name END AS name FROM p),
+    r AS (SELECT k AS player_id, season, grp, name FROM p),
+    e AS (SELECT l.*, player_id, 1 AS priority FROM l JOIN r USING (season, name, grp)
+          UNION ALL SELECT l.*, player_id, 2 FROM l JOIN r USING (season, name)),
+    e1 AS (FROM e QUALIFY row_number() OVER (PARTITION BY season, player_id ORDER BY priority, rating_id) = 1),
+    rest AS (SELECT * FROM l WHERE rating_id NOT IN (SELECT rating_id FROM e1)),
+    pairs AS (SELECT DISTINCT l.name AS a, r.name AS b FROM rest l JOIN r USING (season, grp)),
+    {_lcs_sql("pairs")},
+    f AS (SELECT DISTINCT l.*, r.name AS found, score FROM rest l JOIN r USING (season, grp) JOIN scored ON a = l.name AND b = r.name
+          WHERE score >= 70),
+    f1 AS (FROM f QUALIFY row_number() OVER (PARTITION BY rating_id ORDER BY score DESC, found) = 1),
+    every AS (SELECT rating_id, season, team, player_id, priority FROM e1
+              UNION ALL SELECT f1.rating_id, season, team, player_id, 3 FROM f1 JOIN (SELECT player_id, season, grp, name AS found FROM r) USING (season, grp, found)),
+    once AS (FROM every QUALIFY row_number() OVER (PARTITION BY season, player_id ORDER BY priority, rating_id) = 1),
+    matched AS (FROM once QUALIFY row_number() OVER (PARTITION BY rating_id, team, season ORDER BY priority, player_id) = 1)
+    SELECT rating_id, season, player_id, priority::INTEGER AS priority FROM matched
+    UNION ALL SELECT rating_id, season, NULL, NULL FROM l WHERE rating_id NOT IN (SELECT rating_id FROM matched)""",
+)
+def season_normalisation(spark, sf_dir):
+    p = _openings(spark, sf_dir).filter("name IS NOT NULL")
+    kind = F.col("k") % 5
+    name = (
+        F.when(kind == 2, F.concat(_cut(1, 4), _cut(6)))
+        .when(kind == 3, F.concat(F.lit("x"), F.col("name")))
+        .when(kind == 4, F.reverse("name"))
+        .otherwise(F.col("name"))
+    )
+    ratings = p.select(
+        (F.col("k") + 1000000).alias("rating_id"), "season", "team", F.when(kind == 1, "other").otherwise(F.col("grp")).alias("position_group"), name.alias("fullname")
+    )
+    players = p.select(F.col("k").alias("player_id"), "season", F.col("grp").alias("position_group"), F.col("name").alias("fullname"))
+    done = normalise.match_season(ratings, players)
+    return done.matched.select("rating_id", "season", "player_id", "priority").unionByName(
+        done.missed.select("rating_id", "season"), allowMissingColumns=True
+    )
+
+
 @query(
     "registry",
     """WITH n AS (SELECT l_partkey, l_suppkey, count(*) AS c FROM lineitem GROUP BY ALL),

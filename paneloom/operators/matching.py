@@ -1,151 +1,153 @@
-"""Best fuzzy partner within a block, without forming the block's pairs.
-
-Two strings reach a similarity threshold only if they share enough characters,
-counted with multiplicity. Ordering all (character, occurrence) tokens from rare
-to frequent, that bound turns into a bound on the tokens at the front of both
-strings: among them a given number is common (prefix filtering, Bayardo et al.
-2007, extended prefixes, Wang et al. 2012). Candidates are therefore an equi-join
-on combinations of front tokens, which loses no pair, and only candidates are
-compared. Larger blocks use larger combinations, which fewer strings share.
-Equal strings are settled by an equi-join before, and repeated strings in a
-block are compared once.
+"""Best fuzzy partner within a block.
+
+Equal strings are settled by an equi-join, and repeated strings of a block are compared
+once. For every string that is left, the cheaper of two ways is taken:
+
+* Segments. Two strings that reach a threshold are at most D insertions and deletions apart, D by their lengths.
+  Cut one into D + 1 segments: there is a number i such that the segments before the i-th took exactly i of the edits and the
+  i-th none, so it stands in the other string, shifted by at most i places, and the rest took at most D - i
+  (Li et al. 2011, for insertions and deletions). Every string of the block is listed by its segments; a string looks up its
+  substrings at those places. How many these are depends on its length alone, so
+  the cost of a string doesn't grow with the block.
+* Tiles. The strings of the block are compared with it in tiles, as arrays in a task: no row
+  is made for a pair, most pairs end with a bound on their common characters.
+
+A string takes segments if its substrings, each counted as ``KEY_COST`` comparisons, are fewer than the strings of
+its block, and if the lists they hit don't have more entries than the block. Blocks of any size are spread over many tasks.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from math import comb, floor
+from collections.abc import Callable, Sequence
+from functools import lru_cache
+from math import ceil, floor
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from paneloom.functions.similarity import characters, common_length, ratio
-from paneloom.functions.text import map_values, token_sort
+from paneloom.functions.similarity import best_of_each, common_length, ratio
+from paneloom.functions.text import token_sort
 from paneloom.runtime import store
 
-#: Tokens given an explicit place in the order; all others are rarer.
-_RANKED_TOKENS = 512
-
-_MOST_KEYS = 5_000
-
-
-def _tokens(text: Column) -> Column:
-    """Each character with its occurrence number, ``e1``, ``e2``, ..."""
-    chars = F.array_sort(characters(text))
-    return F.transform(
-        chars,
-        lambda c, i: F.concat(c, (i - F.array_position(chars, c).cast("int") + 2).cast("string")),
-    )
-
-
-def _frequent_tokens(strings: DataFrame) -> dict[str, str]:
-    """The most frequent tokens, most frequent last; at most 512 reach the driver.
-
-    Any order is correct, this one keeps candidate lists short.
-    """
-    rows = (
-        strings.select(F.explode(_tokens(F.col("_text"))).alias("token"))
-        .groupBy("token")
-        .count()
-        .orderBy(F.desc("count"), "token")
-        .limit(_RANKED_TOKENS)
-        .collect()
-    )
-    return {row["token"]: f"{_RANKED_TOKENS - place:03d}" for place, row in enumerate(rows)}
-
-
-def _needed(length: Column, threshold: float) -> Column:
-    """Characters a string of this length shares with any partner, at least."""
-    return F.ceil(length * F.lit(threshold / (200.0 - threshold)) - F.lit(1e-9)).cast("int")
-
-
-def _front(text: Column, threshold: float, shared: int, places: dict[str, str]) -> Column:
-    """The rarest tokens of the text; a partner has ``shared`` of them."""
-    placed = F.transform(
-        _tokens(text), lambda t: F.concat(F.coalesce(map_values(t, places), F.lit("000")), t)
-    )
-    length = F.length(text)
-    return F.slice(F.array_sort(placed), 1, length - _needed(length, threshold) + shared)
-
-
-def _combinations(front: Column, size: int) -> Column:
-    """All combinations of ``size`` front tokens, in order, joined by tabs."""
-    found = F.transform(front, lambda t, i: F.struct(t.alias("key"), i.alias("at")))
-    for _ in range(size - 1):
-        found = F.flatten(
-            F.transform(
-                found,
-                lambda s: F.transform(
-                    F.slice(front, s["at"] + 2, F.size(front)),
-                    lambda t, i: F.struct(
-                        F.concat(s["key"], F.lit("\t"), t).alias("key"), (s["at"] + 1 + i).alias("at")
-                    ),
-                ),
-            )
-        )
-    return F.transform(found, lambda s: s["key"])
-
-
-def _keys(text: Column, front: Column, threshold: float, shared: int) -> Column:
-    """Join keys of a text: combinations of its front tokens and, if a partner
-    may be alike in fewer than ``shared`` characters, single tokens."""
-    needed = _needed(F.length(text), threshold)
-    tiny = F.lit(threshold) * (F.length(text) + needed) / 200.0 <= shared - 1 + 1e-9
-    single = F.slice(front, 1, F.length(text) - needed + 1)
-    combined = _combinations(front, shared)
-    return combined if shared == 1 else F.when(tiny, F.concat(combined, single)).otherwise(combined)
-
-
-def _shared_for(wanted: DataFrame, pool: DataFrame, block: Sequence[str], threshold: float) -> int:
-    """Tokens per key: more for larger blocks, so that few texts share a key,
-    fewer for long texts, so that none has more than a few thousand keys."""
-    texts = wanted.select(*block, "_text").unionByName(pool.select(*block, "_text"))
-    sizes = texts.groupBy(*block).agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.length("_text")).alias("length")
-    )
-    largest, longest = sizes.agg(F.max("rows"), F.max("length")).first()
-    largest, longest = largest or 0, longest or 0
-    shared = 2 if largest <= 200_000 else 3 if largest <= 20_000_000 else 4
-    spare = longest - floor(longest * threshold / (200.0 - threshold))
-    while shared > 1 and comb(spare + shared, shared) > _MOST_KEYS:
-        shared -= 1
-    return shared
-
-
-def _candidates(
-    left: DataFrame,
-    right: DataFrame,
-    block: Sequence[str],
-    threshold: float,
-    places: dict[str, str],
-    shared: int,
-) -> DataFrame:
-    def keyed(side: DataFrame, *carried: Column) -> DataFrame:
-        fronts = side.select(
-            *block, "_text", *carried, _front(F.col("_text"), threshold, shared, places).alias("_front")
-        )
-        return fronts.withColumn(
-            "_key", F.explode(_keys(F.col("_text"), F.col("_front"), threshold, shared))
-        )
-
-    a = keyed(left)
-    b = keyed(right, F.col("_partner")).select(
-        *block,
-        "_key",
-        F.col("_text").alias("_other"),
-        F.col("_front").alias("_other_front"),
-        "_partner",
-    )
-    size, other = F.length("_text"), F.length("_other")
-    needed = F.lit(threshold) * (size + other) / 200.0 - 1e-9
-    # Of several common keys only the first yields the pair.
-    common = F.array_intersect("_front", "_other_front")
-    first = F.when(
-        F.ceil(needed) >= shared, F.array_join(F.slice(common, 1, shared), "\t")
-    ).otherwise(F.get(common, F.lit(0)))
-    # Sizes before the explode would suggest a broadcast of what is far larger.
-    pairs = a.hint("merge").join(b, [*block, "_key"])
-    return pairs.filter((F.least(size, other) >= needed) & (first == F.col("_key")))
+#: Comparisons in a tile that cost as much as looking up one substring: shuffled and joined.
+KEY_COST = 16.0
+#: Strings of each side of a tile, about.
+TILE = 1_024
+
+
+@lru_cache(maxsize=4_096)
+def partner_lengths(length: int, threshold: float) -> range:
+    """Lengths of the strings that one of this length can reach the threshold with."""
+    share = threshold / (200.0 - threshold)
+    return range(max(1, ceil(length * share - 1e-9)), floor(length / share + 1e-9) + 1)
+
+
+def edits_between(length: int, other: int, threshold: float) -> int:
+    """Insertions and deletions that two strings of these lengths are apart at most; of the lengths' parity."""
+    most = floor((length + other) * (1 - threshold / 100.0) + 1e-9)
+    return most - (most - length - other) % 2
+
+
+def _cuts(length: int, parts: int) -> list[tuple[int, int]]:
+    """Start and length of nearly equal parts."""
+    marks = [length * n // parts for n in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(marks, marks[1:], strict=False)]
+
+
+@lru_cache(maxsize=4_096)
+def segments(length: int, threshold: float) -> tuple[tuple[str, int, int], ...]:
+    """(label, start, length) of the segments that a string of this length is listed by."""
+    apart = {edits_between(n, length, threshold) for n in partner_lengths(length, threshold)}
+    return tuple(
+        (f"{length},{edits},{i},", start, size)
+        for edits in sorted(apart) if edits < length
+        for i, (start, size) in enumerate(_cuts(length, edits + 1))
+    )
+
+
+@lru_cache(maxsize=4_096)
+def places(length: int, threshold: float) -> tuple[tuple[str, int, int], ...]:
+    """(label, start, length) of the substrings that a string of this length looks up."""
+    found = []
+    for other in partner_lengths(length, threshold):
+        edits = edits_between(length, other, threshold)
+        for i, (start, size) in enumerate(_cuts(other, edits + 1)):
+            for shift in range(-i, i + 1, 2):
+                at = start + shift
+                if abs(length - other - shift) <= edits - i and 0 <= at <= length - size:
+                    found.append((f"{other},{edits},{i},", at, size))
+    return tuple(found)
+
+
+@lru_cache(maxsize=4_096)
+def lookups(length: int, threshold: float) -> float:
+    """About how many substrings a string of this length looks up; infinite if a partner can't be cut into segments."""
+    total = 0
+    for other in partner_lengths(length, threshold):
+        edits = edits_between(length, other, threshold)
+        if edits >= other:
+            return float("inf")
+        total += (edits + 2) ** 2 // 4
+    return float(total)
+
+
+def _keys(layout: Callable, threshold: float) -> Callable[[Column], Column]:
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([[label + t[at : at + size] for label, at, size in layout(len(t), threshold)] for t in texts])
+
+    return F.pandas_udf(run, ArrayType(StringType()))
+
+
+def _lookups(threshold: float) -> Callable[[Column], Column]:
+    def run(lengths: pd.Series) -> pd.Series:
+        return lengths.map(lambda n: lookups(int(n), threshold)).astype("float64")
+
+    return F.pandas_udf(run, DoubleType())
+
+
+def _by_segments(texts: DataFrame, pool: DataFrame, block: Sequence[str], threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Scored pairs of the texts found by segments, and the texts whose lists have more entries than their block."""
+    own = pool.join(texts.select(*block).distinct(), list(block), "left_semi")
+    index = store(own.select(*block, F.explode(_keys(segments, threshold)(F.col("_text"))).alias("_key"), F.col("_text").alias("_other"), "_partner"))
+    probes = store(texts.select(*block, "_text", "_pool", F.explode(_keys(places, threshold)(F.col("_text"))).alias("_key")))
+    entries = index.groupBy(*block, "_key").agg(F.count(F.lit(1)).alias("_entries"))
+    load = probes.join(entries, [*block, "_key"]).groupBy(*block, "_text").agg(F.sum("_entries").alias("_entries"), F.first("_pool").alias("_pool"))
+    heavy = store(load.filter(F.col("_entries") > F.col("_pool")).select(*block, "_text", "_pool"))
+    light = probes.join(heavy.select(*block, "_text"), [*block, "_text"], "left_anti")
+    pairs = light.join(index, [*block, "_key"]).select(*block, "_text", "_other", "_partner").distinct()
+    common = common_length(F.col("_text"), F.col("_other"))
+    scored = pairs.withColumn("score", ratio(common, F.length("_text"), F.length("_other"))).filter(F.col("score") >= threshold)
+    return scored.select(*block, "_text", "_partner", "score"), heavy
+
+
+def _by_tiles(texts: DataFrame, pool: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
+    """Best partners of the texts in every tile of their block."""
+    sizes = texts.groupBy(*block).agg(F.count(F.lit(1)).alias("_texts"), F.first("_pool").alias("_pool"))
+    tiles = store(sizes.select(*block, F.ceil(F.col("_texts") / TILE).alias("_rows"), F.ceil(F.col("_pool") / TILE).alias("_columns")))
+    number, every = {}, {}
+    for name in ("_rows", "_columns"):
+        number[name] = F.pmod(F.xxhash64("_text"), F.col(name))
+        every[name] = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(name) - 1))
+    asking = texts.select(*block, "_text").join(tiles, list(block))
+    asking = asking.select(*block, number["_rows"].alias("_row"), every["_columns"].alias("_column"), "_text", F.lit(None).cast(pool.schema["_partner"].dataType).alias("_partner"), F.lit(True).alias("_asks"))
+    asked = pool.join(tiles, list(block))
+    asked = asked.select(*block, every["_rows"].alias("_row"), number["_columns"].alias("_column"), "_text", "_partner", F.lit(False).alias("_asks"))
+
+    def compare(tile: pa.Table) -> pa.Table:
+        asks = tile["_asks"]
+        left = tile.filter(asks)
+        right = tile.filter(pc.invert(asks)).sort_by("_partner")  # of equals the smallest comes first
+        i, j, score = best_of_each(left["_text"].to_pylist(), right["_text"].to_pylist(), threshold)
+        found = left.take(pa.array(i)).select([*block, "_text"])
+        return found.append_column("_partner", right["_partner"].take(pa.array(j))).append_column("score", pa.array(score))
+
+    fields = [*[texts.schema[name] for name in block], texts.schema["_text"], pool.schema["_partner"], StructField("score", DoubleType())]
+    kind = StructType([StructField(f.name, f.dataType) for f in fields])
+    return asking.union(asked).groupBy(*block, "_row", "_column").applyInArrow(compare, kind)
 
 
 def best_partners(
@@ -156,12 +158,15 @@ def best_partners(
     right_text: Column,
     right_id: str,
     threshold: float,
-    shared: int | None = None,
+    key_cost: float = KEY_COST,
 ) -> DataFrame:
     """Per distinct (block, left text): best right id and its score.
 
     Ties take the smallest id. Columns: block, ``_text``, ``right_id``, ``score``.
     """
+    if threshold <= 0:
+        raise ValueError("the threshold must be above 0")
+
     def cleaned(side: DataFrame, text: Column, *kept: str) -> DataFrame:
         rows = side.select(*block, *kept, text.alias("_text"))
         return rows.dropna(subset=[*block, *kept, "_text"]).filter(F.length("_text") > 0)
@@ -177,17 +182,21 @@ def best_partners(
     )
     if threshold >= 100:
         return equal
-    open_texts = wanted.join(pool, [*block, "_text"], "left_anti")
-    places = _frequent_tokens(wanted.select("_text").unionByName(pool.select("_text")))
-    shared = shared or _shared_for(wanted, pool, block, threshold)
-    pairs = _candidates(open_texts, pool, block, threshold, places, shared)
-    scored = pairs.withColumn("_common", common_length(F.col("_text"), F.col("_other"))).withColumn(
-        "score", ratio(F.col("_common"), F.length("_text"), F.length("_other"))
-    )
+    sizes = pool.groupBy(*block).agg(F.count(F.lit(1)).cast(LongType()).alias("_pool"))
+    open_texts = wanted.join(pool, [*block, "_text"], "left_anti").join(sizes, list(block))
+    open_texts = store(open_texts.withColumn("_keys", _lookups(threshold)(F.length("_text"))))
+    few = F.col("_keys") * key_cost < F.col("_pool")
+    listed, rest = open_texts.filter(few).drop("_keys"), open_texts.filter(~few).drop("_keys")
+    pairs = []
+    if not listed.isEmpty():
+        found, heavy = _by_segments(listed, pool, block, threshold)
+        pairs.append(found)
+        rest = rest.unionByName(heavy)
+    pairs.append(_by_tiles(rest, pool, block, threshold))
+    scored = pairs[0] if len(pairs) == 1 else pairs[0].unionByName(pairs[1])
     best = F.min(F.struct((-F.col("score")).alias("_down"), F.col("_partner")))
     close = (
-        scored.filter(F.col("score") >= threshold)
-        .groupBy(*block, "_text")
+        scored.groupBy(*block, "_text")
         .agg(best.alias("_best"))
         .select(
             *block,
@@ -210,18 +219,18 @@ def fuzzy_best_match(
     threshold: float,
     sort_tokens: bool = True,
     one_to_one: bool = False,
-    shared: int | None = None,
+    key_cost: float = KEY_COST,
 ) -> DataFrame:
     """Best right row for every left row of the same block, if similar enough.
 
     Columns: block, ``left_id``, ``right_id``, ``score``. Several left rows may
     take the same right row; ``one_to_one`` keeps the best left row of each.
-    ``shared`` is the number of tokens in a join key, by default chosen by the
-    largest block; it changes the work, not the result.
+    ``key_cost`` weighs the two ways to compare (0: segments wherever they can be cut, infinite: tiles); it
+    changes the work, not the result.
     """
     shape = token_sort if sort_tokens else (lambda c: c)
     best = best_partners(
-        left, right, block, shape(F.col(left_name)), shape(F.col(right_name)), right_id, threshold, shared
+        left, right, block, shape(F.col(left_name)), shape(F.col(right_name)), right_id, threshold, key_cost
     )
     rows = left.select(*block, left_id, shape(F.col(left_name)).alias("_text")).distinct()
     matches = rows.join(best, [*block, "_text"]).drop("_text")

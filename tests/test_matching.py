@@ -47,17 +47,18 @@ def people(rng, count, start):
 
 
 @pytest.mark.parametrize(
-    ("threshold", "sort_tokens", "shared"),
-    [(40, True, 1), (40, False, None), (67, True, 3), (70, False, 4), (80, True, None), (80, False, 4), (95, True, 3), (100, True, None)],
+    ("threshold", "sort_tokens", "key_cost"),
+    [(40, True, 0), (60, False, 0), (60, True, 1e9), (70, False, 0), (70, True, 0.2), (80, True, 16), (80, False, 0), (90, True, 0), (90, False, 1e9), (100, True, 16)],
 )
-def test_best_match_equals_all_pairs(spark, threshold, sort_tokens, shared):
+def test_best_match_equals_all_pairs(spark, monkeypatch, threshold, sort_tokens, key_cost):
+    monkeypatch.setattr(matching, "TILE", 40)
     rng = random.Random(threshold)
     left, right = people(rng, 150, 0), people(rng, 150, 1000)
     schema = "block int, {0}_id long, name string"
     got = matching.fuzzy_best_match(
         spark.createDataFrame(left, schema.format("left")),
         spark.createDataFrame(right, schema.format("right")),
-        ["block"], "left_id", "name", "right_id", "name", threshold, sort_tokens, shared=shared,
+        ["block"], "left_id", "name", "right_id", "name", threshold, sort_tokens, key_cost=key_cost,
     )
     rows = [(r.block, r.left_id, r.right_id, round(r.score, 6)) for r in got.collect()]
     assert len(rows) == len(set(rows))
@@ -65,22 +66,45 @@ def test_best_match_equals_all_pairs(spark, threshold, sort_tokens, shared):
     assert set(rows) == best(left, right, threshold, shape)
 
 
-@pytest.mark.parametrize("shared", [1, 2, 4])
-def test_long_and_short_names(spark, shared):
+@pytest.mark.parametrize("key_cost", [0, 1e9])
+def test_long_and_short_names(spark, key_cost):
     rng = random.Random(1)
     make = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n)).strip() or "a"
-    base = [make(rng.choice([1, 2, 3, 4, 5, 20, 24, 70] if shared > 2 else [1, 2, 3, 40, 90, 200])) for _ in range(40)]
+    base = [make(rng.choice([1, 2, 3, 4, 5, 20, 24, 40, 70, 90, 200])) for _ in range(40)]
     left = [(1, i, n) for i, n in enumerate(base)]
     right = [(1, 100 + i, n[: len(n) // 2] + n[len(n) // 2 + 1 :]) for i, n in enumerate(base)]
     got = matching.fuzzy_best_match(
         spark.createDataFrame(left, "block int, left_id long, name string"),
         spark.createDataFrame(right, "block int, right_id long, name string"),
-        ["block"], "left_id", "name", "right_id", "name", 70, False, shared=shared,
+        ["block"], "left_id", "name", "right_id", "name", 70, False, key_cost=key_cost,
     )
     rows = {(r.block, r.left_id, r.right_id, round(r.score, 6)) for r in got.collect()}
     assert rows == best(left, right, 70, lambda n: n)
 
 
+def test_a_segment_is_found_for_every_near_pair():
+    rng = random.Random(4)
+    for threshold in (60, 70, 80, 90):
+        for _ in range(400):
+            a = "".join(rng.choice("abc") for _ in range(rng.randint(4, 30)))
+            b = list(a)
+            for _ in range(rng.randint(1, 6)):
+                at = rng.randrange(len(b) + 1)
+                b[at : at + rng.randint(0, 1)] = rng.choice(["", "a", "b"])
+            b = "".join(b)
+            if not b or similarity(a, b) < threshold or matching.lookups(len(a), threshold) == float("inf"):
+                continue
+            listed = {label + b[at : at + size] for label, at, size in matching.segments(len(b), threshold)}
+            assert any(label + a[at : at + size] in listed for label, at, size in matching.places(len(a), threshold))
+
+
+def test_lookups_depend_on_the_length_alone():
+    for length in range(1, 60):
+        for threshold in (70, 80, 90):
+            if matching.lookups(length, threshold) < float("inf"):
+                assert len(matching.places(length, threshold)) <= matching.lookups(length, threshold)
+
+
 def test_one_to_one_keeps_the_best_left_row(spark):
     left = spark.createDataFrame([(1, 1, "john smith"), (1, 2, "jon smith")], "block int, left_id long, name string")
     right = spark.createDataFrame([(1, 9, "john smith")], "block int, right_id long, name string")
