@@ -8,16 +8,23 @@ A prediction is linear in the row, so after any number of steps the filled cells
 of a row are a linear function of its known cells that depends only on the
 group and on which cells are missing. The regressions need nothing but sums of
 products, and those of a gap pattern follow from its sums over the known cells.
-So one aggregation per (group, pattern) replaces the passes over the rows, all
-cycles are run on its small result, and one join fills the rows.
+
+Each group goes the cheapest way that a task can hold, all to the same result:
+
+* rows: the cells of the group, if they are less than the sums of its patterns: one task runs all cycles;
+* patterns: one aggregation per (group, pattern) replaces the passes over the rows, all
+  cycles are run on its small result, and one join fills the rows, however many;
+* passes, for what is too large either way: a pass applies the predictions of the cycle so far to every
+  row and returns the sums for the next column in the same Arrow batch. Rows are written once a cycle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,8 +35,10 @@ from paneloom.operators.quantiles import best_bin_count, bin_by_edges
 from paneloom.operators.regression import solve_ridge
 from paneloom.runtime import store
 
-#: Above this many gap patterns in a group the passes over the rows are taken.
-MAX_PATTERNS = 512
+#: Bytes of a group's cells, or of the sums of its patterns, that one task holds.
+GROUP_BYTES = 16 << 20
+#: Bytes of the predictions of a cycle that are sent to all tasks at once.
+SENT_BYTES = 32 << 20
 
 _MATRIX = T.ArrayType(T.ArrayType(T.DoubleType()))
 
@@ -58,14 +67,54 @@ def _centred_rows(df: DataFrame, keys: Sequence[str], targets: Sequence[str], st
     )
 
 
-def _most_patterns(rows: DataFrame, keys: Sequence[str], stats: DataFrame, limit: int) -> int:
-    """Gap patterns of the group with the most, or a bound not above ``limit``."""
+def _ways(rows: DataFrame, keys: Sequence[str], stats: DataFrame, size: int, held: int) -> DataFrame:
+    """The way that each group goes: ``rows``, ``patterns`` or ``passes``."""
     open_columns = F.size(F.filter("_known", lambda n: (n > 0) & (n < F.col("_rows"))))
-    most_open = stats.agg(F.max(open_columns)).first()[0] or 0
-    if 2**most_open <= limit:
-        return 2**most_open
-    patterns = rows.select(*keys, "_gaps").dropna().distinct().groupBy(*keys).count()
-    return patterns.agg(F.max("count")).first()[0] or 0
+    cells, each = F.col("_rows") * size * 8, (size + 1) ** 2 * 8
+    bound = stats.withColumn("_patterns", F.least(F.pow(F.lit(2.0), open_columns), F.col("_rows")))
+
+    def chosen(patterns: Column) -> Column:
+        sums = patterns * each
+        return F.when((cells <= held) & (cells <= sums), "rows").when(sums <= held, "patterns").otherwise("passes")
+
+    first = store(bound.select(*keys, "_rows", chosen(F.col("_patterns")).alias("way")))
+    if first.filter("way = 'passes'").isEmpty():
+        return first.select(*keys, "way")
+    # Fewer patterns may occur than the incomplete columns allow.
+    unsure = first.filter("way = 'passes'").select(*keys, "_rows")
+    counted = rows.select(*keys, "_gaps").join(unsure.select(*keys), list(keys), "left_semi").distinct().groupBy(*keys).count()
+    sure = unsure.join(counted, list(keys)).select(*keys, chosen(F.col("count")).alias("way"))
+    return store(first.filter("way != 'passes'").select(*keys, "way").unionByName(sure))
+
+
+def _predict_gaps(values: np.ndarray, gaps: np.ndarray, target: int, row: np.ndarray) -> None:
+    missing = np.flatnonzero(gaps[:, target])
+    values[missing, target] = row[0] + values[missing] @ row[1:]
+
+
+def impute_rows(values: np.ndarray, alpha: float, tol: float, max_iter: int) -> np.ndarray:
+    """One group's rows (NaN: gap) with the gaps of all columns that have a value filled."""
+    gaps = np.isnan(values)
+    live = ~gaps.all(axis=0)
+    result = np.where(live, 0.0, np.nan) + np.zeros(values.shape)
+    if not live.any():
+        return result
+    mean = np.nanmean(values[:, live], axis=0)
+    z = np.where(gaps[:, live], 0.0, values[:, live] - mean)
+    holes = gaps[:, live]
+    tolerance = tol * np.nanmax(np.abs(values))
+    order = [j for j in np.argsort(holes.sum(axis=0), kind="stable") if holes[:, j].any()]
+    one = np.ones((len(z), 1))
+    columns = np.arange(1, z.shape[1] + 1)
+    for _ in range(max_iter if order else 0):
+        before = z.copy()
+        for j in order:
+            seen = np.hstack([one[~holes[:, j]], z[~holes[:, j]]])
+            _predict_gaps(z, holes, j, _fit_step(seen.T @ seen, j + 1, columns[columns != j + 1], alpha))
+        if np.abs(z - before).sum(axis=1).max() < tolerance:
+            break
+    result[:, live] = np.where(holes, mean + z, values[:, live])
+    return result
 
 
 def _fit_step(gram: np.ndarray, target: int, others: np.ndarray, alpha: float) -> np.ndarray:
@@ -217,89 +266,140 @@ def _by_patterns(
     ).drop("fill")
 
 
-def _solve_targets(sums: DataFrame, keys: Sequence[str], size: int, alpha: float) -> DataFrame:
-    kinds = {f.name: f.dataType for f in sums.schema.fields}
-    names = list(keys)
-    schema = T.StructType(
-        [T.StructField(k, kinds[k]) for k in names] + [T.StructField("beta", T.ArrayType(T.DoubleType()))]
-    )
+def _in_a_task(rows: DataFrame, keys: Sequence[str], targets: Sequence[str], alpha: float, tol: float, max_iter: int) -> DataFrame:
+    """Groups whose cells a task holds."""
+    rows = rows.drop("_mean", "_z", "_gaps").withColumns({c: F.col(c).cast("double") for c in targets})
 
-    def solve(batches):
-        for batch in batches:
-            betas = []
-            for flat, mean, target in zip(batch["gram"], batch["_mean"], batch["_target"]):
-                live = np.array([m is not None and not np.isnan(m) for m in mean])
-                columns = np.flatnonzero(live) + 1
-                gram = np.asarray(flat).reshape(size + 1, size + 1)
-                betas.append(_fit_step(gram, target + 1, columns[columns != target + 1], alpha).tolist())
-            out = batch[names].copy()
-            out["beta"] = betas
-            yield out
+    def fill(group: pa.Table) -> pa.Table:
+        cells = np.column_stack([group[c].to_numpy() for c in targets]).astype(np.float64)
+        filled = impute_rows(cells, alpha, tol, max_iter)
+        for j, c in enumerate(targets):
+            column = pa.array(filled[:, j], mask=np.isnan(filled[:, j]))
+            group = group.set_column(group.schema.get_field_index(c), c, column)
+        return group
+
+    kind = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema.fields])
+    return rows.groupBy(*keys).applyInArrow(fill, kind)
+
+
+def _batch(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Cells (a copy), gaps, and the rows of each group of a batch of the state."""
+    z = batch.column("_z").flatten().to_numpy().reshape(-1, size).copy()
+    gaps = np.frombuffer("".join(batch.column("_gaps").to_pylist()).encode(), np.uint8).reshape(-1, size) == ord("1")
+    group = batch.column("_group").to_numpy()
+    return z, gaps, [(int(g), np.flatnonzero(group == g)) for g in np.unique(group)]
+
+
+def _moved(z: np.ndarray, gaps: np.ndarray, at: np.ndarray, steps: list[tuple[int, np.ndarray]]) -> np.ndarray:
+    own = z[at]
+    for target, row in steps:
+        _predict_gaps(own, gaps[at], target, row)
+    return own
+
+
+def _sums_after(state: DataFrame, steps: dict[int, list], following: dict[int, int], size: int) -> dict[int, np.ndarray]:
+    """Sums of products of the rows that know the following column of their group, after the steps of the cycle.
+
+    Every task sends one matrix a group, line by line; the driver gets their sums.
+    """
+    sent = state.sparkSession.sparkContext.broadcast((steps, following))
 
-    return sums.mapInPandas(solve, schema)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps, following = sent.value
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            z, gaps, groups = _batch(batch, size)
+            for group, at in groups:
+                if group in following:
+                    own = _moved(z, gaps, at, steps[group])[~gaps[at, following[group]]]
+                    own = np.hstack([np.ones((len(own), 1)), own])
+                    total[group] = total.get(group, 0) + own.T @ own
+        groups = np.repeat(np.array(list(total), np.int64), size + 1)
+        lines = np.tile(np.arange(size + 1, dtype=np.int32), len(total))
+        sums = np.concatenate(list(total.values())) if total else np.empty((0, size + 1))
+        cells = pa.ListArray.from_arrays(pa.array(np.arange(len(sums) + 1) * (size + 1), pa.int32()), pa.array(sums.ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(groups), pa.array(lines), cells], names=["group", "line", "sums"])
+
+    parts = state.select("_group", "_z", "_gaps").mapInArrow(add, "group bigint, line int, sums array<double>")
+    lines = parts.groupBy("group", "line").agg(F.array(*[F.sum(F.get("sums", F.lit(i))) for i in range(size + 1)]).alias("sums"))
+    found: dict[int, np.ndarray] = {}
+    for row in lines.toArrow().to_pylist():
+        found.setdefault(row["group"], np.zeros((size + 1, size + 1)))[row["line"]] = row["sums"]
+    return found
+
+
+def _stepped(state: DataFrame, steps: dict[int, list], size: int) -> DataFrame:
+    """The state after all steps of a cycle, with the change of each row."""
+    sent = state.sparkSession.sparkContext.broadcast(steps)
+
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            z, gaps, groups = _batch(batch, size)
+            change = np.zeros(len(z))
+            for group, at in groups:
+                own = _moved(z, gaps, at, sent.value.get(group, []))
+                change[at] = np.abs(own - z[at]).sum(axis=1)
+                z[at] = own
+            cells = pa.ListArray.from_arrays(pa.array(np.arange(len(z) + 1) * size, pa.int32()), pa.array(z.ravel()))
+            columns = [batch.column("_row"), batch.column("_group"), cells, batch.column("_gaps"), pa.array(change)]
+            yield pa.RecordBatch.from_arrays(columns, names=["_row", "_group", "_z", "_gaps", "_change"])
+
+    return state.select("_row", "_group", "_z", "_gaps").mapInArrow(
+        move, "_row bigint, _group bigint, _z array<double>, _gaps string, _change double"
+    )
 
 
-def _by_rows(
+def _cycle_passes(state: DataFrame, heads: list[dict], size: int, alpha: float, max_iter: int) -> DataFrame:
+    """The state (_row, _group, _z, _gaps) of some groups after their last cycle."""
+    live, order, tolerance = {}, {}, {}
+    for head in heads:
+        group = head["_group"]
+        gaps = [head["_rows"] - n for n in head["_known"]]
+        live[group] = np.array([j + 1 for j, n in enumerate(head["_known"]) if n])
+        order[group] = [j for j in sorted(range(size), key=lambda j: gaps[j]) if 0 < gaps[j] < head["_rows"]]  # noqa: B023
+        tolerance[group] = head["_tolerance"] or 0.0
+    active = {g for g, columns in order.items() if columns}
+    for _ in range(max_iter):
+        if not active:
+            break
+        steps: dict[int, list] = {g: [] for g in active}
+        for place in range(max(len(order[g]) for g in active)):
+            following = {g: order[g][place] for g in active if place < len(order[g])}
+            for group, gram in _sums_after(state, steps, following, size).items():
+                at = following[group] + 1
+                row = _fit_step(gram, at, live[group][live[group] != at], alpha)
+                steps[group].append((at - 1, row))
+        state = store(_stepped(state, steps, size))
+        changes = state.groupBy("_group").agg(F.max("_change").alias("change")).collect()
+        active &= {r["_group"] for r in changes if r["change"] >= tolerance[r["_group"]]}
+        state = state.drop("_change")
+    return state
+
+
+def _by_passes(
     rows: DataFrame, keys: Sequence[str], targets: Sequence[str], stats: DataFrame, alpha: float, max_iter: int
 ) -> DataFrame:
-    """The same iteration by passes over the rows, for groups with very many
-    gap patterns: one aggregation per step, rows stored once per cycle."""
+    """Groups of any size with any number of patterns."""
     size = len(targets)
-    places = F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda j: F.struct((F.col("_rows") - F.get("_known", j)).alias("gaps"), j.alias("at")),
-    )
-    open_places = F.filter(
-        F.array_sort(places), lambda s: (s["gaps"] > 0) & (s["gaps"] < F.col("_rows"))
-    )
-    heads = store(
-        stats.select(
-            *keys, "_mean", "_tolerance", F.transform(open_places, lambda s: s["at"]).alias("_order")
-        )
+    groups = store(stats.join(rows.select(*keys).distinct(), list(keys), "left_semi").withColumn("_group", F.monotonically_increasing_id()))
+    base = store(rows.join(groups.select(*keys, "_group"), list(keys)).withColumn("_row", F.monotonically_increasing_id()))
+    # Groups of one turn have predictions of a bounded size; turns follow one another.
+    turns = -(-groups.count() * size * (size + 1) * 8 // SENT_BYTES)
+    done = None
+    for turn in range(turns):
+        mine = F.pmod(F.xxhash64("_group"), F.lit(turns)) == turn
+        heads = groups.filter(mine).select("_group", "_rows", "_known", "_tolerance").toArrow().to_pylist()
+        state = _cycle_passes(base.filter(mine).select("_row", "_group", "_z", "_gaps"), heads, size, alpha, max_iter)
+        state = state.select("_row", F.col("_z").alias("_filled"))
+        done = state if done is None else done.unionByName(state)
+    filled = base.join(done, "_row").withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.get("_mean", F.lit(j)) + F.get("_filled", F.lit(j))) for j, c in enumerate(targets)}
     )
-    steps = heads.agg(F.max(F.size("_order"))).first()[0] or 0
-    state = rows.withColumn("_old", F.col("_z"))
-    active = heads.filter(F.size("_order") > 0)
-    if active.isEmpty():
-        max_iter = 0
-    for _ in range(max_iter):
-        for step in range(steps):
-            now = active.withColumn("_target", F.get("_order", F.lit(step))).filter("_target is not null")
-            now = now.select(*keys, F.col("_mean"), "_target")
-            known = state.select(*keys, "_z", "_gaps").join(now.select(*keys, "_target"), list(keys))
-            known = known.filter(F.substr("_gaps", F.col("_target") + 1, F.lit(1)) == "0")
-            sums = grouped_gram(known, keys, "_z", size).join(now, list(keys))
-            betas = _solve_targets(sums, keys, size, alpha)
-            found = store(betas.join(now.select(*keys, "_target"), list(keys)))
-            hole = F.substr("_gaps", F.col("_target") + 1, F.lit(1)) == "1"
-            value = _predict(F.col("beta"), F.col("_z"), size)
-            moved = F.transform("_z", lambda v, i: F.when(i == F.col("_target"), value).otherwise(v))
-            state = (
-                state.join(found, list(keys), "left")
-                .withColumn("_z", F.when(F.col("beta").isNotNull() & hole, moved).otherwise(F.col("_z")))
-                .drop("beta", "_target")
-            )
-        state = store(state)
-        change = F.aggregate(
-            F.zip_with("_z", "_old", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: a + b
-        )
-        moving = (
-            state.groupBy(*keys)
-            .agg(F.max(change).alias("_change"))
-            .join(stats.select(*keys, "_tolerance"), list(keys))
-            .filter(F.col("_change") >= F.col("_tolerance"))
-            .select(*keys)
-        )
-        active = store(active.join(moving, list(keys), "left_semi"))
-        if active.isEmpty():
-            break
-        state = state.withColumn("_old", F.col("_z"))
-    return state.withColumns(
-        {
-            c: F.coalesce(F.col(c).cast("double"), F.col("_mean")[j] + F.col("_z")[j])
-            for j, c in enumerate(targets)
-        }
-    ).drop("_old")
+    return filled.drop("_row", "_group", "_filled")
 
 
 def chained_impute(
@@ -310,7 +410,7 @@ def chained_impute(
     max_iter: int = 20,
     tol: float = 1e-3,
     flag: str = "imputed",
-    max_patterns: int | None = None,
+    group_bytes: int | None = None,
 ) -> DataFrame:
     """Fill the gaps of the target columns (as doubles) within each key.
 
@@ -318,16 +418,32 @@ def chained_impute(
     with a null key are kept as they are; ``flag`` tells them apart.
     """
     df = nan_to_null(df, targets)
-    limit = MAX_PATTERNS if max_patterns is None else max_patterns
+    held = GROUP_BYTES if group_bytes is None else group_bytes
     keyed = F.lit(True)
     for key in keys:
         keyed = keyed & F.col(key).isNotNull()
     stats = _group_stats(df.filter(keyed), keys, targets, tol)
     rows = _centred_rows(df, keys, targets, stats)
-    method = _by_patterns if _most_patterns(rows, keys, stats, limit) <= limit else _by_rows
+    ways = _ways(rows, keys, stats, len(targets), held)
+    taken = sorted(r["way"] for r in ways.select("way").distinct().collect())
+    doubles = {c: F.col(c).cast("double") for c in targets}
     # Rows with a null key meet neither means nor coefficients and pass through.
-    filled = method(rows, keys, targets, stats, alpha, max_iter)
-    return filled.drop("_mean", "_z", "_gaps").withColumn(flag, keyed)
+    parts = [rows.filter(~keyed).withColumns(doubles)]
+    for way in taken:
+        own = rows.filter(keyed)
+        if len(taken) > 1:
+            own = own.join(ways.filter(F.col("way") == way).select(*keys), list(keys), "left_semi")
+        if way == "rows":
+            parts.append(_in_a_task(own, keys, targets, alpha, tol, max_iter))
+        elif way == "patterns":
+            parts.append(_by_patterns(own, keys, targets, stats, alpha, max_iter))
+        else:
+            parts.append(_by_passes(own, keys, targets, stats, alpha, max_iter))
+    parts = [part.drop("_mean", "_z", "_gaps").select(*df.columns) for part in parts]
+    filled = parts[0]
+    for part in parts[1:]:
+        filled = filled.unionByName(part)
+    return filled.withColumn(flag, keyed)
 
 
 def impute_by_bin(

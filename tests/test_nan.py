@@ -54,7 +54,7 @@ OPERATORS = {
         d, ["k"], regression.category_model(d, ["k"], "y", MODEL), MODEL, "y", "a"
     ).select("i", "a_after", "a_diff", "b_diff"),
     "chained_impute": lambda d: imputation.chained_impute(d, ["k"], ["a", "b", "y"]).select("i", "a", "b", "y"),
-    "chained_impute_by_rows": lambda d: imputation.chained_impute(d, ["k"], ["a", "b", "y"], max_patterns=0).select("i", "a", "b", "y"),
+    "chained_impute_by_rows": lambda d: imputation.chained_impute(d, ["k"], ["a", "b", "y"], group_bytes=0).select("i", "a", "b", "y"),
     "clipped": lambda d: d.select("i", numbers.clipped(F.col("a"), 45.0, 55.0).alias("c")),
 }
 
