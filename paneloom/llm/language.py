@@ -14,11 +14,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -48,12 +49,19 @@ def words_of(text: str) -> list[str]:
     return [w for run in found for w in "".join(c if c.isalpha() else " " for c in run).split()]
 
 
+def word_hashes(words: Iterable[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """Log frequencies of words and n-grams, a row per term and a column per language."""
+    """Log frequencies of words and n-grams, a row per term and a column per language.
+
+    Words are held by their hashes, in ascending order: a task holds the model once, whatever its words.
+    """
 
     languages: tuple[str, ...]
-    words: dict[str, int]
+    words: np.ndarray
     grams: dict[str, int]
     word_scores: np.ndarray
     gram_scores: np.ndarray
@@ -79,7 +87,7 @@ def fit(
     document_batches(df.sparkSession)
     languages = sorted(sizes)
     if not languages:
-        return LanguageModel((), {}, {}, np.zeros((0, 0)), np.zeros((0, 0)))
+        return LanguageModel((), np.empty(0, np.uint64), {}, np.zeros((0, 0)), np.zeros((0, 0)))
     # One row per language, which has to be sent whole: the texts stay where they are.
     quota = df.sparkSession.createDataFrame([(k, fit_rows * 1_000_000 / n) for k, n in sizes.items()], "lang string, most double")
     chosen = rows.join(F.broadcast(quota), "lang").filter("draw < most")
@@ -95,20 +103,21 @@ def fit(
     columns = [F.coalesce(F.col(f"`{name}`"), F.lit(0)) for name in languages]
     kept = counted.select("size", "term", F.array(*columns).alias("n")).toArrow()
     size = kept["size"].to_numpy()
-    count = np.array(kept["n"].to_pylist(), np.float64).reshape(len(size), len(languages))
-    terms = kept["term"].to_pylist()
+    count = kept["n"].combine_chunks().flatten().to_numpy().reshape(len(size), len(languages))
 
-    def table(rows: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
-        scores = np.zeros((len(rows), len(languages)))
+    def scores(rows: np.ndarray) -> np.ndarray:
+        result = np.zeros((len(rows), len(languages)))
         for length in np.unique(size[rows]):
             own = np.flatnonzero(size[rows] == length)
             n = count[rows[own]] + 0.5
-            scores[own] = np.log(n / n.sum(axis=0))
-        return {terms[r]: i for i, r in enumerate(rows)}, scores
+            result[own] = np.log(n / n.sum(axis=0))
+        return result
 
-    words, word_scores = table(np.flatnonzero(size == 0))
-    grams, gram_scores = table(np.flatnonzero(size > 0))
-    return LanguageModel(tuple(languages), words, grams, word_scores, gram_scores)
+    words, grams = np.flatnonzero(size == 0), np.flatnonzero(size > 0)
+    hashes = word_hashes(kept["term"].take(pa.array(words)).to_pylist())
+    words, hashes = words[np.argsort(hashes)], np.sort(hashes)
+    named = {term: i for i, term in enumerate(kept["term"].take(pa.array(grams)).to_pylist())}
+    return LanguageModel(tuple(languages), hashes, named, scores(words), scores(grams))
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +161,8 @@ class Scorer:
         self.forget()
 
     def forget(self) -> None:
-        self.number = dict(self.model.words)
-        self.scores = self.model.word_scores
+        self.number: dict[str, int] = {}
+        self.scores = np.zeros((0, len(self.model.languages)))
         self.chars = 0
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -163,7 +172,7 @@ class Scorer:
         languages, score = [UNDETERMINED] * len(texts), np.zeros(len(texts))
         if not model.languages or not sizes.any():
             return languages, score
-        if len(self.number) > len(model.words) + self.remembered or self.chars > REMEMBERED_CHARS:
+        if len(self.number) > self.remembered or self.chars > REMEMBERED_CHARS:
             self.forget()
         words = [w for s in split for w in s]
         known = self.number
@@ -171,7 +180,7 @@ class Scorer:
         if new:
             known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
             self.chars += sum(map(len, new))
-            self.scores = np.concatenate([self.scores, self.back_off(new)])
+            self.scores = np.concatenate([self.scores, self.of_words(new)])
         number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         some = np.flatnonzero(sizes)
         starts = (np.cumsum(sizes) - sizes)[some]
@@ -184,6 +193,16 @@ class Scorer:
             languages[row] = model.languages[lang]
         return languages, score
 
+    def of_words(self, words: list[str]) -> np.ndarray:
+        """The scores of words: their own if the model knows them, else those of their n-grams."""
+        hashes, scores = word_hashes(words), np.empty((len(words), len(self.model.languages)))
+        place = np.minimum(np.searchsorted(self.model.words, hashes), max(0, len(self.model.words) - 1))
+        known = self.model.words[place] == hashes if len(self.model.words) else np.zeros(len(words), bool)
+        scores[known] = self.model.word_scores[place[known]]
+        other = np.flatnonzero(~known)
+        scores[other] = self.back_off([words[i] for i in other.tolist()])
+        return scores
+
     def back_off(self, words: list[str]) -> np.ndarray:
         """The scores of unknown words from their longest known n-grams."""
         grams, found, owner = self.model.grams, [], []
