@@ -434,7 +434,7 @@ def day_and_time(spark, sf_dir):
     return events.select("event_id", dates.day_and_time(F.col("day"), F.col("time")).alias("kickoff"))
 
 
-_WEIGHTS = dict(zip(fixed_values.PASSING_SCORE, (
+_WEIGHTS = dict(zip((name for name, *_ in fixed_values.PASSING_SCORE), (
     "l_quantity", "l_linenumber", "l_extendedprice", "l_discount", "l_tax",
     "l_discount", "l_quantity", "l_extendedprice", "l_tax",
 )))
@@ -479,7 +479,7 @@ def clipped_rating(spark, sf_dir):
         (F.col("l_discount") * 10).alias("passing_tds"),
         (F.col("l_tax") * 10).alias("interceptions"),
     )
-    components = [(F.col(a), F.col(b), offset, factor) for a, b, offset, factor in fixed_values.PASSING_RATING]
+    components = [(F.col(a), F.col(b), *rest) for a, b, *rest in fixed_values.PASSING_RATING]
     rating = numbers.clipped_rating(
         components, fixed_values.PASSING_RATING_CEILING, fixed_values.PASSING_RATING_DIVISOR
     )

@@ -237,26 +237,26 @@ MANUAL_IDENTITIES = {
     "RT#79_o_line": "00-0022896",
 }
 
-# Weights of the passing score per game.
-PASSING_SCORE = {
-    "attempts": -2.2,
-    "completions": 3.7,
-    "passing_yards": 0.2,
-    "passing_tds": 11.3,
-    "interceptions": -14.1,
-    "sacks": -8.0,
-    "carries": -1.1,
-    "rushing_yards": 0.6,
-    "rushing_tds": 15.9,
-}
+# The passing score per game as (column, factor, divisor).
+PASSING_SCORE = (
+    ("attempts", -2.2, 1.0),
+    ("completions", 3.7, 1.0),
+    ("passing_yards", 1.0, 5.0),
+    ("passing_tds", 11.3, 1.0),
+    ("interceptions", -14.1, 1.0),
+    ("sacks", -8.0, 1.0),
+    ("carries", -1.1, 1.0),
+    ("rushing_yards", 0.6, 1.0),
+    ("rushing_tds", 15.9, 1.0),
+)
 
-# Components of the passing rating as
-# (numerator, denominator, offset, factor), their ceiling and their divisor.
+# Components of the passing rating as (numerator, denominator,
+# subtracted from the ratio, factor, added), their ceiling and their divisor.
 PASSING_RATING = (
-    ("completions", "attempts", -1.5, 5.0),
-    ("passing_yards", "attempts", -0.75, 0.25),
-    ("passing_tds", "attempts", 0.0, 20.0),
-    ("interceptions", "attempts", 2.375, -25.0),
+    ("completions", "attempts", 0.3, 5.0, 0.0),
+    ("passing_yards", "attempts", 3.0, 0.25, 0.0),
+    ("passing_tds", "attempts", 0.0, 20.0, 0.0),
+    ("interceptions", "attempts", 0.0, -25.0, 2.375),
 )
 PASSING_RATING_CEILING = 2.375
 PASSING_RATING_DIVISOR = 6.0

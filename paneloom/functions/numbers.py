@@ -45,11 +45,11 @@ def band(value: Column, bounds: Sequence[tuple[float, str]], below: str) -> Colu
     return result.otherwise(below)
 
 
-def weighted_sum(weights: Mapping[str, float]) -> Column:
-    """Sum of weight x column; null when any column is null."""
+def weighted_sum(terms: Sequence[tuple[str, float, float]]) -> Column:
+    """Sum of column x factor / divisor over the terms; null when any column is null."""
     total = None
-    for name, weight in weights.items():
-        term = F.col(name) * F.lit(float(weight))
+    for name, factor, divisor in terms:
+        term = F.col(name) * F.lit(float(factor)) / F.lit(float(divisor))
         total = term if total is None else total + term
     return total
 
@@ -61,20 +61,21 @@ def clipped(value: Column, low: float, high: float) -> Column:
 
 
 def clipped_rating(
-    components: Sequence[tuple[Column, Column, float, float]],
+    components: Sequence[tuple[Column, Column, float, float, float]],
     ceiling: float,
     divisor: float,
     scale: float = 100.0,
 ) -> Column:
     """Sum of clipped linear ratios.
 
-    A component (numerator, denominator, offset, factor) contributes
-    ``numerator / denominator * factor + offset`` limited to [0, ceiling]; a
-    zero denominator makes the rating null.
+    A component (numerator, denominator, less, factor, more) contributes
+    ``more + (numerator / denominator - less) * factor`` limited to [0, ceiling], rounded as
+    written; a zero denominator makes the rating null.
     """
     total = None
-    for numerator, denominator, offset, factor in components:
+    for numerator, denominator, less, factor, more in components:
         ratio = F.try_divide(numerator.cast("double"), denominator.cast("double"))
-        part = clipped(ratio * F.lit(float(factor)) + F.lit(float(offset)), 0.0, ceiling)
+        linear = F.lit(float(more)) + (ratio - F.lit(float(less))) * F.lit(float(factor))
+        part = clipped(linear, 0.0, ceiling)
         total = part if total is None else total + part
     return total / F.lit(float(divisor)) * F.lit(float(scale))

@@ -77,8 +77,9 @@ def player_attributes(
 
 
 def category_ratings(player: DataFrame) -> DataFrame:
-    """Mean value of each category of ``player_attributes``."""
-    return player.groupBy("category").agg(F.coalesce(F.avg("value"), F.lit(0.0)).alias("rating"))
+    """Mean value of each category of ``player_attributes``; null if one of its values is."""
+    known = F.count("value") == F.count(F.lit(1))
+    return player.groupBy("category").agg(F.when(known, F.avg("value")).alias("rating"))
 
 
 def position_rank(view: DataFrame) -> DataFrame:

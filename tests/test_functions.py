@@ -85,7 +85,7 @@ def test_numbers(spark):
 
 
 def test_clipped_rating_of_a_perfect_and_an_empty_game(spark):
-    parts = [(F.col(a), F.col(b), o, f) for a, b, o, f in fixed_values.PASSING_RATING]
+    parts = [(F.col(a), F.col(b), *rest) for a, b, *rest in fixed_values.PASSING_RATING]
     rating = numbers.clipped_rating(parts, fixed_values.PASSING_RATING_CEILING, fixed_values.PASSING_RATING_DIVISOR)
     schema = "completions int, attempts int, passing_yards int, passing_tds int, interceptions int"
     got = values(spark, [(10, 10, 200, 3, 0), (0, 0, 0, 0, 0)], schema, rating)
@@ -93,6 +93,22 @@ def test_clipped_rating_of_a_perfect_and_an_empty_game(spark):
     assert got[1] is None
 
 
+def test_passing_numbers_are_rounded_as_published(spark):
+    rng = random.Random(5)
+    names = [name for name, *_ in fixed_values.PASSING_SCORE]
+    rows = [tuple(float(rng.randrange(400)) for _ in names) for _ in range(300)]
+    schema = ", ".join(f"{n} double" for n in names)
+    parts = [(F.col(a), F.col(b), *rest) for a, b, *rest in fixed_values.PASSING_RATING]
+    rating = numbers.clipped_rating(parts, fixed_values.PASSING_RATING_CEILING, fixed_values.PASSING_RATING_DIVISOR)
+    got = values(spark, rows, schema, F.struct(numbers.weighted_sum(fixed_values.PASSING_SCORE), rating))
+    for (att, cmp, yds, td, ints, sacks, carries, r_yds, r_td), (score, rate) in zip(rows, got, strict=True):
+        assert score == -2.2 * att + 3.7 * cmp + yds / 5 + 11.3 * td - 14.1 * ints - 8 * sacks - 1.1 * carries + 0.6 * r_yds + 15.9 * r_td
+        if att:
+            parts = [(cmp / att - 0.3) * 5, (yds / att - 3) * 0.25, td / att * 20, 2.375 - ints / att * 25]
+            a, b, c, d = (min(max(p, 0), 2.375) for p in parts)
+            assert rate == (a + b + c + d) / 6 * 100
+
+
 def test_common_lengths_of_all_sizes():
     rng = random.Random(3)
     make = lambda n: "".join(rng.choice("abcéß漢😀 ") for _ in range(n))

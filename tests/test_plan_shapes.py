@@ -2,14 +2,15 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from paneloom import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = catalog.queries()
 
-#: String similarity, matrix solves; everything else stays in the JVM.
+#: String similarity, matrix solves, cycles over a group's rows, pages as text; everything else stays in the JVM.
 WITH_PYTHON = {
-    "fuzzy_block", "fuzzy_tokens", "grouped_ridge", "category_weights", "category_importance",
+    "fuzzy_block", "fuzzy_ratio", "fuzzy_tokens", "grouped_ridge", "category_weights", "category_importance",
+    "chained_impute", "impute_by_bin", "impute_eras", "page_items", "page_table_rows",
 }
 
 

@@ -129,3 +129,24 @@ def test_stored_tables_lie_in_the_shared_folder_and_know_their_size(spark, sheet
     assert all(shared_folder(spark).split(":")[-1] in p for p in [*path, *kept.inputFiles()])
     big = spark.range(10).withColumn("season", (F.col("id") % 2 + 2001).cast("int"))
     assert "BroadcastHashJoin" in big.join(kept, "season")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tables_that_nest_or_are_left_open():
+    page = """<table id=roster class=x><thead><tr><th data-stat=player>Player</th></tr></thead>
+    <tr><td data-stat=player><a href=/p/A.htm>Al &amp; Co</a><td data-stat="av">7
+    <tr><td data-stat='player'>Bo <table id=inner><tr><td data-stat="player">inner</td><td data-stat="av">9</td></tr></table> Bell</td>
+        <td data-stat="av" >1&lt;2</td></tr>
+    <tr><td data-stat=av>3</td></table>
+    <table id="roster"><tr><td data-stat="player">second</td></tr></table>"""
+    rows = html.table_rows(page, "roster", ["player", "av"])
+    assert [[t and t.strip() for t in r["texts"]] for r in rows] == [[None, None], ["Al & Co", "7"], ["Bo inner9 Bell", "1<2"], [None, "3"]]
+    assert [r["links"] for r in rows][1] == ["/p/A.htm", None]
+    assert html.table_rows("<table><tr><td>", "roster", ["player"]) == []
+
+
+def test_items_that_nest_or_are_left_open():
+    page = "<ul><li>a<li><a href=/x>b</a><ul><li>c <li>d</ul> e</li></ul><li>f &eacute;"
+    found = [(i["text"].strip(), i["link"]) for i in html.page_items(page, "li")]
+    assert found == [("a", None), ("bc d e", "/x"), ("c", None), ("d", None), ("f é", None)]
+    deep = "<ul><li>" * 3_000
+    assert len(html.page_items(deep, "li")) == 3_000
