@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, rounded, table
 from paneloom.operators import imputation, regression
+from paneloom.plans import dataset
 
 ENTRIES: dict = {}
 query = registrar(ENTRIES)
@@ -196,3 +197,83 @@ def impute_by_bin(spark, sf_dir):
         "imputed",
         *[rounded(c, 4).alias(c) for c in IMPUTED],
     )
+
+
+def _bins_sql(name: str, source: str, where: str = "true") -> str:
+    """Rows of the source with their quantile bin of the metric in their group."""
+    return f"""
+        {name}_e AS (SELECT grp, list_sort(list_distinct(quantile_cont(metric, [0, 0.25, 0.5, 0.75, 1]))) AS edges
+                     FROM {source} WHERE {where} GROUP BY 1),
+        {name}_b AS (SELECT s.*, len(list_filter(edges[2:-2], lambda x: x < metric)) AS bin
+                     FROM (SELECT * FROM {source} WHERE {where}) s JOIN {name}_e USING (grp))"""
+
+
+_CYCLES_SQL = f"""WITH l AS (SELECT l_orderkey, l_linenumber, l_returnflag AS grp, CAST(l_suppkey % 50 AS DOUBLE) AS metric, l_tax AS t,
+            CASE WHEN (l_orderkey + l_linenumber) % 7 > 0 THEN l_quantity END AS q,
+            CASE WHEN (l_orderkey + l_linenumber) % 2 > 0 THEN l_discount END AS d FROM lineitem),
+        {_bins_sql("x", "l")},
+        c0 AS (SELECT *, coalesce(q, avg(q) OVER w) AS vq, coalesce(d, avg(d) OVER w) AS vd FROM x_b WINDOW w AS (PARTITION BY grp, bin))"""
+for _cycle in range(1, 4):
+    _before = f"c{_cycle - 1}"
+    _CYCLES_SQL += f""",
+        k{_cycle} AS (SELECT * FROM {_before} WHERE q IS NOT NULL), {_ridge_sql(f"mq{_cycle}", f"k{_cycle}", "q", "t", "vd", "grp, bin")},
+        h{_cycle} AS (SELECT c.* REPLACE (coalesce(q, my + ba * (t - ma) + bb * (vd - mb)) AS vq) FROM {_before} c JOIN mq{_cycle} USING (grp, bin)),
+        n{_cycle} AS (SELECT * FROM h{_cycle} WHERE d IS NOT NULL), {_ridge_sql(f"md{_cycle}", f"n{_cycle}", "d", "t", "vq", "grp, bin")},
+        c{_cycle} AS (SELECT c.* REPLACE (coalesce(d, my + ba * (t - ma) + bb * (vq - mb)) AS vd) FROM h{_cycle} c JOIN md{_cycle} USING (grp, bin))"""
+
+
+@query(
+    "impute_three_cycles",
+    f"{_CYCLES_SQL} SELECT l_orderkey, l_linenumber, grp, t, round(vq, 4) AS q, round(vd, 6) AS d, true AS imputed FROM c3",
+)
+def impute_three_cycles(spark, sf_dir):
+    gap = F.col("l_orderkey") + F.col("l_linenumber")
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("grp"), (F.col("l_suppkey") % 50).cast("double").alias("metric"),
+        F.col("l_tax").alias("t"), F.when(gap % 7 > 0, F.col("l_quantity")).alias("q"), F.when(gap % 2 > 0, F.col("l_discount")).alias("d"),
+        F.year("l_shipdate").alias("season"),
+    )
+    filled = imputation.impute_by_bin(lines, ["grp"], "metric", ["t", "q", "d"], choices=(4,), max_iter=3, tol=0)
+    return filled.select("l_orderkey", "l_linenumber", "grp", "t", rounded("q", 4).alias("q"), rounded("d", 6).alias("d"), "imputed")
+
+
+def _era_sql(name: str, source: str, start: int, column: str) -> str:
+    """One pass over the seasons from ``start`` on: the gaps of ``a`` by ``tax``, or those of ``s`` by both."""
+    if column == "a":
+        fit = f"""{name}_m AS (SELECT grp, bin, avg(a) AS my, avg(tax) AS ma,
+                     covar_pop(a, tax) * count(*) / (var_pop(tax) * count(*) + 1) AS ba FROM {name}_b WHERE a IS NOT NULL GROUP BY ALL)"""
+        value = "my + ba * (tax - ma)"
+    else:
+        fit = f"{name}_k AS (SELECT * FROM {name}_b WHERE s IS NOT NULL), {_ridge_sql(f'{name}_m', f'{name}_k', 's', 'tax', 'a', 'grp, bin')}"
+        value = "my + ba * (tax - ma) + bb * (a - mb)"
+    names = ["id", "line", "grp", "season", "metric", "tax", "a", "s"]
+    kept, filled = ", ".join(names), ", ".join(f"coalesce({c}, {value}) AS {c}" if c == column else c for c in names)
+    return f"""{_bins_sql(name, source, f"season >= {start}")}, {fit},
+        {name} AS (SELECT {filled} FROM {name}_b JOIN {name}_m USING (grp, bin)
+                   UNION ALL SELECT {kept} FROM {source} WHERE season < {start})"""
+
+
+@query(
+    "impute_eras",
+    f"""WITH l AS (SELECT l_orderkey AS id, l_linenumber AS line, 'group' || l_linenumber % 2 AS grp, CAST(year(l_shipdate) AS INTEGER) AS season,
+            CAST(l_suppkey % 50 AS DOUBLE) AS metric, l_tax AS tax,
+            CASE WHEN (l_orderkey + l_linenumber) % 4 > 0 THEN l_quantity END AS a,
+            CASE WHEN (l_orderkey + l_linenumber) % 3 > 0 THEN l_discount END AS s FROM lineitem),
+        {_era_sql("p1", "l", 1995, "a")}, {_era_sql("p2", "p1", 1992, "a")}, {_era_sql("p3", "p2", 1997, "s")}, {_era_sql("p4", "p3", 1992, "s")}
+        SELECT id, line, grp, season, tax, round(a, 4) AS a, round(s, 6) AS s FROM p4""",
+)
+def impute_eras(spark, sf_dir):
+    """All four passes of the schedule: attributes over the recent era and over all seasons, then the style column."""
+    gap = F.col("l_orderkey") + F.col("l_linenumber")
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"),
+        F.concat(F.lit("group"), F.col("l_linenumber") % 2).alias("position_group"), F.year("l_shipdate").alias("season"),
+        (F.col("l_suppkey") % 50).cast("double").alias("metric"), F.col("l_tax").alias("tax"),
+        F.when(gap % 4 > 0, F.col("l_quantity")).alias("a"), F.when(gap % 3 > 0, F.col("l_discount")).alias("s"),
+    )
+    years = lines.agg(F.max("season")).first()[0] or 0
+    filled = dataset.impute_eras(
+        lines, ["tax"], ["a", "s"], years, first=1992, attribute_era=1995, style_era=1997, style=("s",), metric="metric",
+        choices=(4,), max_iter=3, tol=0,
+    )
+    return filled.select("id", "line", F.col("position_group").alias("grp"), "season", "tax", rounded("a", 4).alias("a"), rounded("s", 6).alias("s"))
