@@ -1,14 +1,21 @@
-"""Exact quantile edges and bins for groups of any size."""
+"""Exact quantile edges and bins for groups of any size.
+
+A wanted position of a large group is narrowed down: its distinct values are cut into ranges, rows are counted by range,
+and only ranges that hold a wanted position go on, until what is left of a range can be ordered in a task.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneloom.functions.numbers import number
-from paneloom.runtime import running_total, store
+from paneloom.runtime import store
+
+#: Distinct values that are ordered in one task, and ranges that more are cut into.
+ORDERED_VALUES, RANGES = 1_000_000, 128
 
 
 def _counted(df: DataFrame, group: Sequence[str], column: str) -> DataFrame:
@@ -41,15 +48,37 @@ def _high(share: Column, last: Column) -> Column:
     return F.least(_low(share, last) + 1, last)
 
 
-def _edges(
-    counted: DataFrame, group: Sequence[str], shares: Sequence[float], hot_rows: int | None
-) -> DataFrame:
+def _placed(counted: DataFrame, group: Sequence[str], wanted: DataFrame, ordered: int) -> DataFrame:
+    """The values that may hold a wanted position, with the rows below them (``_below``).
+
+    Any cuts are right; those at quantiles of the distinct values make every range that much smaller.
+    """
+    parts = counted.withColumns({"_part": F.lit(0).cast("bigint"), "_base": F.lit(0).cast("bigint")})
+    keys = [*group, "_part"]
+    while (parts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > ordered:
+        shares = [place / RANGES for place in range(1, RANGES)]
+        cuts = parts.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_value", shares, 100 * RANGES)).alias("_cuts"))
+        cut = parts.join(cuts, keys).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_value")))).drop("_cuts")
+        counts = cut.groupBy(*keys, "_base", "_range").agg(F.sum("_equal").alias("_size"))
+        upto = F.sum("_size").over(Window.partitionBy(*keys).orderBy("_range"))
+        bounds = counts.withColumn("_from", F.col("_base") + upto - F.col("_size"))
+        holds = F.exists("_wanted", lambda p: (F.col("_from") <= p) & (p < F.col("_from") + F.col("_size")))
+        kept = bounds.join(wanted.select(*group, "_wanted"), list(group)).filter(holds)
+        kept = store(kept.select(*keys, "_range", "_from").withColumn("_next", F.monotonically_increasing_id()))
+        parts = cut.join(kept, [*keys, "_range"]).select(
+            *group, "_value", "_equal", F.col("_next").alias("_part"), F.col("_from").alias("_base")
+        )
+        parts = store(parts)
+    upto = F.sum("_equal").over(Window.partitionBy(*keys).orderBy("_value"))
+    return parts.withColumn("_below", F.col("_base") + upto - F.col("_equal"))
+
+
+def _edges(counted: DataFrame, group: Sequence[str], shares: Sequence[float], ordered: int | None) -> DataFrame:
     """Per group an array of the values at the given shares of the row order.
 
     A value knows the rows before it and equal to it, hence which of the wanted
     positions it holds; only those few values per group are shuffled onwards.
     """
-    running = running_total(counted, group, [F.col("_value")], "_below", "_equal", hot_rows)
     asked = F.array(*[F.lit(share) for share in shares])
     last = F.col("_last")
     wanted = F.flatten(F.transform(asked, lambda s: F.array(_low(s, last), _high(s, last))))
@@ -58,11 +87,12 @@ def _edges(
         .agg((F.sum("_equal") - 1).alias("_last"))
         .select(*group, "_last", F.array_distinct(wanted).alias("_wanted"))
     )
+    placed = _placed(counted, group, sizes, ORDERED_VALUES if ordered is None else ordered)
     held = F.filter(
         "_wanted", lambda p: (F.col("_below") <= p) & (p < F.col("_below") + F.col("_equal"))
     )
     found = (
-        running.join(sizes, list(group))
+        placed.join(sizes, list(group))
         .select(*group, "_last", "_value", F.explode(held).alias("_at"))
         .groupBy(*group, "_last")
         .agg(F.map_from_entries(F.collect_list(F.struct("_at", "_value"))).alias("_values"))
@@ -79,11 +109,11 @@ def _edges(
 
 
 def quantile_edges(
-    df: DataFrame, group: Sequence[str], column: str, bins: int, hot_rows: int | None = None
+    df: DataFrame, group: Sequence[str], column: str, bins: int, ordered: int | None = None
 ) -> DataFrame:
     """The ``bins + 1`` quantile edges per group, linearly interpolated."""
     frame, keys = _with_group(df, group)
-    return _edges(_counted(frame, keys, column), keys, _shares(bins), hot_rows).drop("_all")
+    return _edges(_counted(frame, keys, column), keys, _shares(bins), ordered).drop("_all")
 
 
 def _inner(edges: Column) -> Column:
@@ -112,10 +142,10 @@ def quantile_bin(
     column: str,
     bins: int,
     name: str,
-    hot_rows: int | None = None,
+    ordered: int | None = None,
 ) -> DataFrame:
     """Add the quantile bin of each row; repeated edges count once."""
-    edges = store(quantile_edges(df, group, column, bins, hot_rows))
+    edges = store(quantile_edges(df, group, column, bins, ordered))
     return bin_by_edges(df, group, column, edges, name, bins)
 
 
@@ -136,10 +166,10 @@ def bin_by_edges(
     )
 
 
-def _candidates(counted: DataFrame, keys: Sequence[str], choices: Sequence[int], hot_rows: int | None) -> DataFrame:
+def _candidates(counted: DataFrame, keys: Sequence[str], choices: Sequence[int], ordered: int | None) -> DataFrame:
     """Edges of every number of bins in ``choices``, from one pass."""
     shares = sorted({share for q in choices for share in _shares(q)})
-    edges = _edges(counted, keys, shares, hot_rows)
+    edges = _edges(counted, keys, shares, ordered)
     places = F.array(
         *[
             F.struct(
@@ -162,7 +192,7 @@ def best_bin_count(
     group: Sequence[str],
     column: str,
     choices: Sequence[int] = (4, 5, 6, 7, 8),
-    hot_rows: int | None = None,
+    ordered: int | None = None,
 ) -> DataFrame:
     """Per group the number of bins whose bin sizes differ least.
 
@@ -171,7 +201,7 @@ def best_bin_count(
     """
     frame, keys = _with_group(df, group)
     counted = _counted(frame, keys, column)
-    candidates = _candidates(counted, keys, choices, hot_rows)
+    candidates = _candidates(counted, keys, choices, ordered)
     sizes = (
         counted.join(candidates, keys)
         .select(*keys, "_value", "_equal", F.inline("choices"))

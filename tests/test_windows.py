@@ -100,7 +100,7 @@ def test_best_bin_count(table, panel, hot):
 
     expected = {k: best(g.v) for k, g in panel.groupby("k") if g.v.notna().sum() > 0}
     expected = {k: b for k, b in expected.items() if b is not None}
-    got = quantiles.best_bin_count(table, ["k"], "v", hot_rows=hot).collect()
+    got = quantiles.best_bin_count(table, ["k"], "v", ordered=hot).collect()
     assert {r.k: r.bins for r in got} == expected
 
 
@@ -130,3 +130,14 @@ def test_no_window_over_the_whole_table(table):
     for frame in (ordered.peer_ranks(table, ["id"], ["k"], ["v"]), ordered.mean_fill(table, ["k"], ["v"])):
         text = plan(frame)
         assert "Window" not in text and "Python" not in text and "Cartesian" not in text
+
+
+@pytest.mark.parametrize("ranges", [3, 128])
+def test_edges_of_a_large_skewed_group_equal_numpy(spark, monkeypatch, ranges):
+    monkeypatch.setattr(quantiles, "RANGES", ranges)
+    rng = np.random.default_rng(8)
+    values = np.concatenate([rng.lognormal(0, 6, 3_000), np.repeat(7.0, 2_500), -rng.integers(0, 40, 1_500) * 1.0])
+    table = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(4)
+    for bins in (4, 7):
+        (row,) = quantiles.quantile_edges(table, [], "v", bins, ordered=40).collect()
+        assert np.allclose(row.edges, np.quantile(values, np.arange(bins + 1) / bins), rtol=1e-12)
