@@ -93,6 +93,41 @@ def tag_from_file(spark, sf_dir):
     return tagged.select("n_nationkey", "n_name", "sheet")
 
 
+@query(
+    "tag_many_files",
+    """SELECT o_orderkey, o_orderstatus || CAST(year(o_orderdate) AS VARCHAR) AS sheet FROM orders""",
+)
+def tag_many_files(spark, sf_dir):
+    """Sheets of one folder each, written and then read in one scan; the tag comes from each row's file."""
+    path = scratch_path(spark, "sheets")
+    orders = table(spark, sf_dir, "orders")
+    orders = orders.select("o_orderkey", F.concat("o_orderstatus", F.year("o_orderdate")).alias("sheet"))
+    orders.repartition("sheet").write.partitionBy("sheet").parquet(path)
+    files = spark.read.schema("o_orderkey bigint").option("recursiveFileLookup", "true").parquet(path)
+    return layers.tag_from_file(files, "sheet", "/sheet=([^/]+)/", whole_path=True)
+
+
+@query(
+    "validate_files",
+    """WITH y AS (SELECT count(DISTINCT year(o_orderdate)) AS n FROM orders)
+       SELECT 'column ' || name AS check, n AS expected, n - lacking AS actual, lacking = 0 AS ok
+       FROM y, (VALUES ('o_orderkey', 0), ('o_totalprice', 1), ('o_orderstatus', 1)) AS c(name, lacking)""",
+)
+def validate_files(spark, sf_dir):
+    """A layer whose seasons drifted: one lacks a column, one has another type."""
+    path = scratch_path(spark, "drifted")
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_totalprice", "o_orderstatus", "season")
+    price = F.col("o_totalprice").cast("string")
+    parts = [
+        orders.filter("season NOT IN (1998, 1996)"),
+        orders.filter("season = 1998").drop("o_orderstatus"),
+        orders.filter("season = 1996").withColumn("o_totalprice", price),
+    ]
+    for part in parts:
+        part.write.mode("append").partitionBy("season").parquet(path)
+    return layers.validate_files(spark, path)
+
+
 @query(
     "available_seasons",
     "SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS season FROM orders",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from paneloom.catalog.entry import registrar, rounded, table
 from paneloom.operators import imputation, regression
-from paneloom.plans import dataset
+from paneloom.plans import dataset, passers
 
 ENTRIES: dict = {}
 query = registrar(ENTRIES)
@@ -259,7 +259,7 @@ def _era_sql(name: str, source: str, start: int, column: str) -> str:
             CAST(l_suppkey % 50 AS DOUBLE) AS metric, l_tax AS tax,
             CASE WHEN (l_orderkey + l_linenumber) % 4 > 0 THEN l_quantity END AS a,
             CASE WHEN (l_orderkey + l_linenumber) % 3 > 0 THEN l_discount END AS s FROM lineitem),
-        {_era_sql("p1", "l", 1995, "a")}, {_era_sql("p2", "p1", 1992, "a")}, {_era_sql("p3", "p2", 1997, "s")}, {_era_sql("p4", "p3", 1992, "s")}
+        {_era_sql("p1", "l", 1997, "a")}, {_era_sql("p2", "p1", 1995, "a")}, {_era_sql("p3", "p2", 1999, "s")}, {_era_sql("p4", "p3", 1995, "s")}
         SELECT id, line, grp, season, tax, round(a, 4) AS a, round(s, 6) AS s FROM p4""",
 )
 def impute_eras(spark, sf_dir):
@@ -273,7 +273,38 @@ def impute_eras(spark, sf_dir):
     )
     years = lines.agg(F.max("season")).first()[0] or 0
     filled = dataset.impute_eras(
-        lines, ["tax"], ["a", "s"], years, first=1992, attribute_era=1995, style_era=1997, style=("s",), metric="metric",
+        lines, ["tax"], ["a", "s"], years, first=1995, attribute_era=1997, style_era=1999, style=("s",), metric="metric",
         choices=(4,), max_iter=3, tol=0,
     )
     return filled.select("id", "line", F.col("position_group").alias("grp"), "season", "tax", rounded("a", 4).alias("a"), rounded("s", 6).alias("s"))
+
+
+_PASSES = {
+    "attempts": "l_quantity", "completions": "l_linenumber", "passing_yards": "l_extendedprice", "passing_tds": "l_discount", "interceptions": "l_tax",
+    "sacks": "l_linenumber", "carries": "l_quantity", "rushing_yards": "l_extendedprice", "rushing_tds": "l_tax",
+}
+
+
+@query(
+    "passer_statistics",
+    """WITH l AS (SELECT l_suppkey AS player_id, CASE WHEN l_linestatus = 'O' THEN 'POST' ELSE 'REG' END AS kind, l_quantity AS att,
+                         CAST(l_linenumber AS DOUBLE) AS cmp, l_extendedprice AS yds, l_discount AS td, l_tax AS ints
+                  FROM lineitem WHERE l_partkey % 3 > 0),
+            v AS (SELECT *, -2.2 * att + 3.7 * cmp + yds / 5 + 11.3 * td - 14.1 * ints - 8 * cmp - 1.1 * att + 0.6 * yds + 15.9 * ints AS value,
+                    (least(greatest((cmp / att - 0.3) * 5, 0), 2.375) + least(greatest((yds / att - 3) * 0.25, 0), 2.375)
+                     + least(greatest(td / att * 20, 0), 2.375) + least(greatest(2.375 - ints / att * 25, 0), 2.375)) / 6 * 100 AS rating FROM l)
+       SELECT player_id, round(avg(att), 6) AS attempts, round(avg(yds), 4) AS passing_yards, round(avg(value), 4) AS value,
+              round(avg(rating), 6) AS passer_rating, any_value(regular) AS regular_season_games, any_value(post) AS post_season_games
+       FROM v JOIN (SELECT player_id, count(*) FILTER (kind = 'REG') AS regular, nullif(count(*) FILTER (kind = 'POST'), 0) AS post
+                    FROM l GROUP BY 1) USING (player_id)
+       WHERE kind = 'REG' GROUP BY player_id""",
+)
+def passer_statistics(spark, sf_dir):
+    weekly = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("player_id"), *[F.col(c).cast("double").alias(n) for n, c in _PASSES.items()],
+        F.when(F.col("l_linestatus") == "O", "POST").otherwise("REG").alias("season_type"),
+        F.when(F.col("l_partkey") % 3 > 0, "quarterback").otherwise("rb").alias("position_group"),
+    )
+    found = passers.season_statistics(weekly, ["attempts", "passing_yards"])
+    digits = {"attempts": 6, "passing_yards": 4, "value": 4, "passer_rating": 6}
+    return found.select("player_id", *[rounded(c, d).alias(c) for c, d in digits.items()], "regular_season_games", "post_season_games")

@@ -12,6 +12,9 @@ from paneloom.functions.numbers import nan_to_null, number, to_whole
 from paneloom.functions.text import map_values
 from paneloom.runtime import store
 
+#: Rules that stay in the plan as a map; more are a table.
+LITERAL_RULES = 64
+
 
 def normalize_header(name: str, rules=fixed_values.HEADER_RULES) -> str:
     """One header after all rules, each seeing the result of the one before."""
@@ -115,20 +118,54 @@ def is_newcomer(years: Column, first_period: Column | None = None, period: Colum
     return F.coalesce(condition, F.lit(False))
 
 
+def _by_rules(df: DataFrame, match: str, rules: Mapping, kind: str, name: str) -> DataFrame:
+    """Add the value that the rules have for ``match``; many rules are a table to join, not part of the plan."""
+    if len(rules) <= LITERAL_RULES:
+        return df.withColumn(name, map_values(F.col(match), rules))
+    spark, source = df.sparkSession, dict(df.dtypes)[match]
+    table = spark.createDataFrame(list(rules.items()), f"_match {source}, {name} {kind}")
+    return df.join(store(table), F.col(match) == F.col("_match"), "left").drop("_match")
+
+
+def map_column(df: DataFrame, column: str, rules: Mapping, output: str, default=None, kind: str = "string") -> DataFrame:
+    """``output`` is what the rules have for the column, else the default; for rules of any number."""
+    found = _by_rules(df, column, rules, kind, "_mapped")
+    return found.withColumn(output, F.coalesce("_mapped", F.lit(default).cast(kind))).drop("_mapped")
+
+
+def resolved(renames: Sequence[tuple[object, object]]) -> dict:
+    """First to last value under renames that are made one after the other."""
+    held: dict = {}  # value reached: values it was reached from
+    known = set()
+    for value, new in renames:
+        starts = held.pop(value, [])
+        if value not in known:
+            known.add(value)
+            starts.append(value)
+        others = held.get(new, [])
+        small, large = sorted((starts, others), key=len)
+        large.extend(small)
+        held[new] = large
+    return {start: reached for reached, starts in held.items() for start in starts}
+
+
 def apply_overrides(df: DataFrame, rules: Sequence[tuple[str, object, str, object]]) -> DataFrame:
     """Ordered corrections ``where match = value set column = new``.
 
     Every rule sees the result of the ones before it. Neighbouring rules on the
-    same pair of columns fold into one lookup.
+    same pair of columns are compiled into one lookup, chains of renames to their ends; a rule that sets null changes nothing.
     """
-    runs: list[tuple[str, str, dict]] = []
+    runs: list[tuple[str, str, list]] = []
     for match, value, column, new in rules:
-        if runs and runs[-1][:2] == (match, column) and match != column:
-            runs[-1][2][value] = new
-        else:
-            runs.append((match, column, {value: new}))
-    for match, column, table in runs:
-        df = df.withColumn(column, F.coalesce(map_values(F.col(match), table), F.col(column)))
+        if new is None:
+            continue
+        if not runs or runs[-1][:2] != (match, column):
+            runs.append((match, column, []))
+        runs[-1][2].append((value, new))
+    for match, column, pairs in runs:
+        table = resolved(pairs) if match == column else dict(pairs)
+        found = _by_rules(df, match, table, dict(df.dtypes)[column], "_new")
+        df = found.withColumn(column, F.coalesce("_new", column)).drop("_new")
     return df
 
 

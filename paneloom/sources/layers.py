@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from paneloom.runtime import store
+
 
 def read_layer(
     spark: SparkSession,
@@ -55,10 +61,10 @@ def list_partitions(df: DataFrame, period: str = "season") -> DataFrame:
     return df.select(period).filter(F.col(period).isNotNull()).distinct().orderBy(period)
 
 
-def tag_from_file(df: DataFrame, column: str, pattern: str) -> DataFrame:
-    """Fill ``column`` from the name of the file a row was read from, first
-    group of the pattern; values already there stay."""
-    found = F.regexp_extract(F.col("_metadata.file_name"), pattern, 1)
+def tag_from_file(df: DataFrame, column: str, pattern: str, whole_path: bool = False) -> DataFrame:
+    """Fill ``column`` from the name (or the whole path) of the file a row was read from, first
+    group of the pattern; values already there stay. Any number of files is one scan."""
+    found = F.regexp_extract(F.col("_metadata.file_path" if whole_path else "_metadata.file_name"), pattern, 1)
     tag = F.nullif(found, F.lit(""))
     return df.withColumn(column, F.coalesce(F.col(column), tag) if column in df.columns else tag)
 
@@ -90,3 +96,37 @@ def seasons_to_refresh(
         .otherwise(F.array_union("missing", F.array(now)))
     )
     return missing.select(F.explode(due).alias(period))
+
+
+def file_columns(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """(file, column, type) from the footers of Parquet files, read by tasks: one schema for all hides what a file lacks."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for file in batch.column("file").to_pylist():
+                system, path = FileSystem.from_uri(unquote(file))
+                rows += [(file, f.name, str(f.type)) for f in pq.read_schema(path, filesystem=system)]
+            columns = list(zip(*rows, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["file", "column", "type"])
+
+    listed = spark.createDataFrame([(f,) for f in files], "file string")
+    tasks = max(1, min(len(files), spark.sparkContext.defaultParallelism))
+    return listed.repartition(tasks).mapInArrow(read, "file string, column string, type string")
+
+
+def validate_files(spark: SparkSession, path: str, period: str = "season") -> DataFrame:
+    """One row a column of a written layer: in how many periods all files have it with the type that most have, against all periods.
+
+    Columns ``check``, ``expected``, ``actual``, ``ok``, like the checks of ``validate_layer``.
+    """
+    files = list(spark.read.option("recursiveFileLookup", "true").parquet(path).inputFiles())
+    found = store(file_columns(spark, files).withColumn("period", F.regexp_extract("file", f"/{period}=([^/]*)/", 1)))
+    sizes = found.groupBy("period").agg(F.countDistinct("file").alias("files"))
+    kinds = found.groupBy("column", "type").agg(F.countDistinct("file").alias("n"))
+    main = kinds.groupBy("column").agg(F.max_by("type", F.struct("n", "type")).alias("type"))
+    whole = found.join(main, ["column", "type"]).groupBy("column", "period").agg(F.countDistinct("file").alias("held"))
+    counted = whole.join(sizes, "period").groupBy("column").agg(F.count_if(F.col("held") == F.col("files")).alias("actual"))
+    periods = F.lit(sizes.count()).cast("bigint").alias("expected")
+    checks = counted.select(F.concat(F.lit("column "), "column").alias("check"), periods, "actual")
+    return checks.withColumn("ok", F.col("expected") == F.col("actual"))

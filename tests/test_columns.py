@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +105,32 @@ def test_summary_counts_null_metrics_and_drops_null_keys(spark):
 def test_unwrap(spark):
     frame = spark.createDataFrame([(1, 2, 3)], ["stats/speed/value", "stats/speed/diff", "Overall"])
     assert columns.unwrap_columns(frame, drop=["Overall"]).columns == ["speed"]
+
+
+def test_chains_of_renames_are_resolved():
+    def one_by_one(value, renames):
+        for old, new in renames:
+            value = new if value == old else value
+        return value
+
+    rng = random.Random(2)
+    for _ in range(200):
+        renames = [(rng.randrange(6), rng.randrange(6)) for _ in range(rng.randrange(9))]
+        table = columns.resolved(renames)
+        assert all(table.get(v, v) == one_by_one(v, renames) for v in range(7))
+
+
+def test_a_hundred_thousand_rules_are_no_part_of_the_plan(spark):
+    frame = spark.range(2_000).select(F.concat(F.lit("n"), F.col("id") * 61).alias("name"), "id")
+    rules = [("name", f"n{n}", "name", f"n{n + 1}") for n in range(0, 100_000, 2)]
+    rules += [("name", f"n{n}", "name", f"m{n}") for n in range(1, 100_000, 2)]
+    done = columns.apply_overrides(frame, rules)
+    small = columns.apply_overrides(frame, rules[:200])
+    sizes = [len(f._jdf.queryExecution().optimizedPlan().toString()) for f in (done, small)]
+    assert sizes[0] < 1.5 * sizes[1]
+    got = {r["id"]: r["name"] for r in done.collect()}
+    for n, name in got.items():
+        value = n * 61
+        assert name == (f"n{value}" if value >= 100_000 else f"m{value + 1 - value % 2}")
+    mapped = columns.map_column(frame, "name", {f"n{n}": f"v{n}" for n in range(100_000)}, "v", default="none")
+    assert {r["v"] for r in mapped.filter("id IN (1, 1999)").collect()} == {"v61", "none"}
