@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 #: Texts are worked on in pieces of about this many characters, which bounds the
 #: memory of a task whatever the number of rows in an Arrow batch.
-CHUNK_CHARS = 500_000
+CHUNK_CHARS = 200_000
 
 
 #: Rows of an Arrow batch. A row is a whole document, and a batch is held several

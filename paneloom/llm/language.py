@@ -35,7 +35,7 @@ FIT_ROWS = 2_000
 #: score is taken, else every longer text would score 0 or 1.
 SCORE_WORDS = 8
 #: Words, and characters of them, that a task remembers the scores of.
-REMEMBERED_WORDS, REMEMBERED_CHARS = 100_000, 4_000_000
+REMEMBERED_WORDS, REMEMBERED_CHARS = 40_000, 2_000_000
 
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -117,7 +117,7 @@ def fit(
     hashes = word_hashes(kept["term"].take(pa.array(words)).to_pylist())
     words, hashes = words[np.argsort(hashes)], np.sort(hashes)
     named = {term: i for i, term in enumerate(kept["term"].take(pa.array(grams)).to_pylist())}
-    return LanguageModel(tuple(languages), hashes, named, scores(words), scores(grams))
+    return LanguageModel(tuple(languages), hashes, named, scores(words).astype(np.float32), scores(grams))
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -34,9 +34,9 @@ SPACE = "▁"
 #: Rank of a pair that the vocabulary doesn't have.
 NONE = np.int32(2**31 - 1)
 #: A task forgets its merged words beyond this many.
-REMEMBERED_WORDS = 100_000
+REMEMBERED_WORDS = 40_000
 #: Ids of remembered words, which bounds their length too.
-REMEMBERED_IDS = 2_000_000
+REMEMBERED_IDS = 1_000_000
 
 IDS = pa.list_(pa.int32())
 
