@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paneloom.functions.numbers import nan_to_null
-from paneloom.operators.moments import NARROW, centred, grouped_gram
+from paneloom.operators.moments import centred, grouped_gram
 from paneloom.operators.quantiles import best_bin_count, bin_by_edges
 from paneloom.operators.regression import solve_ridge
 from paneloom.runtime import store
@@ -210,25 +210,20 @@ def _solve_patterns(sums: DataFrame, keys: Sequence[str], size: int, alpha: floa
     return sums.groupBy(*names).applyInPandas(solve, schema)
 
 
-def _predict(weights: Column, vector: Column, size: int) -> Column:
+def _predict(weights: Column, vector: Column) -> Column:
     """Weights over ``(1, vector)`` applied to the vector."""
-    if size <= NARROW:  # stays in generated code
-        total = F.get(weights, F.lit(0))
-        for i in range(size):
-            total = total + F.get(weights, F.lit(i + 1)) * vector[i]
-        return total
     products = F.zip_with(weights, F.concat(F.array(F.lit(1.0)), vector), lambda a, b: a * b)
     return F.aggregate(products, F.lit(0.0), lambda a, b: a + b)
 
 
-def _last_cycles(rows: DataFrame, keys: Sequence[str], maps: DataFrame, size: int) -> DataFrame:
+def _last_cycles(rows: DataFrame, keys: Sequence[str], maps: DataFrame) -> DataFrame:
     """Per key the cycle after which the row-wise changes end the iteration."""
     last = maps.filter("settled").groupBy(*keys).agg(F.max("cycle").alias("cycle"))
     open_steps = maps.filter(~F.col("settled")).select(*keys, "_gaps", "cycle", "tolerance", "step")
     if open_steps.isEmpty():
         return last
     change = F.aggregate(
-        F.transform("step", lambda w: F.abs(_predict(w, F.col("_z"), size))),
+        F.transform("step", lambda w: F.abs(_predict(w, F.col("_z")))),
         F.lit(0.0),
         lambda a, b: a + b,
     )
@@ -253,13 +248,13 @@ def _by_patterns(
     sums = grouped_gram(rows.dropna(subset=list(keys)), [*keys, "_gaps"], "_z", size)
     heads = stats.select(*keys, "_mean", "_tolerance")
     maps = store(_solve_patterns(sums.join(heads, list(keys)), keys, size, alpha, max_iter))
-    last = _last_cycles(rows, keys, maps, size)
+    last = _last_cycles(rows, keys, maps)
     chosen = store(maps.join(last, [*keys, "cycle"]).select(*keys, "_gaps", "fill"))
     return rows.join(chosen, [*keys, "_gaps"], "left").withColumns(
         {
             c: F.coalesce(
                 F.col(c).cast("double"),
-                F.col("_mean")[j] + _predict(F.col("fill")[j], F.col("_z"), size),
+                F.col("_mean")[j] + _predict(F.col("fill")[j], F.col("_z")),
             )
             for j, c in enumerate(targets)
         }

@@ -1,8 +1,8 @@
-"""Sums of products per group, in one aggregation with partial sums per task."""
+"""Means and sums of products per group, from mergeable states, for any number of columns."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -10,92 +10,94 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from paneloom.runtime import store
+_NUMBERS = T.ArrayType(T.DoubleType())
+#: Groups that a task holds states of, and partial results of a group that are merged together.
+_HELD_GROUPS, _MERGED = 256, 64
 
-#: Up to this many columns the products stay in generated JVM code; beyond it
-#: the thousands of sum expressions would cost more than Arrow batches.
-NARROW = 12
 
-_HELD_GROUPS = 256
+def _merged(a: tuple, b: tuple) -> tuple:
+    """The state (n, mean, co-moments about the mean, largest absolute values) of two parts together."""
+    (n, mean, co, top), (m, other, more, high) = a, b
+    step = other - mean
+    total = n + m
+    return total, mean + step * (m / total), co + more + np.outer(step, step) * (n * m / total), np.maximum(top, high)
 
 
-def _sum_arrays(parts: DataFrame, keys: Sequence[str], length: int) -> DataFrame:
-    """Element-wise sums of the arrays ``sums`` and maxima of the arrays ``tops``."""
-    cells = parts.select(*keys, F.posexplode(F.arrays_zip("sums", "tops")).alias("_i", "_cell"))
-    totals = cells.groupBy(*keys, "_i").agg(
-        F.sum("_cell.sums").alias("sum"), F.max("_cell.tops").alias("top")
-    )
-    held = F.array_sort(F.collect_list(F.struct("_i", "sum", "top")))  # p x p cells per key
-    return (
-        totals.groupBy(*keys)
-        .agg(held.alias("_held"))
-        .select(
-            *keys,
-            F.transform("_held", lambda c: c["sum"]).alias("gram"),
-            F.slice(F.transform("_held", lambda c: c["top"]), 1, length).alias("reach"),
-        )
-    )
+def _state(block: np.ndarray) -> tuple:
+    mean = block.mean(axis=0)
+    around = block - mean
+    return len(block), mean, around.T @ around, np.abs(block).max(axis=0)
 
 
-def grouped_gram(df: DataFrame, keys: Sequence[str], vector: str, length: int) -> DataFrame:
-    """Per key the matrix of summed products of ``(1, vector)`` and the largest
-    absolute value of each element.
+def _states(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
+    """One state per key: ``n``, ``mean`` (p), ``comoment`` (p x p, row by row) and ``reach`` (p).
 
-    Columns: keys, ``gram`` ((p+1) x (p+1), row by row), ``reach`` (p).
+    Every task merges the states of its batches; those of the tasks are merged in two
+    rounds, so that no task gets all of a group that very many tasks hold rows of.
     """
-    if length <= NARROW:
-        return _narrow_gram(df, keys, vector, length)
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    numbers = T.ArrayType(T.DoubleType())
-    schema = T.StructType(
-        [T.StructField(k, kinds[k]) for k in keys]
-        + [T.StructField("sums", numbers), T.StructField("tops", numbers)]
-    )
     names = list(keys)
+    fields = [T.StructField(k, kinds[k]) for k in names]
+    fields += [T.StructField("n", T.LongType()), *[T.StructField(c, _NUMBERS) for c in ("mean", "comoment", "reach")]]
+    salted = T.StructType([*fields, T.StructField("_salt", T.IntegerType())])
+
+    def row(key: tuple, state: tuple) -> list:
+        n, mean, co, top = state
+        return [*key, n, mean, co.ravel(), top]
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[tuple, list[np.ndarray]] = {}
+        from pyspark import TaskContext
+
+        salt = TaskContext.get().partitionId() % _MERGED
+        held: dict[tuple, tuple] = {}
 
         def flush() -> pd.DataFrame:
-            rows = [
-                [*key, gram.ravel(), np.pad(reach, (0, gram.size - length))]
-                for key, (gram, reach) in held.items()
-            ]
+            rows = [[*row(key, state), salt] for key, state in held.items()]
             held.clear()
-            return pd.DataFrame(rows, columns=[*names, "sums", "tops"])
+            return pd.DataFrame(rows, columns=salted.names)
 
         for batch in batches:
             for key, rows in batch.groupby(names, sort=False):
-                block = np.stack(rows[vector].to_numpy())
-                ones = np.hstack([np.ones((len(block), 1)), block])
-                gram, reach = ones.T @ ones, np.abs(block).max(axis=0)
-                if key in held:
-                    held[key][0] += gram
-                    held[key][1] = np.maximum(held[key][1], reach)
-                else:
-                    held[key] = [gram, reach]
+                new = _state(np.stack(rows[vector].to_numpy()))
+                held[key] = _merged(held[key], new) if key in held else new
             if len(held) > _HELD_GROUPS:
                 yield flush()
-        if held:
-            yield flush()
+        yield flush()
 
-    return _sum_arrays(df.select(*keys, vector).mapInPandas(partial, schema), keys, length)
+    def merge(parts: pd.DataFrame) -> tuple:
+        whole = None
+        for n, mean, co, top in zip(parts["n"], parts["mean"], parts["comoment"], parts["reach"], strict=True):
+            state = n, mean, co.reshape(len(mean), -1), top
+            whole = state if whole is None else _merged(whole, state)
+        return whole
 
+    def merging(columns: Sequence[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def run(parts: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame([row(tuple(parts[k].iloc[0] for k in columns), merge(parts))], columns=[*columns, "n", "mean", "comoment", "reach"])
 
-def _narrow_gram(df: DataFrame, keys: Sequence[str], vector: str, length: int) -> DataFrame:
-    z = [F.lit(1.0), *[F.col(f"_z{i}") for i in range(length)]]
-    size = length + 1
-    flat = df.select(*keys, *[F.col(vector)[i].alias(f"_z{i}") for i in range(length)])
-    sums = flat.groupBy(*keys).agg(
-        *[F.sum(z[i] * z[j]).alias(f"_g{i}_{j}") for i in range(size) for j in range(i, size)],
-        *[F.max(F.abs(f"_z{i}")).alias(f"_r{i}") for i in range(length)],
-    )
-    square = [F.col(f"_g{min(i, j)}_{max(i, j)}") for i in range(size) for j in range(size)]
-    return sums.select(
-        *keys,
-        F.array(*square).alias("gram"),
-        F.array(*[F.col(f"_r{i}") for i in range(length)]).alias("reach"),
+        return run
+
+    first = df.select(*names, vector).mapInPandas(partial, salted)
+    by_salt = first.groupBy(*names, "_salt").applyInPandas(merging([*names, "_salt"]), T.StructType([*fields[: len(names)], salted["_salt"], *fields[len(names) :]]))
+    return by_salt.groupBy(*names).applyInPandas(merging(names), T.StructType(fields))
+
+
+def grouped_gram(df: DataFrame, keys: Sequence[str], vector: str, length: int) -> DataFrame:
+    """Per key the matrix of summed products of ``(1, vector)`` and the largest
+    absolute value of each element.
+
+    Columns: keys, ``gram`` ((p+1) x (p+1), row by row), ``reach`` (p).
+    """
+    n, mean = F.col("n").cast("double"), F.col("mean")
+    first = F.concat(F.array(n), F.transform(mean, lambda m: m * n))
+    line = F.transform(
+        F.sequence(F.lit(0), F.lit(length - 1)),
+        lambda i: F.concat(
+            F.array(F.get(mean, i) * n),
+            F.zip_with(F.slice("comoment", i * length + 1, F.lit(length)), mean, lambda c, m: c + F.get(mean, i) * m * n),
+        ),
     )
+    return _states(df, keys, vector).select(*keys, F.concat(first, F.flatten(line)).alias("gram"), "reach")
 
 
 def centred(values: Sequence[Column], means: Column) -> Column:
@@ -108,24 +110,6 @@ def grouped_moments(df: DataFrame, keys: Sequence[str], columns: Sequence[str])
 
     Rows with a null in any key or column are left out.
     """
-    size = len(columns)
     rows = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    means = F.array(*[F.avg(c) for c in columns]).alias("mean")
-    if size <= NARROW:
-        pairs = [(i, j) for i in range(size) for j in range(i, size)]
-        sums = rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"),
-            means,
-            *[F.covar_pop(columns[i], columns[j]).alias(f"_c{i}_{j}") for i, j in pairs],
-        )
-        square = F.array(
-            *[F.col(f"_c{min(i, j)}_{max(i, j)}") * F.col("n") for i in range(size) for j in range(size)]
-        )
-        return sums.select(*keys, "n", "mean", square.alias("comoment"))
-    centres = store(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), means))
-    vectors = rows.join(centres, list(keys)).withColumn(
-        "_z", centred([F.col(c) for c in columns], F.col("mean"))
-    )
-    gram = grouped_gram(vectors, keys, "_z", size)
-    inner = F.filter("gram", lambda _, i: (i > size) & (i % (size + 1) != 0))
-    return centres.join(gram, list(keys)).select(*keys, "n", "mean", inner.alias("comoment"))
+    vectors = rows.select(*keys, F.array(*columns).alias("_vector"))
+    return _states(vectors, keys, "_vector").select(*keys, "n", "mean", "comoment")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,16 +34,39 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="paneloom-"))
         folder = context.getCheckpointDir()
     return folder
 
 
+#: Paths handed out inside the open ``stored_tables`` blocks, innermost last.
+_HANDED_OUT: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unused path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _HANDED_OUT:
+        _HANDED_OUT[-1].append(path)
+    return path
+
+
+@contextmanager
+def stored_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables that operators store inside the block when it ends.
+
+    Results of the block have to be written before: they read these tables.
+    """
+    _HANDED_OUT.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _HANDED_OUT.pop():
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def store(df: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 """Raw sheets to views on a small league."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,3 +179,18 @@ def test_views(filled):
     ranks = views.position_rank(view).toPandas().set_index("player_id").position_rank
     expected = frame.set_index("player_id").groupby("position_group").overallrating.rank(ascending=False)
     assert (ranks.sort_index() == expected.sort_index()).all()
+
+
+def test_stored_tables_are_removed_at_the_end_of_the_block(spark):
+    from paneloom.runtime import store, stored_tables
+
+    outside = store(spark.range(3))
+    with stored_tables(spark):
+        inside = store(spark.range(5))
+        with stored_tables(spark):
+            inner = store(spark.range(7))
+            assert inner.count() == 7
+        assert inside.count() == 5
+        paths = inside.inputFiles() + inner.inputFiles()
+    assert outside.count() == 3
+    assert not any(Path(p.removeprefix("file://").removeprefix("file:")).exists() for p in paths)

@@ -134,18 +134,31 @@ def test_small_groups_have_no_model(spark):
     assert [r.k for r in regression.grouped_ridge(table, ["k"], "c0", ["c1"]).collect()] == [2]
 
 
-def test_gram_of_wide_vectors_equals_the_narrow_one(spark):
+def test_sums_of_products_equal_numpy(spark):
     frame = make(2, 5).fillna(0.5)
-    table = spark.createDataFrame(frame).withColumn("z", F.array("c0", "c1", "c2", "c3", "c4")).repartition(3)
-    narrow = moments.grouped_gram(table, ["k"], "z", 5).toPandas().set_index("k")
-    width, moments.NARROW = moments.NARROW, 2
-    try:
-        wide = moments.grouped_gram(table, ["k"], "z", 5).toPandas().set_index("k")
-    finally:
-        moments.NARROW = width
-    for key in narrow.index:
-        assert np.allclose(narrow.loc[key, "gram"], wide.loc[key, "gram"])
-        assert np.allclose(narrow.loc[key, "reach"], wide.loc[key, "reach"])
+    table = spark.createDataFrame(frame).withColumn("z", F.array("c0", "c1", "c2", "c3", "c4")).repartition(7)
+    got = moments.grouped_gram(table, ["k"], "z", 5).toPandas().set_index("k")
+    for key, rows in frame.groupby("k"):
+        block = rows[[f"c{i}" for i in range(5)]].to_numpy()
+        ones = np.hstack([np.ones((len(block), 1)), block])
+        assert np.allclose(np.array(got.loc[key, "gram"]).reshape(6, 6), ones.T @ ones)
+        assert np.allclose(got.loc[key, "reach"], np.abs(block).max(axis=0))
+
+
+@pytest.mark.parametrize("columns", [3, 15])
+def test_moments_keep_their_digits_at_a_large_offset(spark, columns):
+    frame = make(5, columns, gap=0.0)
+    names = [f"c{i}" for i in range(columns)]
+    frame[names] += 1e9
+    frame["c1"] = frame["c1"].fillna(1e9)
+    got = moments.grouped_moments(spark.createDataFrame(frame).repartition(6), ["k"], names).toPandas().set_index("k")
+    for key, rows in frame.groupby("k"):
+        around = rows[names].to_numpy() - rows[names].to_numpy().mean(axis=0)
+        want = around.T @ around
+        spread = np.sqrt(np.outer(np.diag(want), np.diag(want)))
+        assert got.loc[key, "n"] == len(rows)
+        actual = np.array(got.loc[key, "comoment"]).reshape(columns, columns)
+        assert (np.abs(actual - want) <= 1e-7 * spread + 1e-9).all()
 
 
 CATEGORIES = {"speed": ["c1", "c2"], "power": ["c3", "c4", "c5"]}
