@@ -10,7 +10,7 @@ QUERIES = catalog.queries()
 #: String similarity, matrix solves, cycles over a group's rows, pages as text; everything else stays in the JVM.
 WITH_PYTHON = {
     "fuzzy_block", "fuzzy_ratio", "fuzzy_tokens", "grouped_ridge", "category_weights", "category_importance",
-    "chained_impute", "impute_by_bin", "impute_eras", "page_items", "page_table_rows", "redistribute",
+    "chained_impute", "impute_by_bin", "impute_eras", "impute_three_cycles", "page_items", "page_table_rows", "redistribute",
 }
 
 
