@@ -19,10 +19,10 @@ BATCH_ROWS = "1000"
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def document_batches(spark: SparkSession) -> None:
+def document_batches(spark: SparkSession, rows: str = BATCH_ROWS) -> None:
     """Lower the session's default batch size; a size that the user has chosen stays."""
-    if spark.conf.get(_BATCH_SETTING) == "10000":
-        spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+    if spark.conf.get(_BATCH_SETTING) in ("10000", BATCH_ROWS):
+        spark.conf.set(_BATCH_SETTING, rows)
 
 
 def text_of(column: str) -> Column:
