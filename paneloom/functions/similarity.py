@@ -21,6 +21,10 @@ _CELLS = 1 << 22
 _BUCKETS = 32
 #: Most promising partners that are compared before the others.
 _FIRST = 8
+#: Longest text that walks down trees, texts that walk together, states of a step, texts on a side of a comparison by pairs.
+_LONG, _ASKED, _STATES, _PAIRED = 256, 512, 1 << 16, 1_024
+#: Edits above which characters are counted before a walk, texts that this is done for at once, and cells that it may take.
+_NEAR, _COUNTED, _LADDER = 4, 64, 1 << 25
 
 
 def characters(text: Column) -> Column:
@@ -87,8 +91,8 @@ def _bags(codes: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(bucket * size + row, minlength=_BUCKETS * size).reshape(_BUCKETS, size).astype(np.int32)
 
 
-def best_of_each(left: Sequence[str], right: Sequence[str], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, score): of each left text the most similar right text, the first of equals, if it reaches the threshold.
+def _best_of_long(left: Sequence[str], right: Sequence[str], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, score) as ``best_of_each``, pair by pair.
 
     Characters that two texts share regardless of order bound the similarity; only pairs
     whose bound reaches the threshold, and the best found so far, are compared.
@@ -113,11 +117,196 @@ def best_of_each(left: Sequence[str], right: Sequence[str], threshold: float) ->
         score[todo] = 200.0 * pair_lengths(a, a_sizes, b, b_sizes, i[todo], j[todo]) / total[i[todo], j[todo]]
         np.maximum.at(best, i[todo], score[todo])
     good = np.flatnonzero(score >= threshold)
-    good = good[np.lexsort((j[good], -score[good], i[good]))]
-    first = np.ones(len(good), bool)
-    first[1:] = i[good[1:]] != i[good[:-1]]
-    good = good[first]
-    return i[good], j[good], score[good]
+    return _firsts(i[good], j[good], score[good])
+
+
+def _firsts(i: np.ndarray, j: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each i the pair of the highest score, the smallest j of equals."""
+    order = np.lexsort((j, -score, i))
+    i, j, score = i[order], j[order], score[order]
+    first = np.ones(len(i), bool)
+    first[1:] = i[1:] != i[:-1]
+    return i[first], j[first], score[first]
+
+
+class _Tree:
+    """The prefixes of texts of one length: what texts with a common prefix share is compared once."""
+
+    def __init__(self, texts: Sequence[str], own: Sequence[int]) -> None:
+        order = sorted(own, key=texts.__getitem__)  # stable: of equal texts the first stays
+        codes, _ = code_matrix([texts[n] for n in order])
+        apart = codes[1:] != codes[:-1]
+        shared = np.where(apart.any(axis=1), apart.argmax(axis=1), codes.shape[1])
+        self.length = codes.shape[1]
+        starts = [np.flatnonzero(np.concatenate(([True], shared < depth))) for depth in range(self.length + 1)]
+        self.member = np.array(order, np.int64)[starts[-1]]
+        #: Per depth: the character of every node, and where the nodes below those of the depth before begin.
+        self.letters = [codes[at, depth] for depth, at in enumerate(starts[1:])]
+        self.below = [np.append(np.searchsorted(b, a), len(b)) for a, b in zip(starts, starts[1:], strict=False)]
+        #: Per depth: where the texts below every node begin.
+        self.span = [np.append(np.searchsorted(starts[-1], at), len(starts[-1])) for at in starts]
+        self.bags = _bags(codes[starts[-1]], len(starts[-1]))
+
+
+def _may_share(bags: np.ndarray, tree: _Tree, need: np.ndarray) -> np.ndarray | None:
+    """For each text (a column of ``bags``), how many texts of the tree before each place share as many characters as needed, in any order.
+
+    None if that took too much memory. Counts are written as rungs of a ladder, so that a product of matrices sums the lesser of both.
+    """
+    rungs = [(n, step) for n in range(_BUCKETS) for step in range(1, min(bags[n].max(), tree.bags[n].max()) + 1)]
+    if not rungs or max(len(rungs), bags.shape[1]) * len(tree.member) > _LADDER:
+        return None
+    bucket, step = np.array(rungs).T
+    climbed = [(own[bucket] >= step[:, None]).astype(np.float32) for own in (bags, tree.bags)]
+    before = np.zeros((bags.shape[1], len(tree.member) + 1), np.int32)
+    np.cumsum(climbed[0].T @ climbed[1] >= need[:, None], axis=1, out=before[:, 1:])
+    return before
+
+
+class _Asked:
+    """Texts of at most so many machine words, as bits of the places of each character."""
+
+    def __init__(self, texts: Sequence[str]) -> None:
+        codes, self.sizes = code_matrix(texts)
+        self.bags = _bags(codes, len(texts))
+        row, place = np.nonzero(codes)
+        self.alphabet, letter = np.unique(codes[row, place], return_inverse=True)
+        words = -(-codes.shape[1] // 64)
+        # The last letter stands for all that no text has.
+        self.places = np.zeros((words, len(texts), len(self.alphabet) + 1), np.uint64)
+        np.bitwise_or.at(self.places, (place // 64, row, letter), np.uint64(1) << (place % 64).astype(np.uint64))
+
+    def letters(self, codes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.alphabet, codes), len(self.alphabet) - 1)
+        return np.where(self.alphabet[at] == codes, at, len(self.alphabet))
+
+
+_LOW = np.array([(1 << n) - 1 for n in range(65)], np.uint64)
+
+
+def _in_tree(asked: _Asked, tree: _Tree, least: np.ndarray, far: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, score) of pairs that reach ``least``, among them the best of each text; ``least`` rises to the scores found.
+
+    A text and a prefix end if what they share so far, and all that is left of both, is too little. With ``far`` they also end
+    if no text with that prefix has enough of the characters.
+    """
+    letters = [asked.letters(codes) for codes in tree.letters]
+    total = asked.sizes + tree.length
+    need = np.ceil(least * total / 200.0 - 1e-9).astype(np.int64)
+    start = np.flatnonzero(need <= np.minimum(asked.sizes, tree.length))
+    words = len(asked.places)
+    found, open_parts = [], []
+    size = _COUNTED if far else max(1, len(start))
+    for at in range(0, len(start), size):
+        part = start[at : at + size]
+        state = np.full((words, len(part)), 2**64 - 1, np.uint64)
+        open_parts.append((0, part, np.zeros(len(part), np.int64), state))
+    place, before = np.zeros(len(least), np.int64), None
+    while open_parts:
+        depth, row, node, state = open_parts.pop()
+        if far and not depth and len(node):
+            place[row] = np.arange(len(row))
+            before = _may_share(asked.bags[:, row], tree, need[row])
+        first = tree.below[depth][node]
+        many = tree.below[depth][node + 1] - first
+        ends = np.cumsum(many)
+        if len(row) > 1 and ends[-1] > _STATES:
+            cut = min(max(1, int(np.searchsorted(ends, _STATES))), len(row) - 1)
+            open_parts.append((depth, row[cut:], node[cut:], state[:, cut:]))
+            row, first, many, state, ends = row[:cut], first[:cut], many[:cut], state[:, :cut], ends[:cut]
+        if not len(row):
+            continue
+        parent = np.repeat(np.arange(len(row)), many)
+        node = np.arange(len(parent)) + (first - ends + many)[parent]
+        row = row[parent]
+        if before is not None:
+            span = tree.span[depth + 1]
+            open_nodes = np.flatnonzero(before[place[row], span[node + 1]] > before[place[row], span[node]])
+            parent, node, row = parent[open_nodes], node[open_nodes], row[open_nodes]
+        letter = letters[depth][node]
+        left = tree.length - depth - 1
+        upto = np.maximum(asked.sizes[row] - left, 0)
+        common = np.minimum(asked.sizes[row], left)
+        after = np.empty((words, len(row)), np.uint64)
+        carry = np.zeros(len(row), np.uint64)
+        for word in range(words):
+            old = state[word, parent]
+            matches = old & asked.places[word, row, letter]
+            once = old + matches
+            if words > 1:
+                sums = once + carry
+                carry = ((once < old) | (sums < once)).astype(np.uint64)
+                once = sums
+            after[word] = once | (old - matches)
+            common += np.bitwise_count(~after[word] & _LOW[np.clip(upto - 64 * word, 0, 64)])
+        if left:
+            kept = np.flatnonzero(common >= need[row])
+            if len(kept):
+                open_parts.append((depth + 1, row[kept], node[kept], after[:, kept]))
+        else:
+            score = 200.0 * common / total[row]
+            kept = np.flatnonzero(score >= least[row])
+            np.maximum.at(least, row[kept], score[kept])
+            need = np.ceil(least * total / 200.0 - 1e-9).astype(np.int64)
+            found.append((row[kept], tree.member[node[kept]], score[kept]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    return _firsts(*(np.concatenate(part) for part in zip(*found, strict=True)))
+
+
+def best_of_each(left: Sequence[str], right: Sequence[str], threshold: float, edits: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, score): of each left text the most similar right text, the first of equals, if it reaches the threshold.
+
+    Texts walk down the trees of the right texts of each length. First only partners one deletion away are
+    looked for, then two, four and so on; a text that has one is done, since all that is left is less similar. With ``edits`` only partners
+    at least as similar as a text without so many of its characters count.
+    """
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    sizes = np.fromiter(map(len, left), np.int64, len(left))
+    lengths: dict[int, list[int]] = {}
+    for j, text in enumerate(right):
+        if text:
+            lengths.setdefault(len(text), []).append(j)
+    trees = [_Tree(right, own) for length, own in lengths.items() if length <= 4 * _LONG] if (sizes <= _LONG).any() else []
+    every = np.flatnonzero((sizes > 0) & (sizes <= _LONG))
+    for words in range(1, _LONG // 64 + 1):
+        rows = every[-(-sizes[every] // 64) == words]
+        for at in range(0, len(rows), _ASKED):
+            found += _walks(left, rows[at : at + _ASKED], trees, sizes, threshold, edits)
+    far = [j for j, text in enumerate(right) if len(text) > 4 * _LONG]
+    for rows, others in ((every, far), (np.flatnonzero(sizes > _LONG), range(len(right)))):
+        for x in range(0, len(rows), _PAIRED):
+            for y in range(0, len(others), _PAIRED):
+                own, other = rows[x : x + _PAIRED], np.array(others[y : y + _PAIRED], np.int64)
+                i, j, score = _best_of_long([left[n] for n in own], [right[n] for n in other], threshold)
+                good = score >= floor_of(sizes[own[i]], edits, threshold)
+                found.append((own[i][good], other[j][good], score[good]))
+    return _firsts(*(np.concatenate(part) for part in zip(*found, strict=True)))
+
+
+def floor_of(sizes: np.ndarray, edits: int | None, threshold: float) -> np.ndarray:
+    """What a text is alike to itself without so many characters, the threshold at least."""
+    if edits is None:
+        return np.full(len(sizes), float(threshold))
+    return np.maximum(threshold, 100.0 - 100.0 * edits / np.maximum(1, 2 * sizes - edits))
+
+
+def _walks(left: Sequence[str], rows: np.ndarray, trees: Sequence[_Tree], sizes: np.ndarray, threshold: float, edits: int | None) -> list:
+    """(i, j, score) of the best partners of the texts ``rows`` in the trees."""
+    last = floor_of(sizes[rows], edits, threshold)
+    found, near = [], 1
+    while len(rows):
+        asked = _Asked([left[n] for n in rows])
+        floor = np.maximum(last, floor_of(sizes[rows], near, threshold))
+        least = floor.copy()
+        pairs = [_in_tree(asked, tree, least, near > _NEAR) for tree in trees]
+        met = np.zeros(len(rows), bool)
+        for i, j, score in pairs:
+            found.append((rows[i], j, score))
+            met[i] = True
+        more = ~met & (floor > last)
+        rows, last, near = rows[more], last[more], 2 * near
+    return found
 
 
 def _lengths_of_batch(left: pd.Series, right: pd.Series) -> pd.Series:

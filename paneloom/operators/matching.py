@@ -10,16 +10,18 @@ once. For every string that is left, the cheaper of two ways is taken:
   substrings at those places. How many these are depends on its length alone, so
   the cost of a string doesn't grow with the block.
 * Tiles. The strings of the block are compared with it in tiles, as arrays in a task: no row
-  is made for a pair, most pairs end with a bound on their common characters.
+  is made for a pair. The strings of a tile's block are trees of prefixes, partners a few edits away are looked for first, and only
+  strings that have none go on to less similar ones. If a block has more strings than a tile holds, the nearest partners are
+  looked for in all its tiles before the others.
 
 A string takes segments if its substrings, each counted as ``KEY_COST`` comparisons, are fewer than the strings of
-its block, and if the lists they hit don't have more entries than the block. Blocks of any size are spread over many tasks.
+its block, and if the entries of the lists they hit, at ``KEY_HITS`` to a substring, cost no more. Blocks of any size are spread over many tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import lru_cache
+from functools import lru_cache, reduce
 from math import ceil, floor
 
 import pandas as pd
@@ -33,10 +35,18 @@ from paneloom.functions.similarity import best_of_each, common_length, ratio
 from paneloom.functions.text import token_sort
 from paneloom.runtime import store
 
-#: Comparisons in a tile that cost as much as looking up one substring: shuffled and joined.
-KEY_COST = 16.0
-#: Strings of each side of a tile, about.
-TILE = 1_024
+#: Strings of a block whose trees cost a string as much as looking up one substring: shuffled, joined and its hits compared.
+KEY_COST = 16_384.0
+#: Hits that cost as much as looking up one substring.
+KEY_HITS = 16
+#: Strings of a tile, about; of a block with many strings up to ``TILE_GROWTH`` times as many.
+TILE, TILE_GROWTH = 1_024, 4
+#: How many times as many strings of the block they are compared with, and how many characters these have on average at most.
+TREE_TILES, TREE_LENGTH = 64, 64
+#: Edits within which partners are looked for in all tiles of a large block first.
+NEAR_EDITS = 4
+#: Tasks that tiles are dealt to at most.
+MOST_PARTS = 2_000
 
 
 @lru_cache(maxsize=4_096)
@@ -109,14 +119,14 @@ def _lookups(threshold: float) -> Callable[[Column], Column]:
     return F.pandas_udf(run, DoubleType())
 
 
-def _by_segments(texts: DataFrame, pool: DataFrame, block: Sequence[str], threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Scored pairs of the texts found by segments, and the texts whose lists have more entries than their block."""
+def _by_segments(texts: DataFrame, pool: DataFrame, block: Sequence[str], threshold: float, key_cost: float) -> tuple[DataFrame, DataFrame]:
+    """Scored pairs of the texts found by segments, and the texts whose hits cost more than their block."""
     own = pool.join(texts.select(*block).distinct(), list(block), "left_semi")
     index = store(own.select(*block, F.explode(_keys(segments, threshold)(F.col("_text"))).alias("_key"), F.col("_text").alias("_other"), "_partner"))
     probes = store(texts.select(*block, "_text", "_pool", F.explode(_keys(places, threshold)(F.col("_text"))).alias("_key")))
     entries = index.groupBy(*block, "_key").agg(F.count(F.lit(1)).alias("_entries"))
     load = probes.join(entries, [*block, "_key"]).groupBy(*block, "_text").agg(F.sum("_entries").alias("_entries"), F.first("_pool").alias("_pool"))
-    heavy = store(load.filter(F.col("_entries") > F.col("_pool")).select(*block, "_text", "_pool"))
+    heavy = store(load.filter(F.col("_entries") * key_cost / KEY_HITS > F.col("_pool")).select(*block, "_text", "_pool"))
     light = probes.join(heavy.select(*block, "_text"), [*block, "_text"], "left_anti")
     pairs = light.join(index, [*block, "_key"]).select(*block, "_text", "_other", "_partner").distinct()
     common = common_length(F.col("_text"), F.col("_other"))
@@ -124,10 +134,19 @@ def _by_segments(texts: DataFrame, pool: DataFrame, block: Sequence[str], thresh
     return scored.select(*block, "_text", "_partner", "score"), heavy
 
 
-def _by_tiles(texts: DataFrame, pool: DataFrame, block: Sequence[str], threshold: float) -> DataFrame:
-    """Best partners of the texts in every tile of their block."""
-    sizes = texts.groupBy(*block).agg(F.count(F.lit(1)).alias("_texts"), F.first("_pool").alias("_pool"))
-    tiles = store(sizes.select(*block, F.ceil(F.col("_texts") / TILE).alias("_rows"), F.ceil(F.col("_pool") / TILE).alias("_columns")))
+def _tile_counts(texts: DataFrame, pool: DataFrame, block: Sequence[str]) -> DataFrame:
+    """Per block the parts that its texts (``_rows``) and the strings they are compared with (``_columns``) are cut into."""
+    many = texts.groupBy(*block).agg(F.count(F.lit(1)).alias("_texts"))
+    held = pool.groupBy(*block).agg(F.greatest(F.count(F.lit(1)), F.sum(F.length("_text")) / TREE_LENGTH).alias("_held"))
+    small, large = F.ceil(F.col("_texts") / TILE), F.ceil(F.col("_texts") / (TILE * TILE_GROWTH))
+    rows = F.least(small, F.greatest(large, F.lit(2 * TILE_GROWTH)))
+    return store(many.join(held, list(block)).select(*block, rows.alias("_rows"), F.ceil(F.col("_held") / (TILE * TREE_TILES)).alias("_columns")))
+
+
+def _by_tiles(texts: DataFrame, pool: DataFrame, block: Sequence[str], threshold: float, tiles: DataFrame, edits: int | None = None) -> DataFrame:
+    """Best partners of the texts in every tile of their block; with ``edits`` only those so near."""
+    spread = tiles.agg(F.sum(F.col("_rows") * F.col("_columns"))).first()[0] or 0
+    parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2 * spread, MOST_PARTS))
     number, every = {}, {}
     for name in ("_rows", "_columns"):
         number[name] = F.pmod(F.xxhash64("_text"), F.col(name))
@@ -141,13 +160,14 @@ def _by_tiles(texts: DataFrame, pool: DataFrame, block: Sequence[str], threshold
         asks = tile["_asks"]
         left = tile.filter(asks)
         right = tile.filter(pc.invert(asks)).sort_by("_partner")  # of equals the smallest comes first
-        i, j, score = best_of_each(left["_text"].to_pylist(), right["_text"].to_pylist(), threshold)
+        i, j, score = best_of_each(left["_text"].to_pylist(), right["_text"].to_pylist(), threshold, edits)
         found = left.take(pa.array(i)).select([*block, "_text"])
         return found.append_column("_partner", right["_partner"].take(pa.array(j))).append_column("score", pa.array(score))
 
     fields = [*[texts.schema[name] for name in block], texts.schema["_text"], pool.schema["_partner"], StructField("score", DoubleType())]
     kind = StructType([StructField(f.name, f.dataType) for f in fields])
-    return asking.union(asked).groupBy(*block, "_row", "_column").applyInArrow(compare, kind)
+    tile = [*block, "_row", "_column"]
+    return asking.union(asked).repartition(parts, *tile).groupBy(*tile).applyInArrow(compare, kind)
 
 
 def best_partners(
@@ -189,11 +209,17 @@ def best_partners(
     listed, rest = open_texts.filter(few).drop("_keys"), open_texts.filter(~few).drop("_keys")
     pairs = []
     if not listed.isEmpty():
-        found, heavy = _by_segments(listed, pool, block, threshold)
+        found, heavy = _by_segments(listed, pool, block, threshold, key_cost)
         pairs.append(found)
         rest = rest.unionByName(heavy)
-    pairs.append(_by_tiles(rest, pool, block, threshold))
-    scored = pairs[0] if len(pairs) == 1 else pairs[0].unionByName(pairs[1])
+    tiles = _tile_counts(rest, pool, block)
+    if not tiles.filter("_columns > 1").isEmpty():
+        near = store(_by_tiles(rest, pool, block, threshold, tiles, NEAR_EDITS))
+        pairs.append(near)
+        rest = store(rest.join(near.select(*block, "_text").distinct(), [*block, "_text"], "left_anti"))
+        tiles = _tile_counts(rest, pool, block)
+    pairs.append(_by_tiles(rest, pool, block, threshold, tiles))
+    scored = reduce(DataFrame.unionByName, pairs)
     best = F.min(F.struct((-F.col("score")).alias("_down"), F.col("_partner")))
     close = (
         scored.groupBy(*block, "_text")

@@ -42,8 +42,10 @@ def match_season(
     """
     ratings = store(ratings.select(rating_id, season, name, group, team))
     players = store(players.select(player_id, season, name, group).distinct())
-    strict = ratings.join(players, [season, name, group]).withColumn("priority", F.lit(EXACT))
-    relaxed = ratings.join(players.drop(group), [season, name]).withColumn("priority", F.lit(RELAXED))
+    # A player keeps the smallest id, so of ratings that are joined by the same values that one is enough.
+    first = lambda rows, *keys: keep_first(rows.dropna(subset=list(keys)), list(keys), [F.col(rating_id)])
+    strict = first(ratings, season, name, group).join(players, [season, name, group]).withColumn("priority", F.lit(EXACT))
+    relaxed = first(ratings, season, name).join(players.drop(group), [season, name]).withColumn("priority", F.lit(RELAXED))
     kept = [*ratings.columns, player_id, "priority"]
     exact = strict.select(*kept).unionByName(relaxed.select(*kept))
     exact = store(keep_first(exact, [season, player_id], [F.col("priority"), F.col(rating_id)]))
@@ -53,7 +55,7 @@ def match_season(
     close = fuzzy_best_match(left_over, names, [season, group], rating_id, name, "_found", "_name", threshold, sort_tokens=False)
     owners = players.withColumnRenamed(name, "_found")
     fuzzy = left_over.join(close.select(season, group, rating_id, "_found"), [season, group, rating_id])
-    fuzzy = fuzzy.join(owners, [season, group, "_found"]).withColumn("priority", F.lit(FUZZY))
+    fuzzy = first(fuzzy, season, group, "_found").join(owners, [season, group, "_found"]).withColumn("priority", F.lit(FUZZY))
     pairs = exact.unionByName(fuzzy.select(*kept))
     once = keep_first(pairs, [season, player_id], [F.col("priority"), F.col(rating_id)])
     matched = store(keep_first(once, [rating_id, team, season], [F.col("priority"), F.col(player_id)]))
