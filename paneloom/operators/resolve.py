@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +52,11 @@ def _narrow_side(
     return store(df.select(*scope, identity, *compared))
 
 
+def _one_block_each(side: DataFrame, key: Sequence[str]) -> bool:
+    """Whether no id of a scope is in several blocks."""
+    return side.groupBy(*key).count().filter("count > 1").isEmpty()
+
+
 def _tier_matches(
     left: DataFrame,
     right: DataFrame,
@@ -59,15 +65,29 @@ def _tier_matches(
     right_id: str,
     place: int,
     tier: Tier,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs of a tier and the ids (per scope) that it matches on the left and on the right.
+
+    Pairs of an exact tier are as many as the square of a block of copies: they are joined when they are read, and
+    the ids that have one are found from the blocks.
+    """
     block = [*scope, *[f"_on{place}_{k}" for k in tier.on]]
     if tier.threshold is None:
-        pairs = left.select(*block, left_id).distinct().join(right.select(*block, right_id).distinct(), block)
+        a, b = left.select(*block, left_id).distinct(), right.select(*block, right_id).distinct()
+        pairs = a.join(b, block).select(*scope, left_id, right_id)
+        if not (_one_block_each(a, [*scope, left_id]) or _one_block_each(b, [*scope, right_id])):
+            pairs = pairs.distinct()
+        met = [
+            side.join(other.select(*block).distinct(), block, "left_semi").select(*scope, identity).distinct()
+            for side, other, identity in ((a, b, left_id), (b, a, right_id))
+        ]
     else:
         text = f"_name{place}"
         a, b = left.select(*block, left_id, text), right.select(*block, right_id, text)
         pairs = fuzzy_best_match(a, b, block, left_id, text, right_id, text, tier.threshold)
-    return pairs.select(*scope, left_id, right_id).distinct().withColumn("tier", F.lit(tier.name))
+        pairs = store(pairs.select(*scope, left_id, right_id).distinct())
+        met = [pairs.select(*scope, identity).distinct() for identity in (left_id, right_id)]
+    return pairs.withColumn("tier", F.lit(tier.name)), store(met[0]), store(met[1])
 
 
 def resolve_entities(
@@ -82,21 +102,22 @@ def resolve_entities(
     """Run the tiers in order over all scopes (seasons) at once.
 
     Each tier sees the ids, per scope, that no earlier tier matched on either
-    side. The small match table of a tier is stored, so a later tier
+    side. What a tier leaves open is stored, so a later tier
     neither recomputes it nor carries its plan.
     """
     a = _narrow_side(left, 0, scope, left_id, name, tiers)
     b = _narrow_side(right, 1, scope, right_id, name, tiers)
-    done: DataFrame | None = None
+    found = []
     for place, tier in enumerate(tiers):
-        open_left = a if done is None else a.join(done, [*scope, left_id], "left_anti")
-        open_right = b if done is None else b.join(done, [*scope, right_id], "left_anti")
-        found = store(_tier_matches(open_left, open_right, scope, left_id, right_id, place, tier))
-        done = found if done is None else done.unionByName(found)
+        found.append(_tier_matches(a, b, scope, left_id, right_id, place, tier))
+        if place + 1 < len(tiers):
+            a = store(a.join(found[-1][1], [*scope, left_id], "left_anti"))
+            b = store(b.join(found[-1][2], [*scope, right_id], "left_anti"))
+    pairs, met_left, met_right = (reduce(DataFrame.unionByName, part) for part in zip(*found, strict=True))
     return Resolution(
-        done,
-        left.join(done, [*scope, left_id], "left_anti"),
-        right.join(done, [*scope, right_id], "left_anti"),
+        pairs,
+        left.join(met_left, [*scope, left_id], "left_anti"),
+        right.join(met_right, [*scope, right_id], "left_anti"),
     )
 
 

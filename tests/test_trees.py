@@ -78,3 +78,22 @@ def test_copies_of_a_name_are_not_paired_before_a_player_keeps_one(spark, monkey
     assert {(r.rating_id, r.player_id, r.priority) for r in done.matched.collect()} == {(100, 0, 1), (900, 600, 3)}
     assert done.missed.count() == 118
     assert max(ranked) <= 240
+
+
+def test_pairs_of_copies_are_not_stored_by_the_cascade(spark, monkeypatch):
+    from paneloom.operators import resolve
+
+    stored = []
+    inner = resolve.store
+    monkeypatch.setattr(resolve, "store", lambda df: stored.append(inner(df)) or stored[-1])
+    same = lambda c: (F.col(c), F.col(c))
+    tiers = [resolve.Tier("group", {"g": same("g")}), resolve.Tier("name", {"n": same("n")}), resolve.Tier("fuzzy", {}, threshold=80)]
+    rows = [(2020, n, "x" if n < 50 else "y", "Al Ames" if n < 80 else "Bo Bellson") for n in range(100)]
+    left = spark.createDataFrame([(*r[:2], "z" if r[1] >= 50 else r[2], r[3]) for r in rows], "season int, l long, g string, n string")
+    right = spark.createDataFrame([(*r[:3], r[3].replace("llson", "lson")) for r in rows], "season int, r long, g string, n string")
+    found = resolve.resolve_entities(left, right, ["season"], "l", "r", "n", tiers)
+    counts = {r.tier: r["count"] for r in found.matches.groupBy("tier").count().collect()}
+    assert counts == {"group": 2_500, "name": 900, "fuzzy": 20}
+    assert found.matches.distinct().count() == 3_420
+    assert found.unmatched_left.count() == 0 and found.unmatched_right.count() == 19
+    assert max(df.count() for df in stored) <= 100
