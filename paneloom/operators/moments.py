@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,21 @@ def _state(block: np.ndarray) -> tuple:
     return len(block), mean, around.T @ around, np.abs(block).max(axis=0)
 
 
+def _groups(batch: pa.RecordBatch, names: Sequence[str]) -> Iterator[tuple[tuple, np.ndarray]]:
+    """The keys without a null in a batch, each with its rows."""
+    code, known = np.zeros(batch.num_rows, np.int64), np.ones(batch.num_rows, bool)
+    for name in names:
+        own = batch.column(name).dictionary_encode()
+        known &= own.is_valid().to_numpy(zero_copy_only=False)
+        own = own.indices.fill_null(0).to_numpy()
+        code = np.unique(code * (own.max(initial=0) + 1) + own, return_inverse=True)[1]
+    rows = np.flatnonzero(known)
+    rows = rows[np.argsort(code[rows], kind="stable")]
+    for at in np.split(rows, np.flatnonzero(np.diff(code[rows])) + 1):
+        if len(at):
+            yield tuple(batch.column(name)[int(at[0])].as_py() for name in names), at
+
+
 def _states(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
     """One state per key: ``n``, ``mean`` (p), ``comoment`` (p x p, row by row) and ``reach`` (p).
 
@@ -45,24 +61,33 @@ def _states(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
         n, mean, co, top = state
         return [*key, n, mean, co.ravel(), top]
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         salt = TaskContext.get().partitionId() % _MERGED
         held: dict[tuple, tuple] = {}
 
-        def flush() -> pd.DataFrame:
-            rows = [[*row(key, state), salt] for key, state in held.items()]
+        def flush() -> pa.RecordBatch:
+            columns = [pa.array([key[at] for key in held], kind) for at, kind in enumerate(types)]
+            columns.append(pa.array([state[0] for state in held.values()], pa.int64()))
+            columns += [pa.array([state[at].ravel() for state in held.values()], pa.list_(pa.float64())) for at in (1, 2, 3)]
+            columns.append(pa.array([salt] * len(held), pa.int32()))
             held.clear()
-            return pd.DataFrame(rows, columns=salted.names)
+            return pa.RecordBatch.from_arrays(columns, names=salted.names)
 
+        types = None
         for batch in batches:
-            for key, rows in batch.groupby(names, sort=False):
-                new = _state(np.stack(rows[vector].to_numpy()))
+            types = [batch.schema.field(k).type for k in names]
+            if not batch.num_rows:
+                continue
+            vectors = batch.column(vector).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            for key, at in _groups(batch, names):
+                new = _state(vectors[at])
                 held[key] = _merged(held[key], new) if key in held else new
             if len(held) > _HELD_GROUPS:
                 yield flush()
-        yield flush()
+        if held:
+            yield flush()
 
     def merge(parts: pd.DataFrame) -> tuple:
         whole = None
@@ -77,7 +102,7 @@ def _states(df: DataFrame, keys: Sequence[str], vector: str) -> DataFrame:
 
         return run
 
-    first = df.select(*names, vector).mapInPandas(partial, salted)
+    first = df.select(*names, vector).mapInArrow(partial, salted)
     by_salt = first.groupBy(*names, "_salt").applyInPandas(merging([*names, "_salt"]), T.StructType([*fields[: len(names)], salted["_salt"], *fields[len(names) :]]))
     return by_salt.groupBy(*names).applyInPandas(merging(names), T.StructType(fields))
 

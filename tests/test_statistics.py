@@ -229,3 +229,22 @@ def test_impute_query_fills_all_seasons(spark, tmp_path):
     for _, at in binned.reset_index(drop=True).groupby(["l_returnflag", "_bin"]).groups.items():
         expected, _ = impute(binned[targets].to_numpy(dtype=float)[at])
         assert np.allclose(actual[at], expected, atol=1e-4)
+
+
+@pytest.mark.parametrize("width", [3, 6])
+def test_sums_of_products_read_arrow_batches(spark, width):
+    rng = np.random.default_rng(5)
+    cells = rng.normal(size=(300, width))
+    rows = [(int(n % 3) if n % 7 else None, "u" if n % 2 else None, z.tolist()) for n, z in enumerate(cells)]
+    frame = spark.createDataFrame(rows, "k int, s string, z array<double>").repartition(5)
+    found = moments.grouped_gram(frame, ["k", "s"], "z", width)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" not in plan and "InArrow" in plan
+    keyed = {(k, s) for k, s, _ in rows if k is not None and s is not None}
+    got = {(r.k, r.s): r for r in found.collect()}
+    assert set(got) == keyed
+    for key, row in got.items():
+        z = np.array([z for k, s, z in rows if (k, s) == key])
+        z1 = np.hstack([np.ones((len(z), 1)), z])
+        assert np.allclose(np.reshape(row.gram, (width + 1, -1)), z1.T @ z1)
+        assert np.allclose(row.reach, np.abs(z).max(axis=0))
