@@ -51,13 +51,14 @@ def _high(share: Column, last: Column) -> Column:
 def _placed(counted: DataFrame, group: Sequence[str], wanted: DataFrame, ordered: int) -> DataFrame:
     """The values that may hold a wanted position, with the rows below them (``_below``).
 
-    Any cuts are right; those at quantiles of the distinct values make every range that much smaller.
+    Any cuts are right; those at quantiles of the distinct values make every range that much smaller. They are stored: approximate
+    quantiles depend on the order in which executors' summaries arrive, and counting and keeping have to see the same ranges.
     """
     parts = counted.withColumns({"_part": F.lit(0).cast("bigint"), "_base": F.lit(0).cast("bigint")})
     keys = [*group, "_part"]
     while (parts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0) > ordered:
         shares = [place / RANGES for place in range(1, RANGES)]
-        cuts = parts.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_value", shares, 100 * RANGES)).alias("_cuts"))
+        cuts = store(parts.groupBy(*keys).agg(F.array_distinct(F.percentile_approx("_value", shares, 100 * RANGES)).alias("_cuts")))
         cut = parts.join(cuts, keys).withColumn("_range", F.size(F.filter("_cuts", lambda c: c < F.col("_value")))).drop("_cuts")
         counts = cut.groupBy(*keys, "_base", "_range").agg(F.sum("_equal").alias("_size"))
         upto = F.sum("_size").over(Window.partitionBy(*keys).orderBy("_range"))

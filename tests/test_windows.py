@@ -1,5 +1,7 @@
 """Window operators against pandas; split groups must give the same rows."""
 
+import random
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -141,3 +143,14 @@ def test_edges_of_a_large_skewed_group_equal_numpy(spark, monkeypatch, ranges):
     for bins in (4, 7):
         (row,) = quantiles.quantile_edges(table, [], "v", bins, ordered=40).collect()
         assert np.allclose(row.edges, np.quantile(values, np.arange(bins + 1) / bins), rtol=1e-12)
+
+
+def test_edges_stay_right_if_approximate_cuts_differ_each_time(spark, monkeypatch):
+    # Summaries of several executors arrive in any order: cuts computed twice need not be the same.
+    some = F.udf(lambda cuts: sorted(random.SystemRandom().sample(cuts, 1 + len(cuts) // 2)), "array<double>").asNondeterministic()
+    approximate = F.percentile_approx
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda *given: some(approximate(*given)))
+    values = np.random.default_rng(3).permutation(4_000) * 1.0
+    table = spark.createDataFrame(pd.DataFrame({"v": values})).repartition(4)
+    (row,) = quantiles.quantile_edges(table, [], "v", 9, ordered=40).collect()
+    assert row.edges == pytest.approx(np.quantile(values, np.arange(10) / 9).tolist(), rel=1e-12)
