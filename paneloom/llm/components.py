@@ -24,7 +24,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = None
     while (state := _state(edges)) != before:
         before = state
-        edges = store(_to_smaller(_to_larger(edges)))
+        # Stored in between, since each step reads its links twice; links are told apart once a round, which keeps its shuffles few.
+        edges = store(_to_smaller(store(_to_larger(edges))))
     # Now every edge leads from a node to the smallest of its component.
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("part")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("part")).union(roots)
@@ -36,14 +37,14 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def _to_larger(edges: DataFrame) -> DataFrame:
-    """Each node's larger neighbours get linked to the smallest node it knows."""
+    """Each node's larger neighbours get linked to the smallest node it knows; a link may come several times."""
     both = edges.union(edges.select("b", "a"))
     least = both.groupBy("a").agg(F.min("b").alias("least")).withColumn("least", F.least("a", "least"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _to_smaller(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours get linked to the smallest of them."""
     least = edges.groupBy("a").agg(F.min("b").alias("least"))
-    moved = edges.join(least, "a").filter("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-    return least.select("a", F.col("least").alias("b")).union(moved).distinct()
+    linked = edges.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
+    return linked.filter("a != b").distinct()

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from paneloom.llm import catalog, epsilon_grid, order_minhash, simhash
+from paneloom.llm import catalog, components, epsilon_grid, order_minhash, simhash
 from paneloom.llm.components import connected_components
 
 
@@ -40,6 +40,13 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_a_round_of_components_has_few_shuffles(spark):
+    links = spark.createDataFrame([(2, 1), (3, 2)], "a bigint, b bigint")
+    for step, most in ((components._to_larger, 2), (components._to_smaller, 3)):
+        plan = step(links)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= most
+
+
 def plain_fingerprint(text):
     text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
