@@ -8,6 +8,9 @@ so texts of any length take the same path.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property, lru_cache
+from itertools import combinations
+from math import ceil, comb
 
 import numpy as np
 import pandas as pd
@@ -25,6 +28,8 @@ _FIRST = 8
 _LONG, _ASKED, _STATES, _PAIRED = 256, 512, 1 << 16, 1_024
 #: Edits above which characters are counted before a walk, texts that this is done for at once, and cells that it may take.
 _NEAR, _COUNTED, _LADDER = 4, 64, 1 << 25
+#: Pairs that a walk compares in the time of one subsequence: up to so many edits, and beyond. Subsequences that are listed at once.
+_WALKED, _LISTED = (16, 1), 1 << 23
 
 
 def characters(text: Column) -> Column:
@@ -145,7 +150,14 @@ class _Tree:
         self.below = [np.append(np.searchsorted(b, a), len(b)) for a, b in zip(starts, starts[1:], strict=False)]
         #: Per depth: where the texts below every node begin.
         self.span = [np.append(np.searchsorted(starts[-1], at), len(starts[-1])) for at in starts]
-        self.bags = _bags(codes[starts[-1]], len(starts[-1]))
+        self.texts = codes[starts[-1]]
+        self.bags = _bags(self.texts, len(self.texts))
+
+    @cached_property
+    def spelled(self) -> tuple[np.ndarray, np.ndarray]:
+        """The alphabet of the texts, and their letters as places in it."""
+        alphabet, letter = np.unique(self.texts, return_inverse=True)
+        return alphabet, letter.reshape(self.texts.shape).astype(np.int64)
 
 
 def _may_share(bags: np.ndarray, tree: _Tree, need: np.ndarray) -> np.ndarray | None:
@@ -258,8 +270,8 @@ def best_of_each(left: Sequence[str], right: Sequence[str], threshold: float, ed
     """(i, j, score): of each left text the most similar right text, the first of equals, if it reaches the threshold.
 
     Texts walk down the trees of the right texts of each length. First only partners one deletion away are
-    looked for, then two, four and so on; a text that has one is done, since all that is left is less similar. With ``edits`` only partners
-    at least as similar as a text without so many of its characters count.
+    looked for, then two, four and so on; a text that has one is done, since all that is left is less similar. Trees whose lists of
+    subsequences cost less than a walk are not walked. With ``edits`` only partners at least as similar as a text without so many of its characters count.
     """
     found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
     sizes = np.fromiter(map(len, left), np.int64, len(left))
@@ -270,9 +282,7 @@ def best_of_each(left: Sequence[str], right: Sequence[str], threshold: float, ed
     trees = [_Tree(right, own) for length, own in lengths.items() if length <= 4 * _LONG] if (sizes <= _LONG).any() else []
     every = np.flatnonzero((sizes > 0) & (sizes <= _LONG))
     for words in range(1, _LONG // 64 + 1):
-        rows = every[-(-sizes[every] // 64) == words]
-        for at in range(0, len(rows), _ASKED):
-            found += _walks(left, rows[at : at + _ASKED], trees, sizes, threshold, edits)
+        found += _walks(left, every[-(-sizes[every] // 64) == words], trees, sizes, threshold, edits)
     far = [j for j, text in enumerate(right) if len(text) > 4 * _LONG]
     for rows, others in ((every, far), (np.flatnonzero(sizes > _LONG), range(len(right)))):
         for x in range(0, len(rows), _PAIRED):
@@ -284,6 +294,78 @@ def best_of_each(left: Sequence[str], right: Sequence[str], threshold: float, ed
     return _firsts(*(np.concatenate(part) for part in zip(*found, strict=True)))
 
 
+@lru_cache(maxsize=256)
+def _weights(length: int, common: int, base: int) -> np.ndarray:
+    """A column for each choice of so many places: codes times a column are the number of the letters there, in order."""
+    chosen = np.array(list(combinations(range(length), common)), np.int64).reshape(-1, common)
+    weights = np.zeros((length, len(chosen)), np.int64)
+    weights[chosen.T, np.arange(len(chosen))] = np.array([base**n for n in range(common)], np.int64)[:, None]
+    return weights
+
+
+def _needed(least: float, total: int) -> int:
+    return ceil(least * total / 200.0 - 1e-9)
+
+
+def _levels(length: int, tree: _Tree, floor: float, above: float) -> range:
+    """What a text of this length shares with a text of the tree if they reach ``floor`` and not ``above``, most first."""
+    total = length + tree.length
+    most = _needed(above, total)
+    if 200.0 * most / total >= above:
+        most -= 1
+    return range(min(length, tree.length, most), max(1, _needed(floor, total)) - 1, -1)
+
+
+def _lists_pay(length: int, count: int, tree: _Tree, levels: range, far: bool) -> bool:
+    """Whether so many texts look up subsequences in less time than they walk down the tree."""
+    held = len(tree.member)
+    pairs = held * count // _WALKED[far]
+    if not levels or held + count > pairs or max(held * comb(tree.length, levels[-1]), count * comb(length, levels[-1])) > pairs:
+        return False
+    if sum(held * comb(tree.length, n) + count * comb(length, n) for n in levels) > pairs:
+        return False
+    # A subsequence and its text are one machine word.
+    return (len(tree.spelled[0]) + 1) ** levels[0] * (int(tree.member.max()) + 1) < 1 << 63
+
+
+def _in_lists(texts: np.ndarray, rows: np.ndarray, tree: _Tree, levels: range, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, score) as ``_in_tree``, of texts ``rows`` (codes, all of one length), by common subsequences.
+
+    Two texts share n characters in order if and only if a subsequence of n is the same, so the first text listed under one is
+    enough: what shares more was found before. ``levels`` are the n, most first. The work grows with the texts, not with the pairs.
+    """
+    total = texts.shape[1] + tree.length
+    alphabet, codes = tree.spelled
+    base, end = len(alphabet) + 1, int(tree.member.max()) + 1
+    at = np.minimum(np.searchsorted(alphabet, texts), base - 2)
+    texts = np.where(alphabet[at] == texts, at, base - 1)  # the last letter stands for all that no text of the tree has
+    best = np.full(len(rows), end, np.int64)
+    shared = np.zeros(len(rows), np.int64)
+    for common in levels:
+        score = 200.0 * common / total
+        weights, held = _weights(texts.shape[1], common, base), _weights(tree.length, common, base)
+        step, width = max(1, _LISTED // held.shape[1]), max(1, _LISTED // (8 * weights.shape[1]))
+        asks = np.flatnonzero((shared == 0) & (score >= least[rows]))
+        if not len(asks):
+            continue
+        for start in range(0, len(tree.member), step):
+            own = slice(start, start + step)
+            listed = codes[own] @ held
+            listed *= end
+            listed += tree.member[own, None]
+            listed = np.sort(listed.ravel())
+            for first in range(0, len(asks), width):
+                part = asks[first : first + width]
+                wanted = (texts[part] @ weights) * end
+                spot = listed[np.minimum(np.searchsorted(listed, wanted), len(listed) - 1)] - wanted
+                best[part] = np.minimum(best[part], np.where((spot >= 0) & (spot < end), spot, end).min(axis=1))
+        met = asks[best[asks] < end]
+        shared[met] = common
+        least[rows[met]] = score
+    met = np.flatnonzero(shared)
+    return rows[met], best[met], 200.0 * shared[met] / total
+
+
 def floor_of(sizes: np.ndarray, edits: int | None, threshold: float) -> np.ndarray:
     """What a text is alike to itself without so many characters, the threshold at least."""
     if edits is None:
@@ -292,20 +374,40 @@ def floor_of(sizes: np.ndarray, edits: int | None, threshold: float) -> np.ndarr
 
 
 def _walks(left: Sequence[str], rows: np.ndarray, trees: Sequence[_Tree], sizes: np.ndarray, threshold: float, edits: int | None) -> list:
-    """(i, j, score) of the best partners of the texts ``rows`` in the trees."""
+    """(i, j, score) of the best partners of the texts ``rows``, in the lists or down the trees."""
     last = floor_of(sizes[rows], edits, threshold)
     found, near = [], 1
+    above = np.full(len(rows), 201.0)  # no partner of the texts left is so similar
     while len(rows):
-        asked = _Asked([left[n] for n in rows])
         floor = np.maximum(last, floor_of(sizes[rows], near, threshold))
         least = floor.copy()
-        pairs = [_in_tree(asked, tree, least, near > _NEAR) for tree in trees]
         met = np.zeros(len(rows), bool)
-        for i, j, score in pairs:
-            found.append((rows[i], j, score))
-            met[i] = True
+        listed = np.zeros((len(trees), len(rows)), bool)
+        lengths, firsts, counts = np.unique(sizes[rows], return_index=True, return_counts=True)
+        for length, first, count in zip(lengths.tolist(), firsts, counts.tolist(), strict=True):
+            own, codes = np.flatnonzero(sizes[rows] == length), None
+            for n, tree in enumerate(trees):
+                levels = _levels(length, tree, floor[first], above[first])
+                if not _lists_pay(length, count, tree, levels, near > _NEAR):
+                    continue
+                codes = code_matrix([left[m] for m in rows[own]])[0] if codes is None else codes
+                listed[n, own] = True
+                i, j, score = _in_lists(codes, own, tree, levels, least)
+                found.append((rows[i], j, score))
+                met[i] = True
+        for at in range(0, len(rows), _ASKED):
+            part = slice(at, at + _ASKED)
+            if listed[:, part].all():
+                continue
+            asked = _Asked([left[n] for n in rows[part]])
+            for tree, done in zip(trees, listed[:, part], strict=True):
+                bound = np.where(done, 201.0, least[part])  # more than any score
+                i, j, score = _in_tree(asked, tree, bound, near > _NEAR)
+                np.maximum.at(least, at + i, score)
+                found.append((rows[at + i], j, score))
+                met[at + i] = True
         more = ~met & (floor > last)
-        rows, last, near = rows[more], last[more], 2 * near
+        rows, last, above, near = rows[more], last[more], floor[more], 2 * near
     return found
 
 

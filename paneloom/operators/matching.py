@@ -11,7 +11,8 @@ once. For every string that is left, the cheaper of two ways is taken:
   the cost of a string doesn't grow with the block.
 * Tiles. The strings of the block are compared with it in tiles, as arrays in a task: no row
   is made for a pair. The strings of a tile's block are trees of prefixes, partners a few edits away are looked for first, and only
-  strings that have none go on to less similar ones. If a block has more strings than a tile holds, the nearest partners are
+  strings that have none go on to less similar ones. Short strings are listed by their subsequences instead where that costs less:
+  the work then grows with the strings of the tile, not with their pairs. If a block has more strings than a tile holds, the nearest partners are
   looked for in all its tiles before the others.
 
 A string takes segments if its substrings, each counted as ``KEY_COST`` comparisons, are fewer than the strings of

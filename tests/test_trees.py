@@ -97,3 +97,32 @@ def test_pairs_of_copies_are_not_stored_by_the_cascade(spark, monkeypatch):
     assert found.matches.distinct().count() == 3_420
     assert found.unmatched_left.count() == 0 and found.unmatched_right.count() == 19
     assert max(df.count() for df in stored) <= 100
+
+
+@pytest.mark.parametrize("threshold", [50, 70, 90])
+@pytest.mark.parametrize("listed", [1 << 23, 40])
+def test_lists_of_subsequences_find_the_first_best_partner(monkeypatch, threshold, listed):
+    monkeypatch.setattr(similarity, "_lists_pay", lambda length, count, tree, levels, far: bool(levels) and max(length, tree.length) <= 11)
+    monkeypatch.setattr(similarity, "_LISTED", listed)
+    rng = random.Random(threshold)
+    left = ["".join(rng.choice("abcdé") for _ in range(rng.randint(0, 11))) for _ in range(200)] + ["x" * 9, "abcde" * 14, "q"]
+    right = ["".join(rng.choice("abcdf") for _ in range(rng.randint(0, 11))) for _ in range(150)] + ["abcde" * 13, "éb", ""]
+    for edits in (None, 2):
+        found, expected = similarity.best_of_each(left, right, threshold, edits), similarity._best_of_long(left, right, threshold)
+        good = expected[2] >= similarity.floor_of(np.array([len(left[i]) for i in expected[0]]), edits, threshold)
+        assert all(np.array_equal(a, b[good]) for a, b in zip(found, expected, strict=True))
+
+
+def test_work_on_strings_with_nothing_in_common_grows_with_the_strings(monkeypatch):
+    """Of four times as many strings on both sides, each looks up as many subsequences as before."""
+    work = []
+    for name in ("bitwise_count", "sort", "searchsorted"):
+        inner = getattr(np, name)
+        monkeypatch.setattr(similarity.np, name, lambda x, *rest, inner=inner: work.append(np.size(rest[0] if rest else x)) or inner(x, *rest))
+    rng, total = random.Random(5), []
+    for size in (1_000, 4_000):
+        work.clear()
+        left, right = (["".join(rng.choice("0123456789abcdef") for _ in range(10)) for _ in range(size)] for _ in range(2))
+        similarity.best_of_each(left, right, 70)
+        total.append(sum(work))
+    assert total[1] < 5 * total[0]
