@@ -316,6 +316,11 @@ def _levels(length: int, tree: _Tree, floor: float, above: float) -> range:
     return range(min(length, tree.length, most), max(1, _needed(floor, total)) - 1, -1)
 
 
+def _end(tree: _Tree, count: int) -> int:
+    """More than the number of any text of the tree and of any text that asks."""
+    return max(int(tree.member.max()) + 1, count)
+
+
 def _lists_pay(length: int, count: int, tree: _Tree, levels: range, far: bool) -> bool:
     """Whether so many texts look up subsequences in less time than they walk down the tree."""
     held = len(tree.member)
@@ -325,7 +330,7 @@ def _lists_pay(length: int, count: int, tree: _Tree, levels: range, far: bool) -
     if sum(held * comb(tree.length, n) + count * comb(length, n) for n in levels) > pairs:
         return False
     # A subsequence and its text are one machine word.
-    return (len(tree.spelled[0]) + 1) ** levels[0] * (int(tree.member.max()) + 1) < 1 << 63
+    return (len(tree.spelled[0]) + 1) ** levels[0] * _end(tree, count) < 1 << 63
 
 
 def _in_lists(texts: np.ndarray, rows: np.ndarray, tree: _Tree, levels: range, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -336,7 +341,7 @@ def _in_lists(texts: np.ndarray, rows: np.ndarray, tree: _Tree, levels: range, l
     """
     total = texts.shape[1] + tree.length
     alphabet, codes = tree.spelled
-    base, end = len(alphabet) + 1, int(tree.member.max()) + 1
+    base, end = len(alphabet) + 1, _end(tree, len(rows))
     at = np.minimum(np.searchsorted(alphabet, texts), base - 2)
     texts = np.where(alphabet[at] == texts, at, base - 1)  # the last letter stands for all that no text of the tree has
     best = np.full(len(rows), end, np.int64)
@@ -356,9 +361,15 @@ def _in_lists(texts: np.ndarray, rows: np.ndarray, tree: _Tree, levels: range, l
             listed = np.sort(listed.ravel())
             for first in range(0, len(asks), width):
                 part = asks[first : first + width]
-                wanted = (texts[part] @ weights) * end
+                wanted = texts[part] @ weights
+                wanted *= end
+                wanted += part[:, None]
+                wanted = np.sort(wanted.ravel())  # neighbours look where the one before them did
+                text = wanted % end
+                wanted -= text
                 spot = listed[np.minimum(np.searchsorted(listed, wanted), len(listed) - 1)] - wanted
-                best[part] = np.minimum(best[part], np.where((spot >= 0) & (spot < end), spot, end).min(axis=1))
+                hit = np.flatnonzero((spot >= 0) & (spot < end))
+                np.minimum.at(best, text[hit], spot[hit])
         met = asks[best[asks] < end]
         shared[met] = common
         least[rows[met]] = score
