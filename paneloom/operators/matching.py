@@ -217,7 +217,9 @@ def best_partners(
     if not tiles.filter("_columns > 1").isEmpty():
         near = store(_by_tiles(rest, pool, block, threshold, tiles, NEAR_EDITS))
         pairs.append(near)
-        rest = store(rest.join(near.select(*block, "_text").distinct(), [*block, "_text"], "left_anti"))
+        # Where the threshold is as high as the floor of the near ones (``floor_of``), no other partner is left to find.
+        further = F.lit(100.0) - F.lit(100.0 * NEAR_EDITS) / F.greatest(F.lit(1), 2 * F.length("_text") - NEAR_EDITS) > threshold
+        rest = store(rest.filter(further).join(near.select(*block, "_text").distinct(), [*block, "_text"], "left_anti"))
         tiles = _tile_counts(rest, pool, block)
     pairs.append(_by_tiles(rest, pool, block, threshold, tiles))
     scored = reduce(DataFrame.unionByName, pairs)

@@ -126,3 +126,21 @@ def test_work_on_strings_with_nothing_in_common_grows_with_the_strings(monkeypat
         similarity.best_of_each(left, right, 70)
         total.append(sum(work))
     assert total[1] < 5 * total[0]
+
+
+def test_strings_searched_down_to_the_threshold_are_not_searched_again(spark, monkeypatch):
+    for name, value in {"TILE": 4, "TREE_TILES": 2, "TILE_GROWTH": 2}.items():
+        monkeypatch.setattr(matching, name, value)
+    asked = []
+    inner = matching._by_tiles
+    monkeypatch.setattr(matching, "_by_tiles", lambda texts, *rest: asked.append(sorted(len(r._text) for r in texts.collect())) or inner(texts, *rest))
+    rng = random.Random(9)
+    right = ["".join(rng.choice("0123456789abcdef") for _ in range(n)) for n in [10] * 40 + [60] * 10]
+    left = [t[:4] + t[5:] for t in right[:20]] + [t[::-1] for t in right[20:]]
+    sides = [spark.createDataFrame([(1, n, t) for n, t in enumerate(side)], "b int, id long, name string") for side in (left, right)]
+    found = matching.fuzzy_best_match(
+        sides[0], sides[1].select("b", F.col("id").alias("other"), "name"), ["b"], "id", "name", "other", "name", 90, sort_tokens=False
+    )
+    i, j, score = similarity._best_of_long(left, right, 90)
+    assert {(r.id, r.other) for r in found.collect()} == set(zip(i.tolist(), j.tolist()))
+    assert asked == [[9] * 20 + [10] * 20 + [60] * 10, [60] * 10]
